@@ -6,6 +6,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """checkpoint() into the shared folder the session names; a temporary one only where none is set, as in tests."""
-    sc = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder that the session names in spark.checkpoint.dir; a temporary one only where none is set, as in tests."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corpusloom-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """checkpoint() into the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
@@ -95,9 +102,19 @@ def utf8(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words (words never cross texts), and per text the index of its first word, end last."""
-    inside = ~_SPACES[data]
+def pieces(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 21):
+    """The batch in slices of at most so many bytes of text, or of one row, so that arrays over bytes stay small."""
+    lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    block = np.cumsum(lengths, dtype=np.int64) // most
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(lengths)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (words never cross texts), and per text the index of its first word, end last. between: which bytes part words."""
+    inside = ~between[data]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     first = offsets[:-1][offsets[:-1] < len(data)]

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import contamination
+from .near_dedup import near_duplicates
+from .piece_fst import piece_report
 from .quality_rules import quality_rules
 from .secret_scan import secret_report
 from .token_counts import token_histogram
+from .toxicity import toxicity
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,4 +30,22 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_histogram(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_secret_scan, op4_decontamination, op5_token_counts)}
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_report(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op8_near_dedup, op10_sentencepiece, pipeline)}
