@@ -8,6 +8,7 @@ from .common import table
 from .decontaminate import contamination
 from .near_dedup import near_duplicates
 from .piece_fst import piece_report
+from .quality_classifier import quality_scores
 from .quality_rules import quality_rules
 from .secret_scan import secret_report
 from .token_counts import token_histogram
@@ -18,6 +19,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
@@ -48,4 +53,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op8_near_dedup, op10_sentencepiece, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op8_near_dedup, op10_sentencepiece, pipeline)}
