@@ -47,6 +47,7 @@ def repeated_words(words: Column) -> Column:
 def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
     """One row: `ratios`, ln(p_target / p_raw) of each bucket in order. Counts take in all documents and all labels."""
     trusted = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("q")).where("q = 1").select("doc_id", F.lit(1).alias("trusted"))
+    trusted = trusted.hint("merge")  # labels grow with the documents, so they are never broadcast
     marked = docs.select("doc_id", "text").join(trusted, "doc_id", "left").select(F.coalesce("trusted", F.lit(0)).alias("trusted"), words_of(F.col("text")).alias("words"))
     counts = marked.select("trusted", F.explode(features(F.col("words"), buckets)).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
     ordered = F.array_sort(F.collect_list(F.struct("bucket", "raw", "target")))
