@@ -11,6 +11,7 @@ from .piece_fst import piece_report
 from .quality_classifier import quality_scores
 from .quality_rules import quality_rules
 from .secret_scan import secret_report
+from .substring_dedup import remove_repeats
 from .token_counts import token_histogram
 from .toxicity import toxicity
 
@@ -43,6 +44,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_report(table(spark, sf_dir, "documents"))
 
@@ -53,4 +58,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op8_near_dedup, op10_sentencepiece, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op8_near_dedup, op9_suffix_dedup, op10_sentencepiece, pipeline)}
