@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .attention_lm import lm_scores
 from .common import table
 from .decontaminate import contamination
 from .near_dedup import near_duplicates
@@ -40,6 +41,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,4 +63,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op8_near_dedup, op9_suffix_dedup, op10_sentencepiece, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op7_lm_scoring, op8_near_dedup, op9_suffix_dedup, op10_sentencepiece, pipeline)}
