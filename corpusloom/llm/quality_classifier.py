@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> tuple[np.nd
                 yield pa.RecordBatch.from_arrays([b.column("label"), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))], names=["label", "x"])
 
     rows = marked.mapInArrow(run, "label int, x array<float>").toArrow()
-    x = np.array(rows.column("x").to_pylist(), np.float32).reshape(rows.num_rows, -1)
+    x = np.array(rows.column("x").to_pylist(), np.float32).reshape(rows.num_rows, 3 * DIMS + 2)
     y = rows.column("label").to_numpy().astype(float)
     net = Network(float(y.mean()) if len(y) else 0.0)
     if len(set(y)) == 2:
