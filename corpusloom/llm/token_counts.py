@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut_lineage
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the split pattern that this vocabulary was made with.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
@@ -60,7 +62,7 @@ def suffix_sums(histogram: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def token_histogram(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    return suffix_sums(text_lengths(docs, vocabulary).groupBy("n_tokens").agg(F.count("*").alias("n_docs")))
+    return suffix_sums(cut_lineage(text_lengths(docs, vocabulary).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))))
 
 
 def total_at(sums: DataFrame, limit: int) -> DataFrame:
