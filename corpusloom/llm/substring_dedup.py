@@ -6,12 +6,14 @@ fingerprints, so tasks agree on them without sorting all suffixes in one place.
 offsets 0, 64, 128 and 136.
 
 Only some suffixes travel. Every string of 200 bytes has a minimiser, the least 64-byte bucket in it; equal strings share it. Consecutive
-starts with one minimiser, at one place, form a run, and only runs whose minimiser bucket occurs in two runs or more can hold a repeated string.
-Runs are refined by the buckets of all their bytes: runs that occur twice are repeated from end to end. Where runs of one minimiser differ, one
-copy of each is refined start by start, and starts whose 200-byte bucket occurs twice are repeated.
+starts with one minimiser, at one place, form a run, the first kind of cell. A cell has a core, the bytes that all its strings share, and a
+content, all its bytes. Cells of equal content are repeated from end to end. A cell that has no equal is lone; if others share its core, one cell of each
+content in the core's bucket is split into cells of 16 starts, aligned at the minimiser, those into cells of 4, and those into
+single starts, which are again grouped by core and content. So few rows travel where long stretches agree. What is repeated is
+what was looked at and isn't lone; the last pass needs only the lone contents of each text.
 
-Which runs to look at is handed to the tasks as bitmaps of 2 ** `bits` bits (16 MB at the default), whatever the corpus; a false
-positive only adds rows to an exact count. Rounds write their rows to the shared folder.
+Which cells to look at is handed to the tasks as bitmaps of 2 ** `bits` bits (16 MB at the default), whatever the corpus; a false
+positive only adds rows to an exact count. The contents of each round are written to the shared folder.
 
 Defined results: null and empty texts and those shorter than `length` lose nothing; equal texts of `length` bytes or more lose
 everything, repeated rows included; a null doc_id is kept; an empty table gives no rows; extra columns are ignored. Different
@@ -51,43 +53,63 @@ def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(a[: len(a) - (width - k)], a[width - k :])
 
 
-class Runs:
-    """The runs of equal minimisers in a batch of texts: bucket array b; per run text number, first and last start, g (minimiser) and u (all its bytes)."""
+class Cells:
+    """Cells of a batch of texts, at first its runs: text number, first and last start, place of the minimiser, core and content."""
 
     def __init__(self, texts: pa.Array):
-        data, offsets = utf8(texts)
-        size = np.diff(offsets)
-        self.offsets, self.data = offsets, data
+        self.data, self.offsets = utf8(texts)
+        size = np.diff(self.offsets)
         none = np.zeros(0, np.int64)
-        self.b, self.first, self.last, self.g, self.u, self.text = none, none, none, none.view(np.uint64), none.view(np.uint64), none
+        self.text, self.first, self.last, self.place, self.core, self.content = none, none, none, none, none.view(np.uint64), none.view(np.uint64)
         if not (size >= LENGTH).any():
             return
-        self.b = buckets(data)
+        self.b = buckets(self.data)
         m = sliding_min(self.b, LENGTH - GRAM + 1)
         edge = np.zeros(len(m) + 1, np.int8)
         long = np.flatnonzero(size >= LENGTH)
-        edge[offsets[long]] += 1
-        edge[offsets[long] + size[long] - LENGTH + 1] -= 1
+        edge[self.offsets[long]] += 1
+        edge[self.offsets[long] + size[long] - LENGTH + 1] -= 1
         inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
         same = inside[1:] & inside[:-1] & (m[1:] == m[:-1]) & (self.b[: len(m) - 1] != m[:-1])  # past its minimiser a start meets another one
         self.first = np.flatnonzero(inside & ~np.append(False, same))
         self.last = np.flatnonzero(inside & ~np.append(same, False))
-        self.g, self.text = m[self.first], np.searchsorted(offsets, self.first, "right") - 1
-        total = self.last - self.first + LENGTH
-        self.u = mix(total.astype(np.uint64) ^ self.g)
+        self.core, self.text = m[self.first], np.searchsorted(self.offsets, self.first, "right") - 1
+
+    def select(self, on: np.ndarray) -> None:
+        for k in ("text", "first", "last", "place", "core", "content"):
+            if len(getattr(self, k)):
+                setattr(self, k, getattr(self, k)[on])
+
+    def locate(self) -> None:
+        """The place of each run's minimiser, and its content."""
+        self.place = self.last.copy()
+        left = np.flatnonzero(self.b[self.place] != self.core) if len(self.place) else np.zeros(0, np.int64)
+        while len(left):
+            self.place[left] += 1
+            left = left[self.b[self.place[left]] != self.core[left]]
+        self.content = self.whole(self.first, self.last - self.first + LENGTH)
+
+    def whole(self, start: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Buckets of total bytes from each start, refined GRAM bytes at a time."""
+        out = mix(total.astype(np.uint64))
         live, k = np.arange(len(total)), 0
         while len(live):
-            at = self.first[live] + np.minimum(k * GRAM, total[live] - GRAM)
-            self.u[live] = mix(self.u[live] * _ODD[7] + self.b[at])
+            out[live] = mix(out[live] * _ODD[7] + self.b[start[live] + np.minimum(k * GRAM, total[live] - GRAM)])
             k += 1
             live = live[k * GRAM < total[live]]
+        return out
 
-    def strings(self, start: np.ndarray) -> np.ndarray:
-        """Buckets of the LENGTH bytes from each start."""
-        h = self.b[start] * _ODD[8]
-        for i, k in enumerate((64, 128, LENGTH - GRAM)):
-            h = h + self.b[start + k] * _ODD[9 + i]
-        return mix(h)
+    def split(self, size: int) -> None:
+        """Cells of so many starts, aligned at the minimiser."""
+        low, high = (self.place - self.last) // size, (self.place - self.first) // size
+        n = high - low + 1
+        j = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        place, first, last = (np.repeat(x, n) for x in (self.place, self.first, self.last))
+        self.text, self.place = np.repeat(self.text, n), place
+        end = place - size * j
+        self.first, self.last = np.maximum(first, end - size + 1), np.minimum(last, end)
+        self.core = self.whole(end, np.full(len(end), LENGTH - size + 1))
+        self.content = self.whole(self.first, self.last - self.first + LENGTH)
 
 
 def bitmap(rows: DataFrame, value, bits: int = BITS) -> np.ndarray:
@@ -109,92 +131,92 @@ def signed(a: np.ndarray) -> pa.Array:
     return pa.array(a.view(np.int64))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """Per text hash (key) that has repeated strings: `spans`, the set of (first, last) starts of repeated strings."""
+SIZES = (16, 4, 1)
+
+
+def looked_at(cells: Cells, key: np.ndarray, marks: list[np.ndarray], found=None) -> None:
+    """Bring cells to the round after the given bitmaps: runs of a shared minimiser, then split what each further bitmap marks.
+
+    found(round, cells) is called with the cells of every round before they are split.
+    """
+    cells.select(is_set(marks[0], cells.core))
+    cells.locate()
+    for k, mark in enumerate(marks[1:]):
+        if found:
+            found(k, cells)
+        cells.select(is_set(mark, cells.content ^ key[cells.text]))
+        cells.split(SIZES[k])
+    if found:
+        found(len(marks) - 1, cells)
+
+
+def lone_cells(docs: DataFrame) -> tuple[DataFrame, list]:
+    """(key, round, content) of the cells without an equal, key being the hash of a text; and the broadcast bitmaps of the rounds."""
     spark = docs.sparkSession
     sc, folder = spark.sparkContext, f"{shared_dir(spark)}/strings-{uuid.uuid4().hex}"
     texts = docs.where(F.octet_length("text") >= LENGTH).select(F.xxhash64("text").alias("key"), "text")
 
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
-
     def count(batches):
         for whole in batches:
             for b in pieces(whole):
-                g, n = np.unique(Runs(b.column("text")).g, return_counts=True)
+                g, n = np.unique(Cells(b.column("text")).core, return_counts=True)
                 yield pa.RecordBatch.from_arrays([signed(g), pa.array(n)], names=["g", "n"])
 
     twice = texts.select("text").mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 1")
-    shared = sc.broadcast(bitmap(twice, F.col("g")))
+    marks, lone = [sc.broadcast(bitmap(twice, F.col("g")))], None
+    for k in range(len(SIZES) + 1):
+        given = list(marks)
+
+        def contents(batches, given=given):
+            for whole in batches:
+                for b in pieces(whole):
+                    cells = Cells(b.column("text"))
+                    looked_at(cells, b.column("key").to_numpy().view(np.uint64), [m.value for m in given])
+                    yield pa.RecordBatch.from_arrays([signed(cells.core), signed(cells.content), b.column("key").take(pa.array(cells.text))], names=["core", "content", "key"])
+
+        kinds = texts.mapInArrow(contents, "core long, content long, key long").groupBy("core", "content").agg(F.count("*").alias("n"), F.min("key").alias("key"))
+        kinds.select("core", "content", "key", (F.col("n") == 1).alias("lone")).write.parquet(f"{folder}/{k}")
+        kinds = spark.read.parquet(f"{folder}/{k}")
+        alone = kinds.where("lone").select("key", F.lit(k).alias("round"), "content")
+        lone = alone if lone is None else lone.union(alone)
+        if k < len(SIZES):
+            mixed = kinds.groupBy("core").agg(F.count("*").alias("kinds"), F.bool_or("lone").alias("lone")).where("kinds > 1 and lone").select("core")
+            marks.append(sc.broadcast(bitmap(kinds.join(mixed, "core", "left_semi"), F.col("content").bitwiseXOR(F.col("key")))))
+    return lone, marks
 
-    def candidates(batches):
-        for whole in batches:
-            for b in pieces(whole):
-                r = Runs(b.column("text"))
-                on = np.flatnonzero(is_set(shared.value, r.g))
-                t = r.text[on]
-                yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(t)), pa.array((r.first[on] - r.offsets[t]).astype(np.int32)), pa.array((r.last[on] - r.offsets[t]).astype(np.int32)), signed(r.g[on]), signed(r.u[on])], names=["key", "first", "last", "g", "u"])
 
-    runs = kept(texts.mapInArrow(candidates, "key long, first int, last int, g long, u long"), "runs")
-    ones = kept(runs.groupBy("g", "u").agg(F.count("*").alias("n"), F.min("key").alias("key")), "kinds")
-    mixed = ones.groupBy("g").agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("lone")).where("kinds > 1 and lone > 0").select("g")
-    look = sc.broadcast(bitmap(ones.join(mixed, "g", "left_semi"), F.col("u").bitwiseXOR(F.col("key"))))
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes; cuts may fall inside a character) of every document."""
+    lone, marks = lone_cells(docs)
+    lists = lone.groupBy(F.col("key").alias("lone_key")).agg(*[F.collect_list(F.when(F.col("round") == k, F.col("content"))).alias(f"lone{k}") for k in range(len(SIZES) + 1)])
+    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    joined = keyed.join(lists.hint("merge"), F.col("key") == F.col("lone_key"), "left").drop("lone_key")
 
-    def starts(batches):
+    def cut(batches):
         for whole in batches:
             for b in pieces(whole):
-                r = Runs(b.column("text"))
-                key = b.column("key").to_numpy().view(np.uint64)
-                on = np.flatnonzero(is_set(shared.value, r.g))
-                on = on[is_set(look.value, r.u[on] ^ key[r.text[on]])]
-                n = r.last[on] - r.first[on] + 1
-                at = np.repeat(r.first[on] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                t = np.repeat(r.text[on], n)
-                yield pa.RecordBatch.from_arrays([signed(r.strings(at)), signed(key[t]), pa.array((at - r.offsets[t]).astype(np.int32))], names=["h", "key", "first"])
-
-    strings = kept(texts.mapInArrow(starts, "h long, key long, first int"), "strings")
-    again = strings.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    single = strings.join(again, "h").select("key", "first", F.col("first").alias("last"))
-    whole = runs.join(ones.where("n > 1").select("g", "u"), ["g", "u"]).select("key", "first", "last")
-    return single.union(whole).groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-
-
-def removed(size: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Which of size bytes the repeated strings cover."""
-    edge = np.zeros(size + 1, np.int64)
-    np.add.at(edge, first, 1)
-    np.add.at(edge, last + LENGTH, -1)
-    return np.cumsum(edge[:-1]) > 0
-
-
-def _cut(batches):
-    for b in batches:
-        data, offsets = utf8(b.column("text"))
-        spans = b.column("spans")
-        flat = spans.flatten()
-        first, last = flat.field(0).to_numpy(), flat.field(1).to_numpy()
-        n = spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        at = np.concatenate(([0], np.cumsum(n))).astype(np.int64)
-        gone, runs, sha, text = [], [], [], []
-        for i in range(b.num_rows):
-            own = data[offsets[i] : offsets[i + 1]]
-            if n[i]:
-                off = removed(len(own), first[at[i] : at[i + 1]], last[at[i] : at[i + 1]])
-                gone.append(int(off.sum()))
-                runs.append(int(off[0]) + int((off[1:] & ~off[:-1]).sum()))
-                own = own[~off]
-            else:
-                gone.append(0)
-                runs.append(0)
-            text.append(own.tobytes())
-            sha.append(hashlib.sha256(text[-1]).hexdigest())
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(offsets)), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string()), pa.array(text, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes; cuts may fall inside a character) of every document."""
-    spans = repeated_spans(docs).withColumnRenamed("key", "span_key")
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    joined = keyed.join(spans.hint("merge"), F.xxhash64("text") == F.col("span_key"), "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+                cells = Cells(b.column("text"))
+                edge = np.zeros(len(cells.data) + 1, np.int64)
+
+                def repeated(k, c, edge=edge, b=b):
+                    lists = b.column(f"lone{k}")
+                    owner = np.repeat(np.arange(b.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                    tie = lambda text, content: content ^ mix(text.astype(np.uint64))
+                    on = ~np.isin(tie(c.text, c.content), tie(owner, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)))
+                    np.add.at(edge, c.first[on], 1)
+                    np.add.at(edge, c.last[on] + LENGTH, -1)
+                    c.select(~on)
+
+                looked_at(cells, b.column("key").to_numpy().view(np.uint64), [m.value for m in marks], repeated)
+                off = np.cumsum(edge[:-1]) > 0
+                begins = off.copy()
+                begins[1:] &= ~off[:-1]
+                first = cells.offsets[:-1][cells.offsets[:-1] < len(off)]
+                begins[first] = off[first]
+                gone, runs = (np.concatenate(([0], np.cumsum(x)))[cells.offsets] for x in (off, begins))
+                kept, at = cells.data[~off].tobytes(), (cells.offsets - gone).tolist()
+                text = [kept[x:y] for x, y in zip(at, at[1:])]
+                sha = [hashlib.sha256(x).hexdigest() for x in text]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(np.diff(x).astype(np.int64)) for x in (cells.offsets, gone, runs)], pa.array(sha, pa.string()), pa.array(text, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
