@@ -1,4 +1,4 @@
-"""Registered queries over the driver's tables: each is one function (spark, sf_dir) with its DuckDB SQL beside it."""
+"""Registered queries over the driver's tables, each with its DuckDB SQL where SQL can express it."""
 
 from __future__ import annotations
 
@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans.queries import ORACLE, QUERIES
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents per source and language with their volume."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source", "lang").count()
+    """Coverage of line atoms by language."""
+    return QUERIES["q_coverage_by_lang"](spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
