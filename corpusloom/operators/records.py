@@ -124,6 +124,9 @@ def grouped(items: DataFrame, keys: list[str], order: str, kinds: list[str], kin
 
 def atoms(records: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """key, location, content: every string of the records' string and string-array fields."""
+    def strings(f: str) -> Column:
+        return F.transform(F.coalesce(f, F.array().cast("array<string>")), lambda x, i: F.struct(F.concat(F.lit(f"{f}:"), (i + 1).cast("string")).alias("location"), x.alias("content")))
+
     kinds = dict(records.dtypes)
-    parts = [F.transform(F.coalesce(f, F.array().cast("array<string>")), lambda x, i, f=f: F.struct(F.concat(F.lit(f"{f}:"), (i + 1).cast("string")).alias("location"), x.alias("content"))) if kinds[f] == "array<string>" else F.array(F.struct(F.lit(f).alias("location"), F.col(f).alias("content"))) for f in fields]
+    parts = [strings(f) if kinds[f] == "array<string>" else F.array(F.struct(F.lit(f).alias("location"), F.col(f).alias("content"))) for f in fields]
     return records.select(key, F.explode(F.concat(*parts)).alias("a")).select(key, "a.*").where("content is not null and trim(content) <> ''")
