@@ -2,7 +2,8 @@
 
 Every document becomes hashed one- and two-word features in `buckets` buckets. Two multinomials are counted over whole
 tables: the trusted target (documents labelled of good quality) and the raw corpus (all documents). A document's score is
-the mean over its features of ln(p_target / p_raw); documents under `threshold` are rejected. Only DataFrame functions.
+the mean over its features of ln(p_target / p_raw), where the target is smoothed towards the raw distribution by a weight of
+`smoothing` in each bucket, so that rare features say little; documents under `threshold` are rejected. Only DataFrame functions.
 
 Defined results: a null text is empty; a text without words has score 0, and fails the base rule on length; equal rows give
 equal results, one row each; an empty documents table gives no rows; without trusted documents all ratios are 0 and only the
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from .common import let, words_of
 
 BUCKETS = 1 << 16
-SMOOTHING = 1.0
-THRESHOLD = -0.25
+SMOOTHING = 10.0
+THRESHOLD = -0.1
 MIN_WORDS = 50
 
 
@@ -54,7 +55,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoot
     spark = docs.sparkSession
     every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").select("bucket", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target"))
     totals = every.agg(ordered.alias("c"), F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target"))
-    ratio = lambda x: F.log((x["target"] + smoothing) / (F.col("n_target") + smoothing * buckets)) - F.log((x["raw"] + smoothing) / (F.col("n_raw") + smoothing * buckets))
+    share = F.col("n_target") / F.col("n_raw")
+    ratio = lambda x: F.log((x["target"] + smoothing) / (x["raw"] * share + smoothing))
     return totals.select(F.when(F.col("n_target") > 0, F.transform("c", ratio)).otherwise(F.transform("c", lambda x: F.lit(0.0))).alias("ratios"))
 
 
