@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fingerprint, norm
 
+#: Short needles that are broadcast at a time.
+BLOCK = 10_000
+
 
 def prepared(atoms: DataFrame) -> DataFrame:
     return atoms.withColumns({"norm": norm(F.col("content")), "print": fingerprint(F.col("content"))})
@@ -43,8 +46,8 @@ def contained(needles: DataFrame, haystacks: DataFrame, anchor_words: int = 4) -
     """(needle_id, hay_id) where the needle's normalised words occur in the haystack's text, as a string.
 
     A needle of at least anchor_words + 2 words meets haystacks on the hash of its inner words (whole words inside the needle are whole
-    words of any text that contains it), at one of its places of least hash; shorter needles, which any text may hold inside
-    a word, are broadcast if there are few of them. Found pairs are verified on the strings.
+    words of any text that contains it), the one of least hash; shorter needles, which any text may hold inside a word, are
+    broadcast in blocks of about BLOCK different ones. Found pairs are verified on the strings.
     """
     n = needles.select("needle_id", F.col("norm").alias("needle")).where(F.length("needle") > 0)
     h = haystacks.select("hay_id", F.col("norm").alias("hay"))
@@ -58,9 +61,10 @@ def contained(needles: DataFrame, haystacks: DataFrame, anchor_words: int = 4) -
     found = wanted.join(h, "hay_id").where(F.contains("hay", F.col("needle"))).select("needle_id", "hay_id")
     short = words.where(F.size("w") < anchor_words + 2).select("needle_id", "needle")
     kinds = short.select("needle").distinct()
-    if not short.isEmpty():
-        few = kinds.limit(10_001).count() <= 10_000
-        hits = h.join(F.broadcast(kinds) if few else kinds, F.contains(F.col("hay"), F.col("needle")))
+    blocks = -(-kinds.count() // BLOCK)
+    for i in range(blocks):
+        block = kinds.where(F.pmod(F.xxhash64("needle"), F.lit(blocks)) == i)
+        hits = h.join(F.broadcast(block), F.contains(F.col("hay"), F.col("needle")))
         found = found.union(hits.join(short, "needle").select("needle_id", "hay_id"))
     return found.distinct()
 

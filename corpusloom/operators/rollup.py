@@ -15,10 +15,11 @@ def path_rollup(files: DataFrame, path: str, size: Column) -> DataFrame:
 
 def outliers(counts: DataFrame, value: str, by: list[str] | None = None, z: float = 2.0) -> DataFrame:
     """Rows with their population z-score and whether it is beyond z; 0 where there is no spread. The moments are aggregated, then joined."""
-    moments = counts.groupBy(*(by or [])).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"))
-    joined = counts.join(moments, by) if by else counts.join(F.broadcast(moments))  # one row
-    score = F.when(F.coalesce("sd", F.lit(0.0)) == 0, 0.0).otherwise((F.col(value) - F.col("mean")) / F.col("sd"))
-    return joined.withColumn("z", score).withColumn("outlier", F.abs("z") > z).drop("mean", "sd")
+    both = F.struct(F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"))
+    joined = counts.join(counts.groupBy(*by).agg(both.alias("__m")), by) if by else counts.withColumn("__m", counts.agg(both).scalar())
+    mean, sd = F.col("__m.mean"), F.coalesce("__m.sd", F.lit(0.0))
+    score = F.when(sd == 0, 0.0).otherwise((F.col(value) - mean) / sd)
+    return joined.withColumn("z", score).withColumn("outlier", F.abs("z") > z).drop("__m")
 
 
 def latest(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
@@ -50,9 +51,8 @@ def weighted_vote(signals: DataFrame, boost: dict[str, float] | None = None, pla
 
 def document_frequency(df: DataFrame, item: str, words: Column, share: float) -> DataFrame:
     """How many items hold each word, and whether that is more than a share of all."""
-    total = df.agg(F.count("*").alias("items"))
     counts = df.select(item, F.explode(F.array_distinct(words)).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    return counts.join(F.broadcast(total)).select("word", "df", (F.col("df") > share * F.col("items")).alias("common"))  # one row
+    return counts.withColumn("common", F.col("df") > share * df.agg(F.count("*")).scalar())
 
 
 def set_overlap(df: DataFrame, group: str, member: str) -> DataFrame:

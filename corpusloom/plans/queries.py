@@ -419,9 +419,9 @@ def q_event_dedup(spark, sf_dir):
 def q_grouping_sets(spark, sf_dir):
     """Counts by language and by source in one pass."""
     docs = read(spark, sf_dir, "documents")
-    en = docs.where("lang = 'en'").agg(F.count("*").alias("en"))
+    en = docs.where("lang = 'en'").agg(F.count("*")).scalar()
     sets = docs.groupingSets([[F.col("lang")], [F.col("source")]], F.col("lang"), F.col("source")).agg(F.count("*").alias("n"))
-    return sets.join(F.broadcast(en)).select("en", "lang", "source", "n")  # one row
+    return sets.select(en.alias("en"), "lang", "source", "n")
 
 
 @query("""
