@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: How paths write one key, a range of keys, and a week; {} is the key word.
+ONE_KEY, KEY_RANGE, WEEK = r"{}[_\s\-]*(\d{{1,2}})", r"{}s?\s*(\d{{1,2}})\s*[-–]\s*(\d{{1,2}})", r"week[_\s\-]*(\d)"
+
+
 @dataclass(frozen=True)
 class KeyRules:
     """How a path names its group and its sub-keys: group folders and words, the sub-key word, most sub-keys of a group, and the week map."""
@@ -54,11 +58,9 @@ def keys_of(path: Column, group: Column, rules: KeyRules) -> Column:
     """Sub-keys of a path as an array: one number, else a range, else a week's keys, else none. Numbers out of range fall through."""
     p = F.lower(path)
     most = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in rules.most.items() for x in kv]), group), F.lit(rules.default_most))
-    number = lambda pattern, i: F.expr("cast(null as int)") if pattern is None else F.nullif(F.regexp_extract(p, pattern, i), F.lit("")).cast("int")
-    one = number(rf"{rules.key_word}[_\s\-]*(\d{{1,2}})", 1)
-    span = rf"{rules.key_word}s?\s*(\d{{1,2}})\s*[-–]\s*(\d{{1,2}})"
-    low, high = number(span, 1), number(span, 2)
-    week = number(r"week[_\s\-]*(\d)", 1)
+    number = lambda pattern, i: F.nullif(F.regexp_extract(p, pattern, i), F.lit("")).cast("int")
+    one, span = number(ONE_KEY.format(rules.key_word), 1), KEY_RANGE.format(rules.key_word)
+    low, high, week = number(span, 1), number(span, 2), number(WEEK, 1)
     inside = lambda x: x.between(1, most)
     weeks = F.create_map(*[x for k, v in rules.weeks.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     none = F.array().cast("array<int>")

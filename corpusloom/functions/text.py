@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Patterns of video links, in the order in which they are tried.
 VIDEO_LINKS = (r"(?:https?://)?(?:www\.)?youtube\.com/watch\?v=[\w-]+", r"(?:https?://)?youtu\.be/[\w-]+", r"(?:https?://)?(?:www\.)?vimeo\.com/\d+")
+#: What a file name's normal form loses, in this order: copy marks, separators, the extension.
+COPY_MARK, SEPARATORS, EXTENSION = r"\s*\(\d+\)\s*", r"[_\-\s]+", r"\.\w+$"
 URL = r"https?://[^\s<>\"')\]]+"
 
 
@@ -31,9 +33,9 @@ def is_label(text: Column, words: list[str], pattern: str) -> Column:
 
 def name_form(name: Column) -> Column:
     """A file name without copy marks and extension, separators as spaces, lower case; in this order."""
-    bare = F.regexp_replace(name, r"\s*\(\d+\)\s*", "")
-    bare = F.lower(F.trim(F.regexp_replace(bare, r"[_\-\s]+", " ")))
-    return F.regexp_replace(bare, r"\.\w+$", "")
+    bare = F.regexp_replace(name, COPY_MARK, "")
+    bare = F.lower(F.trim(F.regexp_replace(bare, SEPARATORS, " ")))
+    return F.regexp_replace(bare, EXTENSION, "")
 
 
 def edit_ratio(a: Column, b: Column) -> Column:
