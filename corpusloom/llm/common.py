@@ -102,11 +102,12 @@ def utf8(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 21):
-    """The batch in slices of at most so many bytes of text, or of one row, so that arrays over bytes stay small."""
+def pieces(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 21, rows: int = 1 << 20):
+    """The batch in slices of at most so many bytes of text (or of one row) and so many rows, so that arrays over bytes stay small."""
     lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     block = np.cumsum(lengths, dtype=np.int64) // most
-    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(lengths)]
+    new = (np.diff(block) > 0) | (np.arange(1, len(lengths)) % rows == 0) if len(lengths) else np.zeros(0, bool)
+    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(lengths)]
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
             yield batch.slice(a, b - a)

@@ -260,7 +260,7 @@ def with_scores(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         restore = restorer(model.logp)
         for whole in batches:
-            for b in pieces(pa.RecordBatch.from_arrays(whole.columns, names=["text" if i == at else f"c{i}" for i in range(whole.num_columns)])):
+            for b in pieces(pa.RecordBatch.from_arrays(whole.columns, names=["text" if i == at else f"c{i}" for i in range(whole.num_columns)]), most=1 << 20):
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.scores(restored(b, restore)))], names=[*columns, "__score"])
 
     from pyspark.sql.types import DoubleType, StructType
