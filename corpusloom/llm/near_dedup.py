@@ -8,9 +8,10 @@ its length; a text with an empty coordinate is thrown again with the limit doubl
 probability equal to their similarity.
 
 Bands of coordinates are hashed; texts that share a band are compared exactly. In bands of up to `small` different texts all pairs are
-compared. In larger ones each text is compared with the band's hub; then `hubs` further hubs of each band, drawn by a hash of the
-band, are compared with the texts that are not in their component; so the number of pairs stays proportional to the rows. A pair at
-0.8 meets in some band with probability 0.99995. Equal texts share one key and are never paired.
+compared. In larger ones each text is compared with the band's hub. Where that leaves a band in more than one component, its texts meet once
+more by their rarest shingles (prefix filter: two texts at the threshold share one of them), and all that meet and are not connected yet are compared,
+first with a few hubs, then all with all. A pair at 0.8 meets in some band with probability 0.99995, and is then compared or
+connected through others. Equal texts share one key and are never paired.
 
 Defined results: null counts as the empty text; texts without words are near only to equal texts; the class id is the smallest
 doc_id of the class (null if all are null); repeated rows share a class; an empty table gives no rows; extra columns are ignored,
@@ -28,7 +29,7 @@ from .common import cut_lineage, digest, hashed_words, mix, pieces
 
 SHINGLE, THRESHOLD = 5, 0.8
 T, BANDS, ROWS = 128, 25, 5
-SMALL, HUBS, SALTS = 8, 2, 256
+SMALL, SALTS, FEW, CELLS = 8, 256, 8, 1 << 16
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -144,18 +145,99 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), digest(text).alias("key"))
 
 
+def texts_of(need: DataFrame, docs: DataFrame, one: DataFrame) -> DataFrame:
+    """(key, text) of the keys in need, one copy of each."""
+    need = need.join(one, "key").select(F.col("key").alias("need"), F.col("one").alias("need_id"))
+    return keyed(docs).join(need, (F.col("key") == F.col("need")) & F.col("doc_id").eqNullSafe(F.col("need_id"))).groupBy("key").agg(F.first("text").alias("text"))
+
+
 def verify(pairs: DataFrame, docs: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
     """Those (a, b) whose texts are similar enough. Only texts that some pair needs travel, one copy of each."""
-    need = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct().join(one, "key")
-    rows, need = keyed(docs), need.select(F.col("key").alias("need"), F.col("one").alias("need_id"))
-    texts = rows.join(need, (F.col("key") == F.col("need")) & F.col("doc_id").eqNullSafe(F.col("need_id"))).groupBy("key").agg(F.first("text").alias("text"))
+    texts = texts_of(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), docs, one)
     salted = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("salt"))  # a hub's many partners are dealt over as many tasks
     hubs = salted.select("a", "salt").distinct().join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
     joined = salted.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b").join(hubs, ["a", "salt"])
     return joined.select("a", "b", "ta", "tb").mapInArrow(_verified(threshold), "a binary, b binary")
 
 
-def near_components(docs: DataFrame, threshold: float = THRESHOLD, small: int = SMALL, hubs: int = HUBS) -> tuple[DataFrame, DataFrame]:
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Document and hash of each shingle with its number among the equal ones of its text: the multiset as a set."""
+    doc, element, weight = weighted(*shingles(texts))
+    n = weight.astype(np.int64)
+    nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    return np.repeat(doc, n), mix(np.repeat(element, n) + nth.astype(np.uint64) * _PLACES[0])
+
+
+def rare_tokens(texts: DataFrame, threshold: float) -> DataFrame:
+    """(token, key, size): the first tokens of each text, rarest first, so many that two texts at the threshold share one.
+
+    The order is that of the counts of CELLS cells of token hashes, then of the hash: one order for all texts, so nothing is lost where tokens share a cell.
+    """
+
+    def count(batches):
+        total = np.zeros(CELLS, np.int64)
+        for whole in batches:
+            for b in pieces(whole):
+                total += np.bincount((tokens(b.column("text"))[1] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+
+    got = texts.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(CELLS, np.int64)
+    counts[got.column("cell").to_numpy()] = got.column("n").to_numpy()
+    given = texts.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches):
+        for whole in batches:
+            for b in pieces(whole, most=1 << 20):
+                doc, token = tokens(b.column("text"))
+                order = np.lexsort((token, given.value[(token % np.uint64(CELLS)).astype(np.int64)], doc))
+                doc, token = doc[order], token[order]
+                size = np.bincount(doc, minlength=b.num_rows)
+                most = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
+                first = np.arange(len(doc)) - (np.cumsum(size) - size)[doc] < most[doc]
+                yield pa.RecordBatch.from_arrays([pa.array(token[first].view(np.int64)), b.column("key").take(pa.array(doc[first])), pa.array(size[doc[first]])], names=["token", "key", "size"])
+
+    return texts.select("key", "text").mapInArrow(run, "token long, key binary, size long")
+
+
+def placed_in(rows: DataFrame, found: DataFrame) -> DataFrame:
+    return rows.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
+
+
+def all_links(links: DataFrame, found: DataFrame, many: DataFrame, done: DataFrame, docs: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
+    """Components after every two texts of a band in many (band, key, n) have been compared, or been found connected; done: pairs compared before.
+
+    Texts of bands that are not in one component meet where they share a rare token. The first round compares few hubs of a token with all its texts that
+    are in other components: the text that shares bands with most others, and about FEW drawn ones. The second compares all that are still in different ones.
+    """
+    now = placed_in(many, found)
+    split = now.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
+    loose = cut_lineage(many.join(cut_lineage(split), "band").groupBy("key").agg(F.sum("n").alias("reach")))
+    if loose.isEmpty():
+        return found
+    rows = cut_lineage(rare_tokens(cut_lineage(texts_of(loose.select("key"), docs, one)), threshold)).join(loose, "key")
+    groups = cut_lineage(rows.groupBy("token").agg(F.count("*").alias("m"), F.max_by("key", F.struct("reach", "key")).alias("top")).where("m > 1"))
+    rows = cut_lineage(rows.join(groups, "token").select("token", "key", "size", "m", (F.col("key") == F.col("top")).alias("top"), (F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / (1 << 30)).alias("u")))
+    for chosen in (F.col("top") | (F.col("u") * F.col("m") < FEW), F.lit(True)):
+        now = placed_in(rows, found)
+        split = now.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
+        rows = cut_lineage(now.join(cut_lineage(split), "token").select(*rows.columns, "component"))
+        if rows.isEmpty():
+            break
+        hub = cut_lineage(rows.where(chosen).select("token", F.col("key").alias("hub"), F.col("size").alias("hub_size"), F.col("component").alias("hub_component")))
+        fits = F.least("size", "hub_size") / F.greatest("size", "hub_size") >= threshold  # else the similarity can't reach it
+        pairs = rows.join(hub, "token").where((F.col("component") != F.col("hub_component")) & fits).select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
+        pairs = cut_lineage(pairs.join(done, ["a", "b"], "left_anti"))
+        done, rows = done.union(pairs), rows.drop("component")
+        new = cut_lineage(verify(pairs, docs, one, threshold))
+        if not new.isEmpty():
+            links = links.union(new)
+            found = components(links)
+    return found
+
+
+def near_components(docs: DataFrame, threshold: float = THRESHOLD, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
     """(key, component) of the texts that have links, and (key, one): a doc_id of each text."""
     rows = keyed(docs)
     one = rows.groupBy("key").agg(F.min("doc_id").alias("one"))
@@ -168,17 +250,7 @@ def near_components(docs: DataFrame, threshold: float = THRESHOLD, small: int =
     pairs = cut_lineage(met.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).union(every).distinct())
     links = cut_lineage(verify(pairs, docs, one, threshold))
     found = components(links)
-    placed = met.where(F.col("n") > small).select("band", "key").join(found, "key", "left").select("band", "key", F.coalesce("component", "key").alias("component"))
-    others = [F.min_by(F.struct("key", "component"), F.xxhash64(F.lit(k), "band", "key")).alias(f"hub{k}") for k in range(hubs)]
-    split = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.array(*others).alias("hubs")).where("low <> high").select("band", "hubs")
-    more = placed.join(cut_lineage(split), "band").select("key", "component", F.explode("hubs").alias("hub")).where(F.col("component") != F.col("hub.component"))
-    more = more.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
-    more = cut_lineage(more.join(pairs, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        new = cut_lineage(verify(more, docs, one, threshold))
-        if not new.isEmpty():
-            found = components(links.union(new))
-    return found, one
+    return all_links(links, found, met.where(F.col("n") > small).select("band", "key", "n"), pairs, docs, one, threshold), one
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -156,6 +156,31 @@ def test_near_duplicates(spark, sf):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_star_of_copies_that_are_not_near_to_each_other(spark):
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(400)]
+    texts = [(0, " ".join(base))]
+    for k in range(1, 301):
+        words = list(base)
+        for at in rng.choice(80, 7, replace=False) * 5 + 2:
+            words[at] = f"edit{k}x{at}"
+        texts.append((k, " ".join(words)))
+    assert jaccard(texts[0][1], texts[1][1]) > 0.8
+    assert sum(jaccard(texts[i][1], texts[i + 1][1]) < 0.8 for i in range(1, 300)) > 290
+    rows = near_dedup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {(r.class_id, r.class_size) for r in rows} == {(0, 301)}
+
+
+def test_rare_tokens_meet(spark):
+    texts = [(k.to_bytes(2, "big"), " ".join(f"w{(i * i + (k if i % 9 < k % 4 else 0)) % 97}" for i in range(30 + k % 5))) for k in range(60)]
+    rows = near_dedup.rare_tokens(spark.createDataFrame(texts, "key binary, text string"), 0.8).collect()
+    own = {}
+    for r in rows:
+        own.setdefault(bytes(r.key), set()).add(r.token)
+    near = [(a, b) for i, (a, x) in enumerate(texts) for b, y in texts[:i] if jaccard(x, y) >= 0.8]
+    assert near and all(own[a] & own[b] for a, b in near)
+
+
 def test_dart_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(4)
     h = np.arange(1, 301, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
