@@ -10,7 +10,7 @@ from ..functions import rules as R
 from ..functions import text as T
 from ..operators import dedup, diff, reconcile, records, rollup
 from ..operators.expect import completeness
-from ..operators.similar import match_fuzzy
+from ..operators.similar import match_fuzzy, ratio
 from ..streaming import feeds
 from .queries import PAGE_RULES, query, read, saved
 
@@ -255,11 +255,22 @@ def q_first_non_empty(spark, sf_dir):
 
 @query()
 def q_fuzzy_docs(spark, sf_dir):
-    """Best match of every labelled document's first 200 characters among the others of its language."""
-    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("atom_id"), F.lit("text").alias("atom_type"), F.col("lang").alias("term"), F.col("doc_id").alias("ord"), T.norm(F.col("text")).alias("norm"))
-    lab = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("atom_id"))
-    first = d.withColumn("norm", F.substring("norm", 1, 200)).groupBy("norm", "atom_type", "term").agg(F.min("ord").alias("ord")).withColumn("atom_id", F.col("ord"))
-    return match_fuzzy(first.join(lab, "atom_id", "left_semi"), first.join(lab, "atom_id", "left_anti"))
+    """Best match of every labelled document's first 200 characters among the unlabelled documents of its language."""
+    d = read(spark, sf_dir, "documents").select("doc_id", F.lit("text").alias("atom_type"), F.col("lang").alias("term"), F.substring(T.norm(F.col("text")), 1, 200).alias("norm"))
+    return fuzzy_sides(d, read(spark, sf_dir, "labels").select("doc_id"))
+
+
+def fuzzy_sides(d, labelled):
+    """match_fuzzy of the labelled rows of d with the others. Equal rows of a side are matched once, and equal ones across the sides without a search."""
+    lab = labelled.distinct()
+    same = ["norm", "atom_type", "term"]
+    source, target = (d.join(lab, "doc_id", how).groupBy(*same).agg(F.min("doc_id").alias("atom_id")).withColumn("ord", F.col("atom_id")) for how in ("left_semi", "left_anti"))
+    equal = source.join(target.select(*same, F.col("atom_id").alias("target_id")), same).where((F.length("norm") >= 5) & (ratio("norm", "norm") == 1.0))
+    equal = equal.select("atom_id", "target_id", F.lit("fuzzy").alias("tier"), F.lit(1.0).alias("confidence"))
+    found = equal.union(match_fuzzy(source.join(equal, "atom_id", "left_anti"), target).select(*equal.columns))
+    of = source.select(*same, F.col("atom_id").alias("least"))
+    members = d.join(lab, "doc_id", "left_semi").join(of, same).select(F.col("doc_id").alias("atom_id"), "least")
+    return members.join(found.withColumnRenamed("atom_id", "least"), "least").select("atom_id", "target_id", "tier", "confidence")
 
 
 @query("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL")

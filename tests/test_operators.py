@@ -151,3 +151,21 @@ def test_rollups(spark):
     assert {(r.k, tuple(r.tags), r.description, r.confidence) for r in m.collect()} == {("k", ("a", "b"), "longer", "high"), ("l", ("c",), "y", "single")}
     checks = expect.expect(n, [expect.Rule("A", "ERROR", F.col("n") > 50, "few"), expect.Rule("B", "WARNING", F.col("n") > 50, "some", 4, 0.2)])
     assert expect.verdict(checks).first().verdict == "FAIL" and expect.verdict(checks.where("check_id = 'B'")).first().verdict == "PASS"
+
+
+def test_fuzzy_sides_take_every_labelled_document(spark):
+    from difflib import SequenceMatcher
+
+    from corpusloom.plans.corpus_queries import fuzzy_sides
+
+    text = "a text about the green hills and the rivers between them"
+    rows = [(1, text, "en"), (2, text, "en"), (3, text, "en"), (4, text + " x", "en"), (5, text, "de"), (6, "other words altogether, so no match", "en"), (7, text[:-3], "en"), (8, "aaaa" * 50, "en"), (9, "aaaa" * 50, "en"), (10, text + " x", "en")]
+    labelled = [2, 3, 4, 6, 7, 8, 5]
+    want = []
+    for i, x, lang in rows:
+        best = [(-SequenceMatcher(None, x, y).ratio(), j) for j, y, other in rows if j not in labelled and other == lang]
+        if i in labelled and best and -min(best)[0] >= 0.8:
+            want.append((i, min(best)[1], "fuzzy", round(-min(best)[0], 9)))
+    d = spark.createDataFrame(rows, "doc_id long, norm string, term string").selectExpr("doc_id", "'text' AS atom_type", "term", "norm")
+    got = fuzzy_sides(d, spark.createDataFrame([(i,) for i in [*labelled, 2]], "doc_id long"))
+    assert sorted((r.atom_id, r.target_id, r.tier, round(r.confidence, 9)) for r in got.collect()) == want and len(want) >= 4
