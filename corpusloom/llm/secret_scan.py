@@ -28,9 +28,11 @@ HEX = r"[0-9a-f]{16,}"
 WEAK = {
     "user": (r"""(?i:\b(?:user|username|login|account|client_id|access_key))["']?\x20*[:=]\x20*["']?[A-Za-z0-9@_.-]{3,}""", "identifier"),
     "short": (r"""(?i:\b(?:pass|pwd|pw|key|auth|bearer|password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{4,11}(?![A-Za-z0-9+/_.=-])""", "secret"),
-    "mixed": (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,40}[0-9])(?=[a-z0-9+/_=-]{0,40}[A-Z])(?=[A-Z0-9+/_=-]{0,40}[a-z])[A-Za-z0-9+/_=-]{20,}", "secret"),
+    "mixed": (r"[A-Za-z0-9+/_=-]{20,}", "secret"),
     "endpoint": (r"(?:(?:https?|ftp|ssh|jdbc:[a-z]{2,12}|mongodb|redis|amqp|s3)://[A-Za-z0-9@:%._/-]{4,}|\b[a-z0-9-]+(?:\.[a-z0-9-]+)+:[0-9]{2,5}\b)", "endpoint"),
 }
+#: What a match must hold besides.
+HOLDS = {"mixed": ("[0-9]", "[A-Z]", "[a-z]")}
 ROLE = {"assign": "secret", "access": "identifier", "hex": "secret"}
 ORDER = {k: i for i, k in enumerate(("assign", "access", "hex", *WEAK))}
 
@@ -43,11 +45,17 @@ def found(text: Column, pattern: str, kind: str, least: int = 0, group: int = 0)
     span = "struct<start:int,rank:int,end:int,kind:string>"
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("out"))
 
+    def holds(x: Column) -> Column:
+        out = F.length(x["group"]) >= least
+        for part in HOLDS.get(kind, ()):
+            out = out & x["match"].rlike(part)
+        return out
+
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + F.length(x["piece"])
         end = begin + F.length(x["match"])
         one = F.array(F.struct(begin.alias("start"), F.lit(ORDER[kind]).alias("rank"), end.alias("end"), F.lit(kind).alias("kind")))
-        return F.struct(end.alias("at"), F.when(F.length(x["group"]) >= least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+        return F.struct(end.alias("at"), F.when(holds(x), F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
     # pieces has one element more than matches; its partner is null and ends the fold
     zipped = F.filter(F.zip_with(F.arrays_zip(pieces.alias("piece"), matches.alias("match")), groups, lambda p, g: F.struct(p["piece"].alias("piece"), p["match"].alias("match"), g.alias("group"))), lambda x: x["match"].isNotNull())

@@ -70,6 +70,12 @@ def test_weak_parts_need_company(spark):
     assert (2, None) in same and (7, "[secret] and [secret] then [secret] x") in same
 
 
+def test_mixed_tokens_of_any_length(spark):
+    texts = {1: "user=alice " + "z" * 60 + "B7", 2: "user=alice " + "Z" * 70 + "7" + "z", 3: "user=alice " + "z" * 60 + "7", 4: "user=alice zB7" + "y" * 20}
+    got = {r.doc_id: r.spans for r in secret_scan.secret_report(spark.createDataFrame([*texts.items()], "doc_id long, text string")).collect()}
+    assert got == {1: "user:0:10,mixed:11:73", 2: "user:0:10,mixed:11:83", 3: "", 4: "user:0:10,mixed:11:34"}
+
+
 def brute_contamination(docs, items):
     low = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
     grams = {}
