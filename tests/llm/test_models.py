@@ -89,6 +89,18 @@ def test_lm_scores(spark, sf):
     assert attention_lm.lm_scores(docs.limit(0)).count() == 0
 
 
+def test_layout_and_model_see_all_training_documents(spark):
+    texts = [(i, f"document{i} speaks of zebra{i} and of nothing else") for i in range(12)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    train = [t for i, t in texts if zlib.crc32(str(i).encode()) % 7 != 2]
+    ids, _ = attention_lm.Words(pa.array(train)).subwords(attention_lm.VOCABULARY)
+    want = attention_lm.Layout(np.bincount(ids, minlength=attention_lm.IDS))
+    flat, layout = attention_lm.trained(docs, attention_lm.VOCABULARY)
+    assert (layout.inner == want.inner).all() and (layout.kind == want.kind).all() and (layout.input == want.input).all()
+    assert not np.allclose(flat, attention_lm.start_values(want))
+    assert attention_lm.SHARE == 1 and (attention_lm.trained(docs, attention_lm.VOCABULARY, share=32)[1].inner == want.inner).all()
+
+
 def test_attention_gradients_and_windows():
     ids = np.arange(40) * 37 % 500
     layout = attention_lm.Layout(np.bincount(ids, minlength=attention_lm.IDS))
