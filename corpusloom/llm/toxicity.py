@@ -1,7 +1,7 @@
 """Operator 6. Toxicity: noisy-channel deobfuscation, then a classifier over the restored text.
 
 Channel. A token that looks disguised (digits or signs among letters, letters three times or more in a row, letters spaced
-out one by one) becomes a lattice of characters: each sign may stand for itself or for the letters it imitates, a run of a letter for
+out one by one) becomes a lattice of characters: a sign between spaced letters is dropped or a word boundary (the reading as one word is kept beside that), each sign may stand for itself or for the letters it imitates, a run of a letter for
 one or two of it, a star for any letter. Viterbi finds the path of highest probability under a character trigram model, which is
 counted over the training documents. Other tokens have one path and stay as they are.
 
@@ -34,7 +34,7 @@ CUT = 0.7
 #: Fixed value: signs and the letters they imitate.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
-SWAP, SHRINK, ANY = -1.0, -0.5, -3.5
+SWAP, SHRINK, ANY, PART = -1.0, -0.5, -3.5, -1.0
 
 DISGUISED = re.compile(
     r"(?<![A-Za-z0-9])[A-Za-z0-9@$](?:[ ._-][A-Za-z0-9@$]){2,}(?![A-Za-z0-9])"  # s p a c e d
@@ -65,10 +65,15 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
     return np.log((n3 + 20 * p2[None]) / (n3.sum(axis=2, keepdims=True) + 20))
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """Slots of (string, log channel weight); a slot is one character of the token, or a run of one."""
+def lattice(token: str, parts: bool = False) -> list[list[tuple[str, float]]]:
+    """Slots of (string, log channel weight); a slot is one character of the token, or a run of one. parts: spaced letters may be several words."""
     if len(token) > 2 and all(c in " ._-" for c in token[1::2]) and len(token) % 2:
         token = token[::2]
+        if parts:
+            slots = lattice(token[0])
+            for c in token[1:]:
+                slots += [[("", 0.0), (" ", PART)], *lattice(c)]
+            return slots
     slots, i = [], 0
     token = token.lower()
     while i < len(token):
@@ -88,11 +93,11 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return slots
 
 
-def decode(token: str, logp: np.ndarray) -> str:
+def decode(token: str, logp: np.ndarray, parts: bool = False) -> str:
     """The most probable reading of a disguised token: Viterbi over its lattice, states are the last two classes."""
-    code = lambda c: ord(c) - 96 if c in LETTERS else 27
+    code = lambda c: ord(c) - 96 if c in LETTERS else 0 if c == " " else 27
     paths = {(0, 0): (0.0, "")}
-    for slot in lattice(token):
+    for slot in lattice(token, parts):
         new: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (score, text) in paths.items():
             for string, weight in slot:
@@ -115,7 +120,12 @@ def restorer(logp: np.ndarray):
         def __getitem__(self, k):
             return logp[k[0]][k[1]][k[2]]
 
-    read = lru_cache(maxsize=50_000)(lambda token: decode(token, Table()))
+    @lru_cache(maxsize=50_000)
+    def read(token: str) -> str:
+        """As one word; spaced letters also as several, where that is more probable."""
+        one, more = decode(token, Table()), decode(token, Table(), True)
+        return one if more == one else f"{one} {more}"
+
     return lambda text: DISGUISED.sub(lambda m: read(m[0]), text)
 
 

@@ -51,6 +51,35 @@ def test_toxicity(spark):
     assert toxicity.toxicity(docs.limit(0), table).count() == 0
 
 
+def test_spaced_words_beside_others(spark):
+    docs, table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = toxicity.train(docs, table)
+    restore = toxicity.restorer(model.logp)
+    assert "moron" in restore("you are a m o r o n").split() and {"stupid", "idiot"} <= set(restore("s t u p i d i d i o t").split())
+    assert "loser" in restore("so l o s e r").split() and "pathetic" in restore("so p a t h e t i c").split()  # the reading as one word stays
+    texts = pa.array(["you are a m o r o n", "s t u p i d i d i o t", "you are a fine one"])
+    hits = model.sums(toxicity.restored(pa.RecordBatch.from_arrays([texts], names=["text"]), restore))[:, 0]
+    assert hits[0] > 0 and hits[1] > 0 and hits[2] == 0
+
+
+def test_viterbi_over_word_boundaries():
+    rng = np.random.default_rng(1)
+    logp = np.log(rng.dirichlet(np.ones(28), (28, 28)))
+    code = lambda c: 0 if c == " " else ord(c) - 96 if c in toxicity.LETTERS else 27
+    for token in ("a b c", "m o r o n", "l-0-l"):
+        paths = [(0.0, "")]
+        for slot in toxicity.lattice(token, True):
+            paths = [(s + w, t + x) for s, t in paths for x, w in slot]
+        totals = []
+        for s, t in paths:
+            a = b = 0
+            for k in [*map(code, t), 0]:
+                s += logp[a, b, k]
+                a, b = b, k
+            totals.append((s, t))
+        assert toxicity.decode(token, logp, True) == max(totals)[1]
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(0)
     logp = np.log(rng.dirichlet(np.ones(28), (28, 28)))
