@@ -19,11 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names in spark.checkpoint.dir; a temporary one only where none is set, as in tests."""
+    """The shared folder that the session names in spark.checkpoint.dir; where none is set, a temporary one in local mode (tests), else an error."""
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corpusloom-"))
-    return sc._jsc.sc().getCheckpointDir().get()
+    if sc.getCheckpointDir() is None:
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpusloom-"))
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -37,6 +40,14 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """A column name that no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words_of(text: Column) -> Column:
     """White-space separated words of a text; null gives no words."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
@@ -65,19 +76,9 @@ _rng = np.random.default_rng(20240611)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLDED = _BYTE.copy()
 _FOLDED[65:91] = _BYTE[97:123]
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
-_powers = np.cumprod(np.full(4096, _STEP, np.uint64), dtype=np.uint64)
-
-
-def powers(n: int) -> np.ndarray:
-    global _powers
-    if n > len(_powers):
-        _powers = np.cumprod(np.full(2 * n, _STEP, np.uint64), dtype=np.uint64)
-    return _powers
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A finaliser that spreads every input bit over all output bits."""
     h = h.astype(np.uint64, copy=True)
@@ -115,10 +116,14 @@ def pieces(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 21, row
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words (words never cross texts), and per text the index of its first word, end last. between: which bytes part words."""
-    inside = ~between[data]
+    return runs(~between[data], offsets)
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of marked bytes (runs never cross texts), and per text the index of its first run, end last."""
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
-    first = offsets[:-1][offsets[:-1] < len(data)]
+    first = offsets[:-1][offsets[:-1] < len(inside)]
     starts[first] = inside[first]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:]
@@ -128,18 +133,45 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPA
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, offsets)
 
 
+_PLACE = mix(np.arange(1, 4097, dtype=np.uint64))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
-    """A 64-bit hash of each byte span; fold: A-Z count as a-z. Spans are in order and don't overlap."""
+    """A 64-bit hash of each byte span; fold: A-Z count as a-z. Spans are in order and don't overlap.
+
+    Every (byte, position) is mixed before the sum, so no regular pattern of bytes cancels out.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
     size = ends - starts
     at = np.cumsum(size) - size
     pos = np.arange(int(size.sum())) - np.repeat(at, size)
-    terms = (_FOLDED if fold else _BYTE)[data[np.repeat(starts, size) + pos]]
-    terms *= powers(int(size.max()))[pos]
+    terms = (_FOLDED if fold else _BYTE)[data[np.repeat(starts, size) + pos]] + _PLACE[pos & 4095]
+    if len(_PLACE) < size.max():
+        terms += (pos >> 12).astype(np.uint64) * _ODD
+    terms = mix(terms)
     return mix(np.add.reduceat(terms, at) + size.astype(np.uint64))
 
 
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans that differ from all before them, and for each span its place among these. Equal hashes only propose: the bytes decide."""
+    _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
+    size = ends - starts
+    odd = size != size[one[which]]
+    n = np.where(odd, 0, size)
+    pos = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    unlike = data[np.repeat(starts, n) + pos] != data[np.repeat(starts[one[which]], n) + pos]
+    odd[np.repeat(np.arange(len(n)), n)[unlike]] = True
+    if odd.any():  # spans that only share a hash are told apart by their bytes
+        seen: dict[bytes, int] = {}
+        for i in np.flatnonzero(odd).tolist():
+            k = seen.setdefault(data[starts[i] : ends[i]].tobytes(), len(one))
+            if k == len(one):
+                one = np.append(one, i)
+            which[i] = k
+    return one, which
+
+
 def hashed_words(texts: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word, and per text the index of its first word, end last."""
     data, offsets = utf8(texts)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from .common import pieces, span_hashes, utf8
+from .common import distinct_spans, pieces, span_hashes, utf8
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, GAP = 0xFF, 0xFE
@@ -163,7 +163,7 @@ class Transducer:
         new[first[:-1][size > 0]] = True
         starts = np.flatnonzero(new)
         ends = np.append(starts[1:], len(data))
-        _, one, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        one, which = distinct_spans(data, starts, ends, span_hashes(data, starts, ends))
         ids, at = self.paths(data, starts[one], ends[one])
         n = np.diff(at)[which]
         total = np.concatenate(([0], np.cumsum(n)))
