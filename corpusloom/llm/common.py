@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """checkpoint() into the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """df as a table written in the shared folder: what follows starts from its files, whichever executors are lost."""
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def let(value: Column, body) -> Column:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, digest, hashed_words, mix, pieces
+from .common import cut_lineage, digest, fresh, hashed_words, mix, pieces
 
 SHINGLE, THRESHOLD = 5, 0.8
 T, BANDS, ROWS = 128, 25, 5
@@ -127,17 +127,16 @@ def _verified(threshold: float):
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(key, component): the least key that links (a, b) connect each key to. Rounds of minimum and pointer jumping, lineage cut each time."""
+    """(key, component): the least key that links (a, b) connect each key to. Rounds of minimum and pointer jumping, each written as tables."""
     both = cut_lineage(links.select("a", "b").union(links.select("b", "a")).distinct())
     now = cut_lineage(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.col("a")).alias("component")).select("key", "component"))
     while True:
         near = both.join(now.select(F.col("key").alias("b"), F.col("component").alias("c")), "b").groupBy(F.col("a").alias("key")).agg(F.min("c").alias("c"))
-        low = now.join(near, "key").select("key", F.col("component").alias("was"), F.least("component", "c").alias("component"))
-        jump = low.select(F.col("key").alias("component"), F.col("component").alias("further"))
-        new = cut_lineage(low.join(jump, "component").select("key", "was", F.least("component", "further").alias("component")))
-        now = new.select("key", "component")
-        if new.where("was <> component").isEmpty():
+        low = cut_lineage(now.join(near, "key").select("key", F.col("component").alias("was"), F.least("component", "c").alias("component")))
+        if low.where("was <> component").isEmpty():  # all neighbours agree
             return now
+        jump = low.select(F.col("key").alias("component"), F.col("component").alias("further"))
+        now = cut_lineage(low.join(jump, "component").select("key", F.least("component", "further").alias("component")))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -151,9 +150,8 @@ def texts_of(need: DataFrame, docs: DataFrame, one: DataFrame) -> DataFrame:
     return keyed(docs).join(need, (F.col("key") == F.col("need")) & F.col("doc_id").eqNullSafe(F.col("need_id"))).groupBy("key").agg(F.first("text").alias("text"))
 
 
-def verify(pairs: DataFrame, docs: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
-    """Those (a, b) whose texts are similar enough. Only texts that some pair needs travel, one copy of each."""
-    texts = texts_of(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), docs, one)
+def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Those (a, b) whose texts are similar enough."""
     salted = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("salt"))  # a hub's many partners are dealt over as many tasks
     hubs = salted.select("a", "salt").distinct().join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
     joined = salted.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b").join(hubs, ["a", "salt"])
@@ -201,28 +199,27 @@ def rare_tokens(texts: DataFrame, threshold: float) -> DataFrame:
     return texts.select("key", "text").mapInArrow(run, "token long, key binary, size long")
 
 
-def placed_in(rows: DataFrame, found: DataFrame) -> DataFrame:
-    return rows.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
+def split_groups(rows: DataFrame, found: DataFrame, group: str) -> DataFrame:
+    """The rows (group, key, ...) of groups that are in more than one component, with each key's component."""
+    now = cut_lineage(rows.join(found, "key", "left").withColumn("component", F.coalesce("component", "key")))
+    split = now.groupBy(group).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select(group)
+    return cut_lineage(now.join(cut_lineage(split), group))
 
 
-def all_links(links: DataFrame, found: DataFrame, many: DataFrame, done: DataFrame, docs: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
+def all_links(links: DataFrame, found: DataFrame, many: DataFrame, done: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Components after every two texts of a band in many (band, key, n) have been compared, or been found connected; done: pairs compared before.
 
     Texts of bands that are not in one component meet where they share a rare token. The first round compares few hubs of a token with all its texts that
     are in other components: the text that shares bands with most others, and about FEW drawn ones. The second compares all that are still in different ones.
     """
-    now = placed_in(many, found)
-    split = now.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-    loose = cut_lineage(many.join(cut_lineage(split), "band").groupBy("key").agg(F.sum("n").alias("reach")))
+    loose = cut_lineage(split_groups(many, found, "band").groupBy("key").agg(F.sum("n").alias("reach")))
     if loose.isEmpty():
         return found
-    rows = cut_lineage(rare_tokens(cut_lineage(texts_of(loose.select("key"), docs, one)), threshold)).join(loose, "key")
-    groups = cut_lineage(rows.groupBy("token").agg(F.count("*").alias("m"), F.max_by("key", F.struct("reach", "key")).alias("top")).where("m > 1"))
-    rows = cut_lineage(rows.join(groups, "token").select("token", "key", "size", "m", (F.col("key") == F.col("top")).alias("top"), (F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / (1 << 30)).alias("u")))
+    rows = cut_lineage(rare_tokens(texts.join(loose.select("key"), "key"), threshold))
+    groups = cut_lineage(rows.join(loose, "key").groupBy("token").agg(F.count("*").alias("m"), F.max_by("key", F.struct("reach", "key")).alias("top")).where("m > 1"))
+    rows = rows.join(groups, "token").select("token", "key", "size", "m", (F.col("key") == F.col("top")).alias("top"), (F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / (1 << 30)).alias("u"))
     for chosen in (F.col("top") | (F.col("u") * F.col("m") < FEW), F.lit(True)):
-        now = placed_in(rows, found)
-        split = now.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-        rows = cut_lineage(now.join(cut_lineage(split), "token").select(*rows.columns, "component"))
+        rows = split_groups(rows, found, "token")
         if rows.isEmpty():
             break
         hub = cut_lineage(rows.where(chosen).select("token", F.col("key").alias("hub"), F.col("size").alias("hub_size"), F.col("component").alias("hub_component")))
@@ -230,7 +227,7 @@ def all_links(links: DataFrame, found: DataFrame, many: DataFrame, done: DataFra
         pairs = rows.join(hub, "token").where((F.col("component") != F.col("hub_component")) & fits).select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
         pairs = cut_lineage(pairs.join(done, ["a", "b"], "left_anti"))
         done, rows = done.union(pairs), rows.drop("component")
-        new = cut_lineage(verify(pairs, docs, one, threshold))
+        new = cut_lineage(verify(pairs, texts, threshold))
         if not new.isEmpty():
             links = links.union(new)
             found = components(links)
@@ -238,36 +235,35 @@ def all_links(links: DataFrame, found: DataFrame, many: DataFrame, done: DataFra
 
 
 def near_components(docs: DataFrame, threshold: float = THRESHOLD, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
-    """(key, component) of the texts that have links, and (key, one): a doc_id of each text."""
-    rows = keyed(docs)
-    one = rows.groupBy("key").agg(F.min("doc_id").alias("one"))
-    bands = cut_lineage(rows.select("key", "text").mapInArrow(_bands, "band long, key binary").distinct())
-    met = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("hub")).where("n > 1")
-    met = cut_lineage(met)  # a table of its own, so that a hot band can be split in the join
+    """(key, component) of the texts that have links, and (doc_id, key) of every document."""
+    ids = cut_lineage(keyed(docs).select("doc_id", "key"))
+    bands = cut_lineage(keyed(docs).select("key", "text").mapInArrow(_bands, "band long, key binary").distinct())
+    met = cut_lineage(bands.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("hub")).where("n > 1"))  # a table of its own, so that a hot band can be split in the join
     met = cut_lineage(bands.join(met, "band"))
+    one = ids.groupBy("key").agg(F.min("doc_id").alias("one"))
+    texts = cut_lineage(texts_of(met.select("key").distinct(), docs, one))  # only these can have links; every comparison reads this table
     few = met.where((F.col("n") > 2) & (F.col("n") <= small)).select("band", "key")
     every = few.select("band", F.col("key").alias("a")).join(few.select("band", F.col("key").alias("b")), "band").where("a < b").select("a", "b")
     pairs = cut_lineage(met.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).union(every).distinct())
-    links = cut_lineage(verify(pairs, docs, one, threshold))
-    found = components(links)
-    return all_links(links, found, met.where(F.col("n") > small).select("band", "key", "n"), pairs, docs, one, threshold), one
+    links = cut_lineage(verify(pairs, texts, threshold))
+    return all_links(links, components(links), met.where(F.col("n") > small).select("band", "key", "n"), pairs, texts, threshold), ids
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, class_id (least doc_id of its class), class_size (rows in it)."""
-    found, _ = near_components(docs, threshold)
-    rows = keyed(docs).select("doc_id", "key")
-    sizes = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).join(found, "key", "left").select("key", "low", "n", F.coalesce("component", "key").alias("component"))
-    classes = sizes.groupBy("component").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_size"))
-    by_key = sizes.join(cut_lineage(classes), "component").select("key", "class_id", "class_size")
-    return rows.join(by_key, "key").select("doc_id", "class_id", "class_size")
+    found, ids = near_components(docs, threshold)
+    sizes = cut_lineage(ids.groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).join(found, "key", "left").select("key", "low", "n", F.coalesce("component", "key").alias("component")))
+    classes = cut_lineage(sizes.groupBy("component").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_size")))
+    by_key = cut_lineage(sizes.join(classes, "component").select("key", "class_id", "class_size"))
+    return ids.join(by_key, "key").select("doc_id", "class_id", "class_size")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows and columns of docs, one document of each class: the one of least doc_id among the texts of the class."""
-    found, one = near_components(docs, threshold)
+    found, ids = near_components(docs, threshold)
+    one = ids.groupBy("key").agg(F.min("doc_id").alias("one"))
     classes = one.join(found, "key", "left").select("key", "one", F.coalesce("component", "key").alias("component"))
-    kept = classes.groupBy("component").agg(F.min(F.struct(F.col("one").isNull(), "one", "key")).alias("kept")).select(F.col("kept.key").alias("__kept"), F.col("kept.one").alias("__one"))
-    key = digest(F.coalesce(F.col("text"), F.lit("")))
-    rows = docs.withColumn("__key", key).join(kept, (F.col("__key") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__one")))
-    return rows.dropDuplicates(["__key", "doc_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key, kept_key, kept_id = (fresh(docs.columns, x) for x in ("key_", "kept_key_", "kept_id_"))
+    kept = classes.groupBy("component").agg(F.min(F.struct(F.col("one").isNull(), "one", "key")).alias("kept")).select(F.col("kept.key").alias(kept_key), F.col("kept.one").alias(kept_id))
+    rows = docs.withColumn(key, digest(F.coalesce(F.col("text"), F.lit("")))).join(cut_lineage(kept), (F.col(key) == F.col(kept_key)) & F.col("doc_id").eqNullSafe(F.col(kept_id)))
+    return rows.dropDuplicates([key, "doc_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
