@@ -6,7 +6,7 @@ one or two of it, a star for any letter. Viterbi finds the path of highest proba
 counted over the training documents. Other tokens have one path and stay as they are.
 
 Score. A lexicon holds words and five-byte word beginnings that occur in at least `least` toxic training documents, far more often than
-in the others. A logistic regression on a few sums over a text's lexicon hits gives the score. Lexicon and regression are fitted on at
+in the others (as many as there are in those documents; no entry is left out). A logistic regression on a few sums over a text's lexicon hits gives the score. Lexicon and regression are fitted on at
 most `limit` labelled documents, in the order of a hash of the id; when a training document is scored for the
 fit, its own counts are taken out of the lexicon.
 
@@ -17,7 +17,6 @@ equal scores; a null doc_id counts as the empty text in the fold rule; an empty
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -26,22 +25,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, mix, pieces, remainder, sample_labels, span_hashes, utf8, word_spans
+from .common import cut_lineage, fresh, mix, pieces, remainder, runs, sample_labels, span_hashes, utf8, word_spans
 
-LIMIT, LEAST, LEXICON = 40_000, 3, 20_000
+LIMIT, LEAST = 40_000, 3
 ODDS = 2.0
 CUT = 0.7
 #: Fixed value: signs and the letters they imitate.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
-SWAP, SHRINK, ANY, PART = -1.0, -0.5, -3.5, -1.0
+SWAP, SHRINK, ANY, PART, FLUSH = -1.0, -0.5, -3.5, -1.0, 512
+
+SIGNS, HARD, LAST, SINGLE, GAPS = b"0123456789@$!|+(*", b"0123456789@$|(", b"0123456789@$", b"@$", b" ._-"
 
-DISGUISED = re.compile(
-    r"(?<![A-Za-z0-9])[A-Za-z0-9@$](?:[ ._-][A-Za-z0-9@$]){2,}(?![A-Za-z0-9])"  # s p a c e d
-    r"|[A-Za-z0-9@$!|+(€*]*(?:[A-Za-z][0-9@$!|+(€*]+[A-Za-z]|(?<![A-Za-z0-9@$!|+(€*])[0-9@$|(€]+[A-Za-z]|[A-Za-z]{2}[0-9@$]{1,2}(?![0-9@$!|+(€*])|([A-Za-z])\1\1)[A-Za-z0-9@$!|+(€*]*"
-)
 _PARTS = np.ones(256, bool)
 _PARTS[48:58] = _PARTS[65:91] = _PARTS[97:123] = _PARTS[128:] = False
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+
+
+def _table(*signs: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[np.frombuffer(b"".join(signs), np.uint8)] = True
+    return out
+
+
+_SIGN, _HARD, _LAST, _GAP = _table(SIGNS), _table(HARD), _table(LAST), _table(GAPS)
+_ALNUM = _LETTER | _table(b"0123456789")
+_ONE = _ALNUM | _table(SINGLE)
 
 # classes of the character model: 0 word boundary, 1-26 letters, 27 any other character
 _CLASS = np.full(256, 27, np.int64)
@@ -65,68 +75,189 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
     return np.log((n3 + 20 * p2[None]) / (n3.sum(axis=2, keepdims=True) + 20))
 
 
-def lattice(token: str, parts: bool = False) -> list[list[tuple[str, float]]]:
+def is_spaced(token: str) -> bool:
+    return len(token) > 2 and len(token) % 2 == 1 and all(c in " ._-" for c in token[1::2])
+
+
+def slots(token: str, parts: bool = False):
     """Slots of (string, log channel weight); a slot is one character of the token, or a run of one. parts: spaced letters may be several words."""
-    if len(token) > 2 and all(c in " ._-" for c in token[1::2]) and len(token) % 2:
+    if is_spaced(token):
         token = token[::2]
         if parts:
-            slots = lattice(token[0])
-            for c in token[1:]:
-                slots += [[("", 0.0), (" ", PART)], *lattice(c)]
-            return slots
-    slots, i = [], 0
-    token = token.lower()
+            for i, c in enumerate(token):
+                if i:
+                    yield [("", 0.0), (" ", PART)]
+                yield from slots(c)
+            return
+    i, token = 0, token.lower()
     while i < len(token):
         j = i
         while j < len(token) and token[j] == token[i]:
             j += 1
         c, n = token[i], j - i
         if n >= 3 and c in LETTERS:
-            slots.append([(c, SHRINK), (c * 2, 2 * SHRINK)])
-            i = j
-            continue
-        if c == "*":
-            slots.append([(x, ANY) for x in LETTERS] + [("*", 0.0)])
+            yield [(c, SHRINK), (c * 2, 2 * SHRINK)]
         else:
-            slots.append([(c, 0.0)] + [(x, SWAP) for x in LEET.get(c, "")])
-        i += 1
-    return slots
+            one = [(x, ANY) for x in LETTERS] + [("*", 0.0)] if c == "*" else [(c, 0.0)] + [(x, SWAP) for x in LEET.get(c, "")]
+            for _ in range(n):
+                yield one
+        i = j
+
+
+def lattice(token: str, parts: bool = False) -> list[list[tuple[str, float]]]:
+    return list(slots(token, parts))
+
+
+def strings(node) -> str:
+    out = []
+    while node is not None:
+        out.append(node[1])
+        node = node[0]
+    return "".join(reversed(out))
 
 
 def decode(token: str, logp: np.ndarray, parts: bool = False) -> str:
-    """The most probable reading of a disguised token: Viterbi over its lattice, states are the last two classes."""
+    """The most probable reading of a disguised token: Viterbi over its lattice, states are the last two classes.
+
+    A path is a chain of (path before, string); every FLUSH slots what all paths have in common is written out, so a long token takes little memory.
+    """
     code = lambda c: ord(c) - 96 if c in LETTERS else 0 if c == " " else 27
-    paths = {(0, 0): (0.0, "")}
-    for slot in lattice(token, parts):
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in paths.items():
+    paths, done = {(0, 0): (0.0, None)}, []
+    for k, slot in enumerate(slots(token, parts), 1):
+        new: dict[tuple[int, int], tuple] = {}
+        for (a, b), (score, path) in paths.items():
             for string, weight in slot:
                 x, y, s = a, b, score + weight
                 for c in string:
-                    k = code(c)
-                    s += logp[x, y, k]
-                    x, y = y, k
+                    i = code(c)
+                    s += logp[x, y, i]
+                    x, y = y, i
                 if (x, y) not in new or s > new[x, y][0]:
-                    new[x, y] = (s, text + string)
+                    new[x, y] = (s, (path, string))
         paths = new
-    return max(((s + logp[a, b, 0], t) for (a, b), (s, t) in paths.items()), default=(0.0, token))[1]
+        if k % FLUSH == 0:
+            back, level = 0, {id(p): p for _, p in paths.values()}
+            while len(level) > 1 and None not in level.values():
+                level, back = {id(p[0]): p[0] for p in level.values()}, back + 1
+            if len(level) == 1 and None not in level.values():
+                done.append(strings(next(iter(level.values()))))
+                cut: dict[int, tuple | None] = {id(next(iter(level.values()))): None}
+
+                def tail(p, cut=cut):
+                    chain = []
+                    while id(p) not in cut:
+                        chain.append(p)
+                        p = p[0]
+                    new = cut[id(p)]
+                    for p in reversed(chain):
+                        new = cut[id(p)] = (new, p[1])
+                    return new
+
+                paths = {state: (s, tail(p)) for state, (s, p) in paths.items()}
+    if not paths:
+        return token
+    (a, b), (_, path) = max(paths.items(), key=lambda x: x[1][0] + logp[x[0][0], x[0][1], 0])
+    return "".join(done) + strings(path)
+
+
+def spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of three or more single characters with one gap (space, dot, line or hyphen) between each two, that no letter or digit touches."""
+    n = len(data)
+    one = _ONE[data]
+    link = np.zeros(n, bool)
+    link[: n - 2] = one[:-2] & _GAP[data[1:-1]] & one[2:]
+    last = offsets[1:][offsets[1:] > 0]  # no link leaves a text
+    for k in (1, 2):
+        link[last[last >= k] - k] = False
+    p = np.flatnonzero(link)
+    before, after = np.append(False, _ALNUM[data[:-1]]), np.append(_ALNUM[data[1:]], False)
+    before[offsets[:-1][offsets[:-1] < n]] = False
+    after[last - 1] = False
+    on = p >= 2
+    goes_on = np.zeros(len(p), bool)
+    goes_on[on] = link[p[on] - 2]
+    first = p[~goes_on]
+    ends = p + 2
+    end = ends[~link[ends]]  # chains of different parity never meet, so both lists are in the same order
+    first = first + 2 * before[first]
+    end = end - 2 * after[end]
+    ok = end - first >= 4
+    return first[ok], end[ok] + 1
+
+
+def disguised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the places that look disguised, in order and without overlaps; a few passes over the bytes, whatever they are.
+
+    A place is a chain of spaced letters, or a run of letters and signs with a sign between letters, signs before the first letter, two letters or more and then
+    signs at its end, or one letter three times in a row.
+    """
+    none = np.zeros(0, np.int64)
+    if len(data) < 2:
+        return none, none
+    letter, sign, hard = _LETTER[data], _SIGN[data], _HARD[data]
+    euro = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x82) & (data[2:] == 0xAC)) if len(data) > 2 else none
+    for k in range(3):
+        sign[euro + k] = hard[euro + k] = True
+    starts, ends, _ = runs(letter | sign, offsets)
+    odd = np.zeros(len(starts), bool)
+    run_of = lambda at: np.searchsorted(starts, at, "right") - 1
+    at = np.flatnonzero(sign)
+    if len(at):
+        r, before = run_of(at), np.concatenate(([0], np.cumsum(letter)))
+        odd[r[(before[at] > before[starts[r]]) & (before[ends[r]] > before[at])]] = True  # a sign between letters
+        own = np.unique(r)
+        soft = np.append(np.flatnonzero(~hard), len(data))
+        head = soft[np.searchsorted(soft, starts[own])]  # the first place from the start that isn't a hard sign
+        ok = (head > starts[own]) & (head < ends[own])
+        odd[own[ok & letter[np.minimum(head, len(data) - 1)]]] = True
+        firm = np.append(-1, np.flatnonzero(~_LAST[data]))
+        tail = firm[np.searchsorted(firm, ends[own]) - 1]  # the last place of the run that isn't a closing sign
+        ok = (tail > starts[own]) & (tail < ends[own] - 1)
+        odd[own[ok & letter[tail] & letter[tail - 1]]] = True
+    three = np.flatnonzero(letter[:-2] & (data[:-2] == data[1:-1]) & (data[:-2] == data[2:]))
+    r = run_of(three)
+    odd[r[three + 2 < ends[r]]] = True
+    a, b = spaced(data, offsets)
+    a, b = np.concatenate((a, starts[odd])), np.concatenate((b, ends[odd]))
+    order = np.lexsort((-b, a))
+    a, b = a[order], b[order]
+    reach = np.maximum.accumulate(np.append(0, b[:-1])) if len(b) else none
+    a = np.maximum(a, reach)  # what a chain has taken is not read again
+    return a[b > a], b[b > a]
 
 
 def restorer(logp: np.ndarray):
-    """A function that restores the disguised tokens of a text."""
+    """A function from texts to texts in which disguised places are restored; null becomes the empty text."""
     logp = [[row.tolist() for row in plane] for plane in logp]
 
     class Table:
         def __getitem__(self, k):
             return logp[k[0]][k[1]][k[2]]
 
-    @lru_cache(maxsize=50_000)
-    def read(token: str) -> str:
+    def read(token: bytes) -> bytes:
         """As one word; spaced letters also as several, where that is more probable."""
-        one, more = decode(token, Table()), decode(token, Table(), True)
-        return one if more == one else f"{one} {more}"
-
-    return lambda text: DISGUISED.sub(lambda m: read(m[0]), text)
+        token = token.decode()
+        one = decode(token, Table())
+        more = decode(token, Table(), True) if is_spaced(token) else one
+        return (one if more == one else f"{one} {more}").encode()
+
+    remembered = lru_cache(maxsize=50_000)(read)
+
+    def restore(texts: pa.Array) -> pa.Array:
+        data, offsets = utf8(texts)
+        starts, ends = disguised(data, offsets)
+        whole, parts, at, grown = data.tobytes(), [], 0, np.zeros(len(data) + 1 if len(starts) else 0, np.int64)
+        for x, y in zip(starts.tolist(), ends.tolist()):
+            new = (remembered if y - x <= 64 else read)(whole[x:y])
+            parts += (whole[at:x], new)
+            grown[y] += len(new) - (y - x)
+            at = y
+        parts.append(whole[at:])
+        if len(starts):
+            offsets = offsets + np.cumsum(grown)[offsets]
+        return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(b"".join(parts))])
+
+    return restore
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -146,10 +277,6 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return docs[at], h[at], np.diff(np.append(at, len(h))), np.diff(first)
 
 
-def restored(batch: pa.RecordBatch, restore) -> pa.Array:
-    return pa.array([restore(t) if t else "" for t in batch.column("text").to_pylist()], pa.large_string())
-
-
 class Model:
     """Character model, lexicon (sorted hashes with their counts of toxic and other documents) and regression weights."""
 
@@ -229,7 +356,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LIMIT, least: int = L
         restore = restorer(logp)
         for whole in batches:
             for b in pieces(whole):
-                yield pa.RecordBatch.from_arrays([restored(b, restore).cast(pa.string()), b.column("label")], names=["text", "label"])
+                yield pa.RecordBatch.from_arrays([restore(b.column("text")).cast(pa.string()), b.column("label")], names=["text", "label"])
 
     marked = cut_lineage(marked.mapInArrow(run, "text string, label int"))
     n = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
@@ -244,7 +371,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LIMIT, least: int = L
 
     words = marked.mapInArrow(count, "h long, toxic long, other long").groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     odds = F.log((F.col("toxic") + 0.1) / (n.get(1, 0) + 1)) - F.log((F.col("other") + 0.1) / (n.get(0, 0) + 1))
-    lexicon = words.where(F.col("toxic") >= least).withColumn("odds", odds).where(F.col("odds") > ODDS).orderBy(F.desc("odds"), F.desc("toxic"), "h").limit(LEXICON).toPandas()
+    lexicon = words.where(F.col("toxic") >= least).withColumn("odds", odds).where(F.col("odds") > ODDS).toPandas()
     hashes = lexicon["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     model = Model(logp, hashes[order], lexicon["toxic"].to_numpy(float)[order], lexicon["other"].to_numpy(float)[order], n.get(1, 0), n.get(0, 0))
@@ -262,8 +389,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LIMIT, least: int = L
     return model
 
 
-def with_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """The columns of docs and __score."""
+def with_scores(docs: DataFrame, model: Model, name: str) -> DataFrame:
+    """The columns of docs and the score, under the given name."""
     columns = docs.columns
     at = columns.index("text")
 
@@ -271,20 +398,21 @@ def with_scores(docs: DataFrame, model: Model) -> DataFrame:
         restore = restorer(model.logp)
         for whole in batches:
             for b in pieces(pa.RecordBatch.from_arrays(whole.columns, names=["text" if i == at else f"c{i}" for i in range(whole.num_columns)]), most=1 << 20):
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.scores(restored(b, restore)))], names=[*columns, "__score"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.scores(restore(b.column("text"))))], names=[*columns, name])
 
     from pyspark.sql.types import DoubleType, StructType
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add("__score", DoubleType()))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(name, DoubleType()))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
     model = train(docs, labels, limit)
     held = (remainder(F.col("doc_id"), 3) == 1).alias("held_out")
-    return with_scores(docs.select("doc_id", "text"), model).select("doc_id", held, F.col("__score").alias("score"), (F.col("__score") >= CUT).cast("int").alias("predicted"))
+    return with_scores(docs.select("doc_id", "text"), model, "score").select("doc_id", held, "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> DataFrame:
     """The rows and columns of docs whose score is under the cut."""
-    return with_scores(docs, train(docs, labels, limit)).where(F.col("__score") < CUT).drop("__score")
+    score = fresh(docs.columns, "score")
+    return with_scores(docs, train(docs, labels, limit), score).where(F.col(score) < CUT).select(*[F.col(f"`{c}`") for c in docs.columns])

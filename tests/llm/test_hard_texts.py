@@ -10,7 +10,7 @@ import time
 import numpy as np
 import pyarrow as pa
 
-from corpusloom.llm import common, secret_scan
+from corpusloom.llm import common, secret_scan, toxicity
 
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -83,3 +83,87 @@ def test_links_against_a_double_loop(spark):
     rows = [(i, " ".join(parts[k] if rng.random() < 0.5 else "filler " * int(rng.integers(1, 30)) for k in rng.integers(0, len(parts), 30))) for i in range(60)]
     got = {r.doc_id: r.spans for r in secret_scan.secret_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: brute_links(t) for i, t in rows}
+
+
+def disguised_slowly(text):
+    """What the gate should mark, read from its definition character by character."""
+    signs, hard, last = "0123456789@$!|+(*€", "0123456789@$|(€", "0123456789@$"
+    letter = lambda c: c.isascii() and c.isalpha()
+    alnum = lambda c: c.isascii() and c.isalnum()
+    out = []
+    for m in re.finditer(r"(?<![A-Za-z0-9])[A-Za-z0-9@$](?:[ ._-][A-Za-z0-9@$]){2,}(?![A-Za-z0-9])", text):
+        out.append(m.span())
+    for m in re.finditer(r"[A-Za-z0-9@$!|+(*€]+", text):
+        t = m[0]
+        letters = [i for i, c in enumerate(t) if letter(c)]
+        between = letters and any(c in signs and letters[0] < i < letters[-1] for i, c in enumerate(t))
+        head = len(t) - len(t.lstrip(hard))
+        body = t.rstrip(last)
+        tail = len(body) < len(t) and len(body) >= 2 and letter(body[-1]) and letter(body[-2])
+        if between or (0 < head < len(t) and letter(t[head])) or tail or any(letter(t[i]) and t[i] == t[i + 1] == t[i + 2] for i in range(len(t) - 2)):
+            out.append(m.span())
+    free, at = [], 0
+    for a, b in sorted(out, key=lambda s: (s[0], -s[1])):
+        if b > max(a, at):
+            free.append((max(a, at), b))
+            at = b
+    return free
+
+
+def test_gate_against_its_definition():
+    rng = np.random.default_rng(3)
+    letters = list("abbbxyZ  ..__--001$@!|+(*€é\n")
+    texts = ["".join(rng.choice(letters, int(rng.integers(0, 60)))) for _ in range(3000)] + ["", "a", "so l o s e r", "m o r 0n", "abc2024", "€uro", "caf€"]
+    data, offsets = common.utf8(pa.array(texts))
+    starts, ends = toxicity.disguised(data, offsets)
+    got = [[] for _ in texts]
+    raw = data.tobytes()
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        k = int(np.searchsorted(offsets, a, "right")) - 1
+        got[k].append((len(raw[offsets[k] : a].decode()), len(raw[offsets[k] : b].decode())))
+    assert got == [disguised_slowly(t) for t in texts]
+
+
+def test_gate_is_linear():
+    texts = pa.array(["k" * 1_000_000, "1" * 1_000_000, "a1" * 300_000, "a " * 300_000, "x!" * 10 + "(" * 1_000_000])
+    data, offsets = common.utf8(texts)
+    began = time.time()
+    toxicity.disguised(data, offsets)
+    assert time.time() - began < 5
+
+
+def test_long_tokens_decode_as_without_flushes(monkeypatch):
+    rng = np.random.default_rng(5)
+    logp = np.log(rng.dirichlet(np.ones(28), (28, 28)))
+    token = "".join(rng.choice(list("abc013@!*"), 700))
+    want = toxicity.decode(token, logp)
+    monkeypatch.setattr(toxicity, "FLUSH", 3)
+    assert toxicity.decode(token, logp) == want
+    assert toxicity.decode(" ".join(token[:99].replace("*", "a").replace("!", "b")), logp, True)
+    monkeypatch.undo()
+    whole = toxicity.restorer(logp)
+    assert len(whole(pa.array(["a1" * 100_000, None, "kkkk"]))[0].as_py()) == 200_000
+
+
+def test_toxicity_score_against_a_plain_sum(spark):
+    """The score of every document from the definition: word and beginning hits of the restored text, five sums, logistic."""
+    docs, table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = toxicity.train(docs, table)
+    whole = toxicity.restorer(model.logp)
+
+    def h(word, head=False):
+        one = common.span_hashes(np.frombuffer(word, np.uint8), np.array([0]), np.array([len(word)]), fold=True)
+        return int((common.mix(one ^ np.uint64(0xABCD)) if head else one)[0])
+
+    lexicon = dict(zip(model.hashes.tolist(), np.log((model.toxic + 0.1) / (model.n[0] + 1)) - np.log((model.other + 0.1) / (model.n[1] + 1))))
+    got = {r.doc_id: r.score for r in toxicity.toxicity(docs, table).collect()}
+    for r in docs.where("text is not null").orderBy("doc_id").limit(60).collect():
+        words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", whole(pa.array([r.text]))[0].as_py().encode())
+        n = {}
+        for w in words:
+            for k in [h(w)] + [h(w[:5], True)] * (len(w) > 5):
+                n[k] = n.get(k, 0) + 1
+        hits = [(lexicon[k], c) for k, c in n.items() if lexicon.get(k, 0) > toxicity.ODDS]
+        x = np.array([max([w for w, _ in hits], default=0), np.log1p(sum(w for w, _ in hits)), np.log1p(sum(w * c for w, c in hits)), sum(c for _, c in hits) / max(len(words), 1) * 10, np.log1p(len(hits))])
+        z = np.append((x - model.mean) / model.scale, 1) @ model.beta
+        assert abs(1 / (1 + np.exp(-z)) - got[r.doc_id]) < 1e-6

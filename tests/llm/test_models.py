@@ -54,11 +54,12 @@ def test_toxicity(spark):
 def test_spaced_words_beside_others(spark):
     docs, table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     model = toxicity.train(docs, table)
-    restore = toxicity.restorer(model.logp)
+    whole = toxicity.restorer(model.logp)
+    restore = lambda text: whole(pa.array([text]))[0].as_py()
     assert "moron" in restore("you are a m o r o n").split() and {"stupid", "idiot"} <= set(restore("s t u p i d i d i o t").split())
     assert "loser" in restore("so l o s e r").split() and "pathetic" in restore("so p a t h e t i c").split()  # the reading as one word stays
     texts = pa.array(["you are a m o r o n", "s t u p i d i d i o t", "you are a fine one"])
-    hits = model.sums(toxicity.restored(pa.RecordBatch.from_arrays([texts], names=["text"]), restore))[:, 0]
+    hits = model.sums(whole(texts))[:, 0]
     assert hits[0] > 0 and hits[1] > 0 and hits[2] == 0
 
 
