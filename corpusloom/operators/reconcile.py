@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import fingerprint, norm
+from ..functions.text import fingerprint, is_label, norm
+from .checks import row
 
 #: Short needles that are broadcast at a time.
 BLOCK = 10_000
@@ -69,17 +70,42 @@ def contained(needles: DataFrame, haystacks: DataFrame, anchor_words: int = 4) -
     return found.distinct()
 
 
+def either_way(s: DataFrame, t: DataFrame) -> DataFrame:
+    """(atom_id, target_id) where one norm holds the other."""
+    one = contained(s.select(F.col("atom_id").alias("needle_id"), F.col("s_norm").alias("norm")), t.select(F.col("target_id").alias("hay_id"), F.col("t_norm").alias("norm"))).select(F.col("needle_id").alias("atom_id"), F.col("hay_id").alias("target_id"))
+    two = contained(t.select(F.col("target_id").alias("needle_id"), F.col("t_norm").alias("norm")), s.select(F.col("atom_id").alias("hay_id"), F.col("s_norm").alias("norm"))).select(F.col("hay_id").alias("atom_id"), F.col("needle_id").alias("target_id"))
+    return one.union(two).distinct().join(s.select("atom_id", "s_type", "s_term"), "atom_id").join(t.select("target_id", "t_type", "t_term", "t_ord"), "target_id")
+
+
 def match_contains(source: DataFrame, target: DataFrame, least: int = 0) -> DataFrame:
-    """One norm inside the other, of one type: same term first (0.9), any term next (0.85); least: shortest target that counts."""
+    """One norm inside the other, of one type (notes also against text blocks): same term first (0.9), any term next (0.85).
+
+    Sources have ten characters or more, tables five; least: shortest target that counts.
+    """
     s, t = _sides(source, target)
+    s = s.where(F.length("s_norm") >= F.when(F.col("s_type") == "table", 5).otherwise(10))
     t = t.where(F.length("t_norm") >= max(1, least))
-    one = contained(s.select(F.col("atom_id").alias("needle_id"), F.col("s_norm").alias("norm")), t.select(F.col("target_id").alias("hay_id"), F.col("t_norm").alias("norm"))).select(F.col("needle_id").alias("atom_id"), F.col("hay_id").alias("target_id"))
-    two = contained(t.select(F.col("target_id").alias("needle_id"), F.col("t_norm").alias("norm")), s.select(F.col("atom_id").alias("hay_id"), F.col("s_norm").alias("norm"))).select(F.col("hay_id").alias("atom_id"), F.col("needle_id").alias("target_id"))
-    pairs = one.union(two).distinct().join(s.select("atom_id", "s_type", "s_term"), "atom_id").join(t.select("target_id", "t_type", "t_term", "t_ord"), "target_id").where("s_type = t_type")
-    pairs = pairs.withColumn("same_key", F.coalesce(F.col("s_term") == F.col("t_term"), F.lit(False)))
+    kind = (F.col("s_type") == F.col("t_type")) | ((F.col("s_type") == "speaker_note") & (F.col("t_type") == "text_block"))
+    pairs = either_way(s, t).where(kind).withColumn("same_key", F.coalesce(F.col("s_term") == F.col("t_term"), F.lit(False)))
     return _best(pairs, "contains", lambda same: F.when(same, 0.9).otherwise(0.85))
 
 
+def match_cross_source(source: DataFrame, target: DataFrame, least: int = 15) -> DataFrame:
+    """Texts and notes of 15 characters or more against all texts and notes of the same term, one norm inside the other."""
+    text = ("text_block", "speaker_note")
+    s, t = _sides(source.where(F.col("atom_type").isin(*text)), target.where(F.col("atom_type").isin(*text)))
+    pairs = either_way(s.where(F.length("s_norm") >= least), t.where("length(t_norm) > 0")).where(F.col("s_term").eqNullSafe(F.col("t_term"))).withColumn("same_key", F.lit(True))
+    return _best(pairs, "cross_source", lambda same: F.lit(0.85))
+
+
+def match_table_cell(source: DataFrame, target: DataFrame, least: int = 10) -> DataFrame:
+    """Table cells of ten characters or more inside the whole text of a table of the same term."""
+    s, t = _sides(source.where("atom_type = 'table'"), target.where("atom_type = 'table'"))
+    inside = contained(s.where(F.length("s_norm") >= least).select(F.col("atom_id").alias("needle_id"), F.col("s_norm").alias("norm")), t.select(F.col("target_id").alias("hay_id"), F.col("t_norm").alias("norm")))
+    pairs = inside.select(F.col("needle_id").alias("atom_id"), F.col("hay_id").alias("target_id")).join(s.select("atom_id", "s_term"), "atom_id").join(t.select("target_id", "t_term", "t_ord"), "target_id")
+    return _best(pairs.where(F.col("s_term").eqNullSafe(F.col("t_term"))).withColumn("same_key", F.lit(True)), "table_cell", lambda same: F.lit(0.85))
+
+
 def url_key(url, scheme: bool = True):
     u = F.regexp_replace(F.lower(F.trim(url)), "/+$", "")
     return u if scheme else F.regexp_replace(u, "^[a-z]+://(www\\.)?", "")
@@ -96,33 +122,101 @@ def match_url(source: DataFrame, target: DataFrame) -> DataFrame:
     return out
 
 
-def match_image(source: DataFrame, target: DataFrame) -> DataFrame:
+def match_url_in_text(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Links that occur inside a text block."""
+    links = source.where("atom_type = 'link'").select(F.col("atom_id").alias("needle_id"), url_key(F.col("content")).alias("norm"))
+    t = target.where("atom_type = 'text_block'").select(F.col("atom_id").alias("hay_id"), "norm", "ord")
+    pairs = contained(links, t).join(t.select("hay_id", F.col("ord").alias("t_ord")), "hay_id").select(F.col("needle_id").alias("atom_id"), F.col("hay_id").alias("target_id"), "t_ord", F.lit(False).alias("same_key"))
+    return _best(pairs, "url_in_text", lambda same: F.lit(0.8))
+
+
+def _at(slides: str):
+    return F.array_join(F.array_sort(slides), ",")
+
+
+def match_image(source: DataFrame, target: DataFrame, exact: float = 1.0, near: float = 0.85) -> DataFrame:
     """Images with columns stem, slides, term, lesson: equal stem and slides, else the same key and a slide in common."""
-    same = source.select("atom_id", "stem", F.array_join(F.array_sort("slides"), ",").alias("at")).join(target.select(F.col("atom_id").alias("target_id"), "stem", F.array_join(F.array_sort("slides"), ",").alias("at")), ["stem", "at"]).groupBy("atom_id").agg(F.min("target_id").alias("target_id"))
-    same = same.select("atom_id", "target_id", F.lit("image").alias("tier"), F.lit(1.0).alias("confidence"))
-    rest = source.join(same, "atom_id", "left_anti").select("atom_id", "term", "lesson", F.explode("slides").alias("slide"))
-    near = rest.join(target.select(F.col("atom_id").alias("target_id"), "term", "lesson", F.explode("slides").alias("slide")), ["term", "lesson", "slide"]).groupBy("atom_id").agg(F.min("target_id").alias("target_id"))
-    return same.unionByName(near.select("atom_id", "target_id", F.lit("image_slides").alias("tier"), F.lit(0.8).alias("confidence")))
+    told = lambda df: df.where((F.col("stem") != "") & (F.size("slides") > 0))
+    same = told(source).select("atom_id", "stem", _at("slides").alias("at")).join(told(target).select(F.col("atom_id").alias("target_id"), "stem", _at("slides").alias("at")), ["stem", "at"]).groupBy("atom_id").agg(F.min("target_id").alias("target_id"))
+    same = same.select("atom_id", "target_id", F.lit("image").alias("tier"), F.lit(exact).alias("confidence"))
+    rest = source.join(same, "atom_id", "left_anti").select("atom_id", "term", "lesson", F.explode(F.array_distinct("slides")).alias("slide"))
+    held = target.select(F.col("atom_id").alias("target_id"), "term", "lesson", F.explode("slides").alias("slide")).groupBy("term", "lesson", "slide").agg(F.min("target_id").alias("target_id"))
+    lap = rest.join(held, ["term", "lesson", "slide"]).groupBy("atom_id").agg(F.min("target_id").alias("target_id"))
+    return same.unionByName(lap.select("atom_id", "target_id", F.lit("image_slides").alias("tier"), F.lit(near).alias("confidence")))
 
 
-def reconcile(source: DataFrame, target: DataFrame, least: int = 0) -> DataFrame:
-    """Every source atom with its class: trivial, matched (tier, target, confidence) or unmatched."""
-    s, t = prepared(source), prepared(target)
+def match_image_ref(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Image references: equal urls (case and outer blanks aside), then as images with confidence 0.95 and 0.85."""
+    url = F.lower(F.trim("content"))
+    t = target.where(url != "").groupBy(url.alias("u")).agg(F.min("atom_id").alias("target_id"))
+    same = source.select("atom_id", url.alias("u")).join(t, "u").select("atom_id", "target_id", F.lit("image_url").alias("tier"), F.lit(1.0).alias("confidence"))
+    return same.unionByName(match_image(source.join(same, "atom_id", "left_anti"), target, 0.95))
+
+
+def reconcile(source: DataFrame, target: DataFrame, least: int = 0, labels: tuple[list[str], str] = ([], "a^"), fuzzy=None, save=lambda df: df) -> DataFrame:
+    """Every source atom with its class: trivial, structural (labels: words and a pattern, see is_label), matched (tier, target, confidence) or unmatched.
+
+    Tiers, each on what the last left over: exact, contains, fuzzy (a function of both sides, if given), url, url in text, image references (atoms with stem and
+    slides), cross-source, table cells, images. save cuts the lineage between tiers.
+    """
+    s, t = save(prepared(source)), save(prepared(target))
     trivial = F.length("norm") < 5
-    todo = s.where(~trivial)
-    exact = match_exact(todo, t)
-    left = todo.join(exact, "atom_id", "left_anti")
-    links = match_url(left.where("atom_type = 'link'"), t.where("atom_type = 'link'"))
-    left = left.join(links, "atom_id", "left_anti")
-    found = exact.unionByName(links).unionByName(match_contains(left, t, least))
+    structural = ((F.col("atom_type") == "text_block") & is_label(F.col("content"), *labels)) | ((F.col("atom_type") == "image") & F.contains(F.coalesce("location", F.lit("")), F.lit("unknown_slide")) if "location" in s.columns else F.lit(False))
+    left, found = s.where(~trivial & ~structural), None
+    of = lambda df, *kinds: df.where(F.col("atom_type").isin(*kinds))
+    tiers = [match_exact, lambda a, b: match_contains(a, b, least)]
+    if fuzzy:
+        tiers.append(lambda a, b: fuzzy(of(a, "text_block", "speaker_note", "table").where(F.length("norm") >= 15), b))
+    tiers += [lambda a, b: match_url(of(a, "link", "video_url"), of(b, "link", "video_url")), match_url_in_text]
+    if {"stem", "slides"} <= {*s.columns} & {*t.columns}:
+        tiers.append(lambda a, b: match_image_ref(of(a, "image_ref"), of(b, "image_ref")))
+    tiers += [match_cross_source, match_table_cell]
+    if {"stem", "slides"} <= {*s.columns} & {*t.columns}:
+        tiers.append(lambda a, b: match_image(of(a, "image"), of(b, "image")))
+    for tier in tiers:
+        hit = save(tier(left, t).select("atom_id", "target_id", "tier", F.col("confidence").cast("double").alias("confidence")))
+        found = hit if found is None else found.unionByName(hit)
+        left = left.join(hit, "atom_id", "left_anti")
     out = s.join(found, "atom_id", "left")
-    return out.select("atom_id", "atom_type", "term", "lesson", F.when(trivial, "trivial").when(F.col("tier").isNotNull(), "matched").otherwise("unmatched").alias("class"), "tier", "target_id", "confidence")
+    kind = F.when(trivial, "trivial").when(structural, "structural").when(F.col("tier").isNotNull(), "matched").otherwise("unmatched")
+    return out.select("atom_id", "atom_type", "term", "lesson", kind.alias("class"), "tier", "target_id", "confidence")
+
+
+def reconcile_checks(results: DataFrame, losses: DataFrame, truncated: DataFrame, target: DataFrame, new_files: DataFrame, stale_files: DataFrame) -> DataFrame:
+    """V001 to V009 as check rows of layer 5: coverage of keyed atoms, links and notes, early losses of text, truncated fields, unmatched atoms without key,
+    unconsumed sections, unclassified and stale files. results: with source_file; losses: atom_type, lost_at (a stage number); target: location."""
+    keyed = F.col("term").isNotNull() & F.col("lesson").isNotNull()
+    m, u, x = (F.col("class") == c for c in ("matched", "unmatched", "structural"))
+    link, note = F.col("atom_type").isin("link", "video_url"), F.col("atom_type") == "speaker_note"
+    n = {"k_bad": keyed & u, "k_all": keyed & (m | u | x), "l_bad": link & u, "l_all": link & (m | u), "n_bad": note & u, "n_all": note & (m | u)}
+    sums = results.agg(*[F.count_if(c).alias(k) for k, c in n.items()], F.count_distinct(F.when(u & ~keyed, F.coalesce("source_file", F.lit("")))).alias("files"))
+    of = lambda bad, total: sums.select(F.col(bad).alias("failures"), F.col(total).alias("total"))
+    none = lambda df: df.agg(F.count("*").alias("failures"), F.count("*").alias("total"))
+    early = losses.agg(F.count_if((F.col("atom_type") == "text_block") & F.col("lost_at").isin(1, 2)).alias("failures"), F.count("*").alias("total"))
+    sections = target.agg(F.count_if(F.startswith(F.coalesce("location", F.lit("")), F.lit("remaining_content"))).alias("failures"), F.count("*").alias("total"))
+    # coverage of nothing is 1 for keyed atoms and 0 for links and notes
+    zero = lambda bad, total: sums.select(F.when(F.col(total) == 0, 1).otherwise(F.col(bad)).alias("failures"), F.greatest(F.col(total), F.lit(1)).alias("total"))
+    parts = [
+        row(of("k_bad", "k_all"), "V001", "ERROR", "keyed atoms are covered", 5, 0.05),
+        row(zero("l_bad", "l_all"), "V002", "ERROR", "links are covered", 5, 0.1),
+        row(early, "V003", "WARNING", "no text is lost early", 5),
+        row(none(truncated), "V004", "WARNING", "no field is truncated", 5),
+        row(sums.select(F.col("files").alias("failures"), F.col("files").alias("total")), "V005", "WARNING", "unmatched atoms have keys", 5),
+        row(zero("n_bad", "n_all"), "V006", "INFO", "notes are covered", 5, 0.2),
+        row(sections, "V007", "WARNING", "all sections are consumed", 5),
+        row(none(new_files), "V008", "WARNING", "all files are classified", 5),
+        row(none(stale_files), "V009", "WARNING", "no entry is stale", 5),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
 
 
 def coverage(results: DataFrame, *by: str) -> DataFrame:
-    """matched / (all - trivial) by any columns; 1 where nothing counts."""
+    """(matched + structural) / (all - trivial) by any columns; 1 where nothing counts."""
     n = F.count_if(F.col("class") != "trivial")
-    m = F.count_if(F.col("class") == "matched")
+    m = F.count_if(F.col("class").isin("matched", "structural"))
     return results.groupBy(*by).agg(F.count("*").alias("atoms"), m.alias("matched"), n.alias("counted")).withColumn("coverage", F.when(F.col("counted") == 0, 1.0).otherwise(F.col("matched") / F.col("counted")))
 
 

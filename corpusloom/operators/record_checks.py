@@ -20,8 +20,10 @@ def blank(x: Column) -> Column:
     return F.coalesce(F.trim(x), F.lit("")) == ""
 
 
-def record_rules(tools: list[str], lessons: int, hosts: list[str]) -> list[Rule]:
+def record_rules(tools: list[str], lessons: int, hosts: list[str] | str) -> list[Rule]:
+    """hosts: names of video hosts, or a pattern of LIKE."""
     valid = lambda u: u.rlike(r"^https?://[^\s/]+\.[^\s]+$")
+    known = lambda u: T.host(u).like(hosts) if isinstance(hosts, str) else T.host(u).isin(hosts)
     missing = F.lit(False)
     for a in ARRAYS:
         missing = missing | F.col(a).isNull()
@@ -43,7 +45,7 @@ def record_rules(tools: list[str], lessons: int, hosts: list[str]) -> list[Rule]
         Rule("C003", "WARNING", F.coalesce(F.size("topics") != F.size(F.array_distinct("topics")), F.lit(False)), "topics occur once"),
         Rule("C004", "WARNING", F.coalesce(F.length("activity").between(1, 49), F.lit(False)), "activities have fifty characters"),
         Rule("C005", "WARNING", any_of("resources", lambda x: (F.size(T.urls(x)) > 0) & F.exists(T.urls(x), lambda u: ~valid(u))), "resource urls are valid"),
-        Rule("C006", "WARNING", F.coalesce(F.exists("videos", lambda v: ~(T.host(v["url"]).isin(hosts) | F.lower(v["url"]).rlike(r"\.(mp4|mov|avi|webm)$"))), F.lit(False)), "video hosts are known"),
+        Rule("C006", "WARNING", F.coalesce(F.exists("videos", lambda v: ~(known(v["url"]) | F.lower(v["url"]).rlike(r"\.(mp4|mov|avi|webm)$"))), F.lit(False)), "video hosts are known"),
         Rule("C007", "INFO", any_of("keywords", lambda x: F.length(x) < 2), "keywords have two characters"),
         Rule("C011", "INFO", any_of("resources", lambda x: F.size(T.urls(x)) == 0), "resources have urls"),
         Rule("C012", "WARNING", F.coalesce(F.arrays_overlap(F.transform("videos", lambda v: v["url"]), F.flatten(F.transform("resources", T.urls))), F.lit(False)), "no url is video and resource"),
@@ -55,7 +57,7 @@ def record_rules(tools: list[str], lessons: int, hosts: list[str]) -> list[Rule]
     ]
 
 
-def check_records(records: DataFrame, tools: list[str], lessons: int, hosts: list[str], coverage: dict[str, float] | None = None) -> DataFrame:
+def check_records(records: DataFrame, tools: list[str], lessons: int, hosts: list[str] | str, coverage: dict[str, float] | None = None) -> DataFrame:
     """All rules in one scan, key and title uniqueness, and the share of records that fill a field, against its threshold."""
     filled = lambda f: ~blank(F.col(f)) if dict(records.dtypes)[f] == "string" else F.coalesce(F.size(f) > 0, F.lit(False))
     rules = record_rules(tools, lessons, hosts) + [Rule(f"UC_{f}", "WARNING", ~filled(f), f"{f} filled", 4, 1 - share) for f, share in (coverage or {}).items()]
