@@ -9,8 +9,8 @@ probability equal to their similarity.
 
 Bands of coordinates are hashed; texts that share a band are compared exactly. In bands of up to `small` different texts all pairs are
 compared. In larger ones each text is compared with the band's hub. Where that leaves a band in more than one component, its texts meet once
-more by their rarest shingles (prefix filter: two texts at the threshold share one of them), and all that meet and are not connected yet are compared,
-first with a few hubs, then all with all. A pair at 0.8 meets in some band with probability 0.99995, and is then compared or
+more by their rarest shingles (prefix filter: two texts at the threshold share one of them, so early that what follows can hold their overlap), and all that
+meet and are not connected yet are compared, first with a few hubs, then all with all. A pair at 0.8 meets in some band with probability 0.99995, and is then compared or
 connected through others. Equal texts share one key and are never paired.
 
 Defined results: null counts as the empty text; texts without words are near only to equal texts; the class id is the smallest
@@ -167,7 +167,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def rare_tokens(texts: DataFrame, threshold: float) -> DataFrame:
-    """(token, key, size): the first tokens of each text, rarest first, so many that two texts at the threshold share one.
+    """(token, key, size, pos): the first tokens of each text, rarest first, so many that two texts at the threshold share one; pos: how many come before.
 
     The order is that of the counts of CELLS cells of token hashes, then of the hash: one order for all texts, so nothing is lost where tokens share a cell.
     """
@@ -193,10 +193,11 @@ def rare_tokens(texts: DataFrame, threshold: float) -> DataFrame:
                 doc, token = doc[order], token[order]
                 size = np.bincount(doc, minlength=b.num_rows)
                 most = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
-                first = np.arange(len(doc)) - (np.cumsum(size) - size)[doc] < most[doc]
-                yield pa.RecordBatch.from_arrays([pa.array(token[first].view(np.int64)), b.column("key").take(pa.array(doc[first])), pa.array(size[doc[first]])], names=["token", "key", "size"])
+                pos = np.arange(len(doc)) - (np.cumsum(size) - size)[doc]
+                first = pos < most[doc]
+                yield pa.RecordBatch.from_arrays([pa.array(token[first].view(np.int64)), b.column("key").take(pa.array(doc[first])), pa.array(size[doc[first]]), pa.array(pos[first])], names=["token", "key", "size", "pos"])
 
-    return texts.select("key", "text").mapInArrow(run, "token long, key binary, size long")
+    return texts.select("key", "text").mapInArrow(run, "token long, key binary, size long, pos long")
 
 
 def split_groups(rows: DataFrame, found: DataFrame, group: str) -> DataFrame:
@@ -217,13 +218,15 @@ def all_links(links: DataFrame, found: DataFrame, many: DataFrame, done: DataFra
         return found
     rows = cut_lineage(rare_tokens(texts.join(loose.select("key"), "key"), threshold))
     groups = cut_lineage(rows.join(loose, "key").groupBy("token").agg(F.count("*").alias("m"), F.max_by("key", F.struct("reach", "key")).alias("top")).where("m > 1"))
-    rows = rows.join(groups, "token").select("token", "key", "size", "m", (F.col("key") == F.col("top")).alias("top"), (F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / (1 << 30)).alias("u"))
+    rows = rows.join(groups, "token").select("token", "key", "size", "pos", "m", (F.col("key") == F.col("top")).alias("top"), (F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / (1 << 30)).alias("u"))
     for chosen in (F.col("top") | (F.col("u") * F.col("m") < FEW), F.lit(True)):
         rows = split_groups(rows, found, "token")
         if rows.isEmpty():
             break
-        hub = cut_lineage(rows.where(chosen).select("token", F.col("key").alias("hub"), F.col("size").alias("hub_size"), F.col("component").alias("hub_component")))
-        fits = F.least("size", "hub_size") / F.greatest("size", "hub_size") >= threshold  # else the similarity can't reach it
+        hub = cut_lineage(rows.where(chosen).select("token", F.col("key").alias("hub"), F.col("size").alias("hub_size"), F.col("pos").alias("hub_pos"), F.col("component").alias("hub_component")))
+        # Where two texts first share a token, what they have left from there on must hold their overlap; all that comes before is unshared.
+        overlap = F.ceil(threshold / (1 + threshold) * (F.col("size") + F.col("hub_size")) - 1e-6)
+        fits = (F.col("size") - F.col("pos") >= overlap) & (F.col("hub_size") - F.col("hub_pos") >= overlap)
         pairs = rows.join(hub, "token").where((F.col("component") != F.col("hub_component")) & fits).select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
         pairs = cut_lineage(pairs.join(done, ["a", "b"], "left_anti"))
         done, rows = done.union(pairs), rows.drop("component")

@@ -221,6 +221,34 @@ def test_rare_tokens_meet(spark):
         own.setdefault(bytes(r.key), set()).add(r.token)
     near = [(a, b) for i, (a, x) in enumerate(texts) for b, y in texts[:i] if jaccard(x, y) >= 0.8]
     assert near and all(own[a] & own[b] for a, b in near)
+    at = {(bytes(r.key), r.token): (r.size, r.pos) for r in rows}
+    for a, b in near:  # at the first shared token what is left holds the overlap
+        first = min(own[a] & own[b], key=lambda t: at[a, t][1])
+        (x, i), (y, j) = at[a, first], at[b, first]
+        assert min(x - i, y - j) >= 0.8 / 1.8 * (x + y) - 1e-6
+
+
+def boilerplate(edits):
+    """250 pairs; all texts share most of their words, so that strangers are at about 0.77, and a pair differs in `edits` words."""
+    rng = np.random.default_rng(edits)
+    base, rows = [f"common{i}" for i in range(300)], []
+    for k in range(250):
+        words = list(base)
+        for at in rng.choice(55, 4, replace=False) * 5 + 2:
+            words[at] = f"own{k}x{at}"
+        other = list(words)
+        for at in rng.choice(59, edits, replace=False) * 5:
+            other[at] = f"edit{k}x{at}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    return rows
+
+
+def test_all_links_in_shared_boilerplate(spark):
+    for edits in (5, 4):
+        rows = boilerplate(edits)
+        assert jaccard(rows[0][1], rows[1][1]) >= 0.8 and jaccard(rows[0][1], rows[2][1]) < 0.8
+        got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert sum(got[2 * k] == got[2 * k + 1] for k in range(250)) == 250
 
 
 def test_dart_signatures_estimate_weighted_jaccard():
