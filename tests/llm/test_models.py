@@ -113,48 +113,92 @@ def test_lm_scores(spark, sf):
         n, v = sum(c.values()), len(c)
         want = sorted((i or -1, h, len(t), sum(c[w] > 0 for w in t), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), 6)) for (i, _), t, h in zip(texts, tokens, held))
         for frequent in (1 << 21, 50):
-            rows = attention_lm.lm_scores(docs, frequent=frequent, share=2, rounds=1).collect()
+            rows = attention_lm.lm_scores(docs, frequent=frequent, epochs=1).collect()
             assert sorted((r.doc_id or -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows) == want
             assert all(r.score < 0 for r in rows)
     assert attention_lm.lm_scores(docs.limit(0)).count() == 0
 
 
-def test_layout_and_model_see_all_training_documents(spark):
-    texts = [(i, f"document{i} speaks of zebra{i} and of nothing else") for i in range(12)]
-    docs = spark.createDataFrame(texts, "doc_id long, text string")
-    train = [t for i, t in texts if zlib.crc32(str(i).encode()) % 7 != 2]
-    ids, _ = attention_lm.Words(pa.array(train)).subwords(attention_lm.VOCABULARY)
-    want = attention_lm.Layout(np.bincount(ids, minlength=attention_lm.IDS))
-    flat, layout = attention_lm.trained(docs, attention_lm.VOCABULARY)
-    assert (layout.inner == want.inner).all() and (layout.kind == want.kind).all() and (layout.input == want.input).all()
-    assert not np.allclose(flat, attention_lm.start_values(want))
-    assert attention_lm.SHARE == 1 and (attention_lm.trained(docs, attention_lm.VOCABULARY, share=32)[1].inner == want.inner).all()
-
-
-def test_attention_gradients_and_windows():
-    ids = np.arange(40) * 37 % 500
-    layout = attention_lm.Layout(np.bincount(ids, minlength=attention_lm.IDS))
-    p = attention_lm.start_values(layout).astype(float)
-    x, y, on, _ = attention_lm.blocks(ids, np.array([0, 25, 40]), layout)
-    _, cx, cy, cg = next(iter(attention_lm.chunks(x, y, on, 16)))
-    g, _ = attention_lm.gradients(attention_lm.unpack(p), cx, cy, cg, layout)
-
-    def loss(q):
-        logits, norm, _ = attention_lm.forward(attention_lm.unpack(q), cx, cg)
-        t = cy[1:].ravel()
-        r = np.flatnonzero(t >= 0)
-        return -(logits[r, layout.kind[t[r]]] - norm[r]).mean()
-
-    for i in np.argsort(-np.abs(g))[:20]:
-        q = p.copy()
-        q[i] += 1e-4
-        a = loss(q)
-        q[i] -= 2e-4
-        assert abs((a - loss(q)) / 2e-4 - g[i]) < 1e-4
-    # the sum over chunks doesn't depend on how texts are batched, nor a text's score on its neighbours
-    both = attention_lm.text_scores(p.astype(np.float32), layout, ids, np.array([0, 25, 40]))
-    alone = attention_lm.text_scores(p.astype(np.float32), layout, ids[25:], np.array([0, 15]))
-    assert abs(both[1] - alone[0]) < 1e-3
+def test_lm_scores_do_not_depend_on_partitions(spark, sf):
+    docs = cases.sample(spark, sf)
+    got = [{r.doc_id: r.score for r in attention_lm.lm_scores(docs.repartition(k), epochs=2).collect()} for k in (1, 7)]
+    assert all(abs(got[0][i] - got[1][i]) <= 1e-6 * abs(got[0][i]) for i in got[0])
+
+
+def test_lm_score_is_the_plain_product(spark, sf):
+    """The score of some texts from the definition: word share, class by one window at a time, share inside the class by counted pairs."""
+    lm = attention_lm
+    docs = cases.sample(spark, sf)
+    rows = {r.doc_id: r.score for r in lm.lm_scores(docs, epochs=2).collect()}
+    model = lm.trained(docs, lm.word_counts(docs), epochs=2)
+    encode = lm.encoder(lm.VOCABULARY).encode_ordinary
+    texts = {r.doc_id: [w for w in SPACE.split(low(r.text)) if w] for r in docs.collect()}
+    train = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    c = Counter(w for t in train for w in [*t, None])
+    ids_of = lambda words: [e for w in words for e in [encode(" " + w)]] + [[lm.END]]
+    pairs, inside = Counter(), Counter()
+    for t in train:
+        flat = [i for e in ids_of(t) for i in e]
+        for a, b in zip([lm.IDS, *flat], flat):
+            pairs[a, b] += 1
+            inside[a, model.layout.kind[b]] += 1
+    for i in sorted(texts)[:12]:
+        total, seen = 0.0, []
+        for word, ids in zip([*texts[i], None], ids_of(texts[i])):
+            p = 1.0
+            for k in ids:
+                code = 0
+                for x in ([lm.IDS] * lm.WINDOW + seen)[-lm.WINDOW :]:
+                    code = code * (lm.CLASSES + 1) + (lm.PAD if x == lm.IDS else model.layout.kind[x])
+                before = seen[-1] if seen else lm.IDS
+                logp = lm.forward(model.values, np.array([code]))[0][0]
+                p *= math.exp(logp[model.layout.kind[k]]) * (pairs[before, k] + lm.PULL * model.layout.share[k]) / (inside[before, model.layout.kind[k]] + lm.PULL)
+                seen.append(k)
+            total += math.log10(lm.MIX * c[word] / sum(c.values()) + (1 - lm.MIX) * p)
+        assert abs(total - rows[i]) < 1e-3 * max(1, abs(total))
+
+
+def test_lm_probabilities_sum_to_one():
+    lm = attention_lm
+    rng = np.random.default_rng(2)
+    ids = rng.integers(0, 400, 3000)
+    layout = lm.Layout(np.bincount(ids, minlength=lm.IDS).astype(float), lm.space_first(lm.VOCABULARY))
+    cell, n = np.unique(np.append(lm.IDS, ids[:-1]) * lm.IDS + ids, return_counts=True)
+    model = lm.Model(lm.start_values(), layout, cell, n.astype(float))
+    total = 0.0
+    for k in range(0, lm.IDS, 10000):  # every id as the next one after two fixed ids
+        tail = np.arange(k, min(k + 10000, lm.IDS))
+        flat, first = np.stack((np.full(len(tail), 5), np.full(len(tail), 9), tail), 1).ravel(), np.arange(len(tail) + 1) * 3
+        total += np.exp(model.log_probabilities(flat, first)[2::3]).sum()
+    assert abs(total - 1) < 1e-3
+
+
+def test_lm_is_near_the_word_base(spark):
+    """On words that the training documents hold the model is as good as the counts; unseen words cost what their letters cost, not one count."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [r for r in attention_lm.lm_scores(docs).collect() if r.held_out]
+    n, base, score = (sum(r[k] for r in rows) for k in ("n_tokens", "base_score", "score"))
+    assert score / n > -4.7 and score / n > base / n - 0.6
+    known = [r for r in rows if r.n_known == r.n_tokens]
+    assert known and sum(r.score for r in known) > 1.01 * sum(r.base_score for r in known)
+
+
+def test_attention_gradients():
+    rng = np.random.default_rng(0)
+    codes = rng.integers(0, attention_lm.WINDOWS, 40)
+    codes[0] = attention_lm.WINDOWS - 1  # the beginning of a text
+    counts = rng.integers(0, 5, (40, attention_lm.CLASSES)).astype(float)
+    p = attention_lm.start_values()
+    g, _ = attention_lm.gradients(p, codes, counts)
+    for name in p:
+        for at in np.argsort(-np.abs(g[name]).ravel())[:4]:
+            where = np.unravel_index(at, p[name].shape)
+            loss = []
+            for step in (1e-5, -1e-5):
+                q = {k: v.copy() for k, v in p.items()}
+                q[name][where] += step
+                loss.append(attention_lm.gradients(q, codes, counts)[1])
+            assert abs((loss[0] - loss[1]) / 2e-5 - g[name][where]) < 1e-6
 
 
 def jaccard(a, b):
