@@ -217,9 +217,12 @@ def all_links(links: DataFrame, found: DataFrame, many: DataFrame, done: DataFra
     if loose.isEmpty():
         return found
     rows = cut_lineage(rare_tokens(texts.join(loose.select("key"), "key"), threshold))
-    groups = cut_lineage(rows.join(loose, "key").groupBy("token").agg(F.count("*").alias("m"), F.max_by("key", F.struct("reach", "key")).alias("top")).where("m > 1"))
+    groups = rows.join(loose, "key").groupBy("token").agg(F.count("*").alias("m"), F.max_by("key", F.struct("reach", "key")).alias("top"), F.bit_xor(F.xxhash64("key")).alias("texts"), F.min("pos").alias("low")).where("m > 1")
+    # tokens of just the same texts, as those of a passage are, say the same; the first of them comes first in every text
+    groups = cut_lineage(groups.groupBy("m", "top", "texts").agg(F.min_by("token", "low").alias("token")).drop("texts"))
     rows = rows.join(groups, "token").select("token", "key", "size", "pos", "m", (F.col("key") == F.col("top")).alias("top"), (F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / (1 << 30)).alias("u"))
-    for chosen in (F.col("top") | (F.col("u") * F.col("m") < FEW), F.lit(True)):
+    some = F.col("top") | (F.col("u") * F.col("m") < FEW)
+    for chosen in (some, F.lit(True)):
         rows = split_groups(rows, found, "token")
         if rows.isEmpty():
             break
@@ -227,7 +230,8 @@ def all_links(links: DataFrame, found: DataFrame, many: DataFrame, done: DataFra
         # Where two texts first share a token, what they have left from there on must hold their overlap; all that comes before is unshared.
         overlap = F.ceil(threshold / (1 + threshold) * (F.col("size") + F.col("hub_size")) - 1e-6)
         fits = (F.col("size") - F.col("pos") >= overlap) & (F.col("hub_size") - F.col("hub_pos") >= overlap)
-        pairs = rows.join(hub, "token").where((F.col("component") != F.col("hub_component")) & fits).select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
+        once = (~some if chosen is some else F.lit(False)) | (F.col("key") < F.col("hub"))  # two that are both chosen meet once
+        pairs = rows.join(hub, "token").where((F.col("component") != F.col("hub_component")) & once & fits).select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
         pairs = cut_lineage(pairs.join(done, ["a", "b"], "left_anti"))
         done, rows = done.union(pairs), rows.drop("component")
         new = cut_lineage(verify(pairs, texts, threshold))
