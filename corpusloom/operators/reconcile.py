@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fingerprint, is_label, norm
+from ..session import checkpointed
 from .checks import row
 
 #: Short needles that are broadcast at a time.
@@ -153,13 +154,13 @@ def match_image_ref(source: DataFrame, target: DataFrame) -> DataFrame:
     return same.unionByName(match_image(source.join(same, "atom_id", "left_anti"), target, 0.95))
 
 
-def reconcile(source: DataFrame, target: DataFrame, least: int = 0, labels: tuple[list[str], str] = ([], "a^"), fuzzy=None, save=lambda df: df) -> DataFrame:
+def reconcile(source: DataFrame, target: DataFrame, least: int = 0, labels: tuple[list[str], str] = ([], "a^"), fuzzy=None) -> DataFrame:
     """Every source atom with its class: trivial, structural (labels: words and a pattern, see is_label), matched (tier, target, confidence) or unmatched.
 
     Tiers, each on what the last left over: exact, contains, fuzzy (a function of both sides, if given), url, url in text, image references (atoms with stem and
-    slides), cross-source, table cells, images. save cuts the lineage between tiers.
+    slides), cross-source, table cells, images. The lineage is cut between tiers.
     """
-    s, t = save(prepared(source)), save(prepared(target))
+    s, t = checkpointed(prepared(source)), checkpointed(prepared(target))
     trivial = F.length("norm") < 5
     structural = ((F.col("atom_type") == "text_block") & is_label(F.col("content"), *labels)) | ((F.col("atom_type") == "image") & F.contains(F.coalesce("location", F.lit("")), F.lit("unknown_slide")) if "location" in s.columns else F.lit(False))
     left, found = s.where(~trivial & ~structural), None
@@ -174,7 +175,7 @@ def reconcile(source: DataFrame, target: DataFrame, least: int = 0, labels: tupl
     if {"stem", "slides"} <= {*s.columns} & {*t.columns}:
         tiers.append(lambda a, b: match_image(of(a, "image"), of(b, "image")))
     for tier in tiers:
-        hit = save(tier(left, t).select("atom_id", "target_id", "tier", F.col("confidence").cast("double").alias("confidence")))
+        hit = checkpointed(tier(left, t).select("atom_id", "target_id", "tier", F.col("confidence").cast("double").alias("confidence")))
         found = hit if found is None else found.unionByName(hit)
         left = left.join(hit, "atom_id", "left_anti")
     out = s.join(found, "atom_id", "left")

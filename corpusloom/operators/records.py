@@ -14,7 +14,7 @@ from .rollup import lines
 
 SLIDE = r"^#+\s*Slide\s+(\d+)"
 RULE = r"^\s*(-{3,}|={3,}|\*{3,})\s*$"
-NOTES = r"(?i)^\s*(#+\s*)?(speaker )?notes:?\s*"
+NOTES = r"(?i)^\s*(?:#+\s*)?(?:\*\*)?(?:speaker\s+)?notes\s*:(?:\*\*)?\s*"
 
 
 def slides(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

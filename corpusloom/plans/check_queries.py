@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import checks, record_checks, reconcile, rollup, scores
 from ..operators.expect import expect
-from .queries import NORM, query, read, saved
+from ..session import saved
+from .queries import NORM, query, read
 
 #: Records as SQL: one for each page, its fields read from the page's markup; times and versions are gone from some of them by rule.
 REC = r"""
@@ -379,7 +380,7 @@ def reconciled(spark, sf_dir):
     i = F.col("doc_id") * 100000 + F.col("line_no")
     target = rows.select(i.alias("atom_id"), F.when(F.col("note"), "speaker_note").otherwise("text_block").alias("atom_type"), F.col("line").alias("content"), F.when(F.col("lang") == "en", 1).when(F.col("lang") == "de", 2).otherwise(3).alias("term"), F.lit(None).cast("int").alias("lesson"), i.alias("ord"))
     target = target.union(one(p, F.col("page_id") + 9000000000, "link", F.col("url"), 1))
-    return source, reconcile.reconcile(source, target, 12, ([], "^(the|le) "), save=saved(spark))
+    return source, reconcile.reconcile(source, target, 12, ([], "^(the|le) "))
 
 
 @query(_RECON + "SELECT atom_id, atom_type, term, class, tier, target_id, confidence FROM res")

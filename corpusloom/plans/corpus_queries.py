@@ -11,8 +11,9 @@ from ..functions import text as T
 from ..operators import dedup, diff, reconcile, records, rollup
 from ..operators.expect import completeness
 from ..operators.similar import match_fuzzy, ratio
+from ..session import shared_dir
 from ..streaming import feeds
-from .queries import PAGE_RULES, query, read, saved
+from .queries import PAGE_RULES, query, read
 
 LESSONS = R.KeyRules({"src1": 1, "src2": 2, "src3": 3}, {"src": 1}, "lesson", {1: 24, 2: 14, 3: 24}, {i: [2 * i - 1, 2 * i] for i in range(1, 7)})
 
@@ -276,8 +277,7 @@ def fuzzy_sides(d, labelled):
 @query("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL")
 def q_stream_counts(spark, sf_dir):
     """Running counts by Structured Streaming over the events file, as they stand at the end."""
-    saved(spark)
-    out = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stream-{uuid.uuid4().hex}"
+    out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = read(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     keep = lambda batch, _: batch.write.mode("overwrite").parquet(f"{out}/rows")

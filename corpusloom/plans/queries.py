@@ -11,6 +11,7 @@ from ..functions import rules as R
 from ..functions import text as T
 from ..operators import dedup, diff, reconcile, rollup
 from ..operators.expect import Rule, completeness, expect, quality_cube, referenced, regression, unique, verdict
+from ..session import saved
 from ..sources.pages import page_links, page_paragraphs, parse_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -448,25 +449,15 @@ def q_consensus(spark, sf_dir):
     return rollup.consensus(v)
 
 
-def saved(spark: SparkSession):
-    """A function that cuts a frame's lineage in the shared checkpoint folder of the session."""
-    import tempfile
-
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corpusloom-"))
-    return lambda df: df.checkpoint()
-
-
 @query("SELECT o_orderpriority, o_orderstatus, count(*) AS n, count(*) FILTER (o_totalprice > 150000) AS large, count(*) FILTER (o_totalprice > 150000) / count(*) AS share FROM orders GROUP BY ALL")
 def q_conditional_counts(spark, sf_dir):
     large = F.col("o_totalprice") > 150000
     return read(spark, sf_dir, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"), F.count_if(large).alias("large"), (F.count_if(large) / F.count("*")).alias("share"))
 
 
-@query("SELECT conv_id, turn, role FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations) WHERE role = before OR turn <> place")
+@query("SELECT o_custkey, o_orderkey, place FROM (SELECT *, lag(o_orderstatus) OVER w AS before, row_number() OVER w AS place FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)) WHERE o_orderstatus = before OR o_orderkey = place")
 def q_order_gaps(spark, sf_dir):
-    """Turns that repeat the role before them, or whose number isn't their place."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    c = read(spark, sf_dir, "conversations").withColumns({"before": F.lag("role").over(w), "place": F.row_number().over(w) - 1})
-    return c.where("role = before or turn <> place").select("conv_id", "turn", "role")
+    """Orders that repeat the status of the customer's order before them, or whose number is their place."""
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    c = read(spark, sf_dir, "orders").withColumns({"before": F.lag("o_orderstatus").over(w), "place": F.row_number().over(w)})
+    return c.where("o_orderstatus = before or o_orderkey = place").select("o_custkey", "o_orderkey", F.col("place").cast("long").alias("place"))

@@ -53,10 +53,46 @@ def slide_number(entry):
     return F.regexp_extract(entry, r"slides?/(?:notesSlide|slide)(\d+)\.xml$", 1).cast("int")
 
 
+def decoded(text):
+    """XML text with its entities as characters."""
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
+
+
+def every(xml, tag: str):
+    """All elements of a tag, in order, as XML; elements of one tag inside each other aren't told apart."""
+    return F.regexp_extract_all(xml, F.lit(rf"(?s)<{tag}(?:\s(?:[^>/]|/(?!>))*)?>.*?</{tag}>"), F.lit(0))
+
+
+def runs(xml, tag: str):
+    """The text of all runs, joined."""
+    return decoded(F.array_join(F.regexp_extract_all(xml, F.lit(rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"), F.lit(1)), ""))
+
+
 def deck_slides(parts: DataFrame) -> DataFrame:
-    """path, slide, texts (runs of each paragraph joined) of every slide of a deck."""
+    """path, slide, texts (runs of each paragraph joined, empty ones left out) of every slide of a deck."""
+    s = parts.where(F.col("entry").rlike(r"^ppt/slides/slide\d+\.xml$")).withColumn("x", _bare(F.col("xml")))
+    texts = F.filter(F.transform(every("x", "a:p"), lambda p: runs(p, "a:t")), lambda t: F.trim(t) != "")
+    return s.select("path", slide_number(F.col("entry")).alias("slide"), texts.alias("texts"))
+
+
+def _table_rows(tables, row: str, cell: str, text: str):
+    return F.transform(tables, lambda t: F.transform(every(t, row), lambda r: F.transform(every(r, cell), lambda c: F.trim(runs(c, text)))))
+
+
+def deck_tables(parts: DataFrame) -> DataFrame:
+    """path, slide, table_no, headers (the first row) and rows of the tables of decks."""
     s = parts.where(F.col("entry").rlike(r"^ppt/slides/slide\d+\.xml$")).withColumn("x", _bare(F.col("xml")))
-    return s.select("path", slide_number(F.col("entry")).alias("slide"), F.expr("xpath(x, \"//*[name()='a:t']/text()\")").alias("texts"))
+    each = s.select("path", slide_number(F.col("entry")).alias("slide"), F.posexplode(_table_rows(every("x", "a:tbl"), "a:tr", "a:tc", "a:t")).alias("table_no", "r"))
+    return each.select("path", "slide", "table_no", F.try_element_at("r", F.lit(1)).alias("headers"), F.slice("r", 2, F.greatest(F.size("r") - 1, F.lit(0))).alias("rows"))
+
+
+def doc_tables(parts: DataFrame) -> DataFrame:
+    """path, table_no, headers (the first row) and rows of the tables of text documents."""
+    d = parts.where("entry = 'word/document.xml'").withColumn("x", _bare(F.col("xml")))
+    each = d.select("path", F.posexplode(_table_rows(every("x", "w:tbl"), "w:tr", "w:tc", "w:t")).alias("table_no", "r"))
+    return each.select("path", "table_no", F.try_element_at("r", F.lit(1)).alias("headers"), F.slice("r", 2, F.greatest(F.size("r") - 1, F.lit(0))).alias("rows"))
 
 
 def deck_notes(parts: DataFrame) -> DataFrame:
@@ -91,8 +127,7 @@ def doc_paragraphs(parts: DataFrame) -> DataFrame:
     d = parts.where("entry = 'word/document.xml'").withColumn("x", _bare(F.col("xml")))
     each = d.select("path", F.posexplode(F.regexp_extract_all("x", F.lit(r"(?s)<w:p[ >].*?</w:p>"), F.lit(0))).alias("pos", "p"))
     text = F.array_join(F.regexp_extract_all("p", F.lit(r"(?s)<w:t(?:\s[^>]*)?>(.*?)</w:t>"), F.lit(1)), "")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    text = decoded(text)
     return each.select("path", "pos", F.nullif(F.regexp_extract("p", r'<w:pStyle w:val="([^"]*)"', 1), F.lit("")).alias("style"), text.alias("text")).where("trim(text) <> ''")
 
 
@@ -102,16 +137,22 @@ def doc_links(parts: DataFrame) -> DataFrame:
 
 
 def sheet_rows(parts: DataFrame) -> DataFrame:
-    """path, sheet, row_no, cells of every row that isn't empty; shared strings are looked up by their number."""
+    """path, sheet, row_no, cells of every row that isn't empty. Rows and cells stand where their references say (row_no from 0, missing cells are empty);
+    shared strings are looked up by their number."""
     shared = parts.where("entry = 'xl/sharedStrings.xml'").select("path", F.posexplode(F.regexp_extract_all("xml", F.lit(r"(?s)<si>(.*?)</si>"), F.lit(1))).alias("n", "si"))
-    shared = shared.select("path", "n", F.array_join(F.regexp_extract_all("si", F.lit(r"(?s)<t(?:\s[^>]*)?>(.*?)</t>"), F.lit(1)), "").alias("string"))
+    shared = shared.select("path", "n", runs("si", "t").alias("string"))
     sheets = parts.where(F.col("entry").rlike(r"^xl/worksheets/sheet\d+\.xml$"))
-    rows = sheets.select("path", F.regexp_extract("entry", r"sheet(\d+)\.xml$", 1).cast("int").alias("sheet"), F.posexplode(F.regexp_extract_all("xml", F.lit(r"(?s)<row[ >].*?</row>"), F.lit(0))).alias("row_no", "r"))
-    cells = rows.select("path", "sheet", "row_no", F.posexplode(F.regexp_extract_all("r", F.lit(r"(?s)<c[ >].*?(?:/>|</c>)"), F.lit(0))).alias("pos", "c"))
+    rows = sheets.select("path", F.regexp_extract("entry", r"sheet(\d+)\.xml$", 1).cast("int").alias("sheet"), F.posexplode(every("xml", "row")).alias("place", "r"))
+    number = F.nullif(F.regexp_extract("r", r'^<row[^>]*\sr="(\d+)"', 1), F.lit("")).cast("int") - 1
+    cell = r"(?s)<c(?:\s(?:[^>/]|/(?!>))*)?(?:/>|>.*?</c>)"
+    cells = rows.select("path", "sheet", F.coalesce(number, "place").alias("row_no"), F.posexplode(F.regexp_extract_all("r", F.lit(cell), F.lit(0))).alias("pos", "c"))
+    letters = F.regexp_extract("c", r'^<c[^>]*\sr="([A-Z]+)\d+"', 1)
+    column = F.aggregate(F.filter(F.split(letters, ""), lambda x: x != ""), F.lit(0), lambda acc, x: acc * 26 + F.ascii(x) - 64)
     value = F.coalesce(F.nullif(F.regexp_extract("c", r"(?s)<v>(.*?)</v>", 1), F.lit("")), F.regexp_extract("c", r"(?s)<t(?:\s[^>]*)?>(.*?)</t>", 1))
-    cells = cells.select("path", "sheet", "row_no", "pos", value.alias("v"), F.col("c").rlike(r'\bt="s"').alias("is_shared"))
+    cells = cells.select("path", "sheet", "row_no", F.when(column > 0, column).otherwise(F.col("pos") + 1).alias("pos"), decoded(value).alias("v"), F.col("c").rlike(r'^<c[^>]*\st="s"').alias("is_shared"))
     named = cells.join(shared, (cells["path"] == shared["path"]) & F.col("is_shared") & (F.col("v") == F.col("n").cast("string")), "left").select(cells["path"], "sheet", "row_no", "pos", F.coalesce("string", "v").alias("v"))
-    out = named.groupBy("path", "sheet", "row_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda x: x["v"]).alias("cells"))
+    placed = named.groupBy("path", "sheet", "row_no", "pos").agg(F.max("v").alias("v")).groupBy("path", "sheet", "row_no").agg(F.map_from_entries(F.collect_list(F.struct("pos", "v"))).alias("m"), F.max("pos").alias("most"))
+    out = placed.select("path", "sheet", "row_no", F.transform(F.sequence(F.lit(1), F.col("most")), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(""))).alias("cells"))
     return out.where(F.exists("cells", lambda c: F.trim(c) != ""))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.diff import snapshot_diff
+from ..operators.rollup import latest
 
 ACTIVITY = "ts timestamp, actors array<struct<person_name:string,is_current_user:boolean>>, actions array<struct<type:string,detail:string>>, targets array<struct<title:string,name:string,mime_type:string,file_id:string>>"
 
@@ -36,14 +37,14 @@ def windowed_counts(events: DataFrame, *keys: str, ts: str = "ts", delay: str =
 
 
 def start_diffs(files: DataFrame, state: str, changes: str, checkpoint: str, key: str = "id", content: str = "md5", name: str = "name", modified: str = "modified_time"):
-    """Each batch of file rows is compared with the state table; changes are appended, then the batch becomes the state of its keys.
+    """Each batch of file rows is compared with the state table; changes are appended, then the batch becomes the state of its keys (the row last modified, where a key comes twice).
 
     The state is kept in numbered versions, so a batch that is run again after a failure starts from the version before it.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        now = batch.dropDuplicates([key])
+        now = latest(batch, [key], modified)
         if number:
             old = spark.read.parquet(f"{state}/{number - 1}")
             found = snapshot_diff(now, old.join(now.select(key), key, "left_semi"), key, content, name, modified)

@@ -116,3 +116,21 @@ def test_sinks(spark, tmp_path):
     assert {(r.tags, r.note) for r in spark.read.option("header", True).csv(str(tmp_path / "csv")).collect()} <= {("x|y", "long"), ("", "t"), (None, "t")}
     ok, bad = (spark.createDataFrame([(v,)], "verdict string") for v in ("PASS", "FAIL"))
     assert not sinks.archive_if_passed(df, bad, str(tmp_path / "arc"), "1") and sinks.archive_if_passed(df, ok, str(tmp_path / "arc"), "1")
+
+
+def test_sheet_cells_by_reference(spark):
+    xml = '<row r="1"><c r="A1"><f/><v>1</v></c><c r="C1"><v>2</v></c><c r="D1"/></row><row r="3"><c r="AB3" t="inlineStr"><is><t>a &amp; b</t></is></c></row>'
+    parts = spark.createDataFrame([("f", "xl/worksheets/sheet1.xml", xml, None)], "path string, entry string, xml string, error string")
+    got = {r.row_no: r.cells for r in office.sheet_rows(parts).collect()}
+    assert got == {0: ["1", "", "2", ""], 2: [""] * 27 + ["a & b"]}
+
+
+def test_tables_and_paragraphs_of_decks_and_documents(spark):
+    deck = "<p><a:p><a:r><a:t>One </a:t></a:r><a:r><a:t>line</a:t></a:r></a:p><a:tbl><a:tr h='1'><a:tc><a:p><a:t>H</a:t></a:p></a:tc><a:tc><a:t>I</a:t></a:tc></a:tr><a:tr><a:tc><a:t>1</a:t></a:tc><a:tc><a:t>2</a:t></a:tc></a:tr></a:tbl></p>"
+    doc = "<w:tbl><w:tr><w:tc><w:p><w:t>A</w:t></w:p></w:tc></w:tr><w:tr><w:tc><w:t xml:space='preserve'>b &lt; c</w:t></w:tc></w:tr></w:tbl>"
+    parts = spark.createDataFrame([("f", "ppt/slides/slide2.xml", deck, None), ("g", "word/document.xml", doc, None)], "path string, entry string, xml string, error string")
+    assert office.deck_slides(parts).first().texts[0] == "One line"
+    r = office.deck_tables(parts).first()
+    assert (r.slide, r.headers, r.rows) == (2, ["H", "I"], [["1", "2"]])
+    r = office.doc_tables(parts).first()
+    assert (r.headers, r.rows) == (["A"], [["b < c"]])
