@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, digest, let
+from .common import cut_lineage, digest, fresh, let
 
 WIDTH = 10
 BROADCAST_GRAMS = 1_000_000
@@ -84,6 +84,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, bro
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
     """The documents, with all their columns, in which no benchmark window occurs; null texts stay."""
     grams, _ = grams_of(benchmark, width)
-    found = occurrences(docs.select("doc_id", "text"), grams, broadcast_grams).where("n_hit > 0").select(F.col("row_key").alias("__row_key"), F.col("doc_id").alias("__id"))
-    keyed = docs.withColumn("__key", digest(F.col("text")))
-    return keyed.join(found, (F.col("__key") == F.col("__row_key")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    key, hit_key, hit_id = (fresh(docs.columns, x) for x in ("key_", "hit_key_", "hit_id_"))
+    found = occurrences(docs.select("doc_id", "text"), grams, broadcast_grams).where("n_hit > 0").select(F.col("row_key").alias(hit_key), F.col("doc_id").alias(hit_id))
+    keyed = docs.withColumn(key, digest(F.col("text")))
+    return keyed.join(found, (F.col(key) == F.col(hit_key)) & F.col("doc_id").eqNullSafe(F.col(hit_id)), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -128,7 +128,7 @@ def _verified(threshold: float):
 
 def components(links: DataFrame) -> DataFrame:
     """(key, component): the least key that links (a, b) connect each key to. Rounds of minimum and pointer jumping, each written as tables."""
-    both = cut_lineage(links.select("a", "b").union(links.select("b", "a")).distinct())
+    both = cut_lineage(links.select("a", "b").union(links.select("b", "a")))
     now = cut_lineage(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.col("a")).alias("component")).select("key", "component"))
     while True:
         near = both.join(now.select(F.col("key").alias("b"), F.col("component").alias("c")), "b").groupBy(F.col("a").alias("key")).agg(F.min("c").alias("c"))

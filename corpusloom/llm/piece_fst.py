@@ -1,6 +1,6 @@
 """Operator 10. SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Compiled once per worker from a SentencePiece model file: the normaliser (a marker before the text, every space becomes a marker) and
+Compiled once per worker from a SentencePiece model file: the normaliser as the file states it (a marker before the text or none, every space becomes a marker) and
 the pieces, as a deterministic automaton over bytes whose final states output a piece; byte fallback adds one costly arc per byte.
 A piece of rank r costs ln(r + 2.7) plus a constant, as under Zipf's law (the file's scores are ranks); fallback bytes cost far more.
 Encoding composes the automaton with each different chunk of a batch (a run of markers and what follows; no piece crosses chunks) at all
@@ -20,6 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from .common import distinct_spans, pieces, span_hashes, utf8
@@ -29,6 +30,37 @@ MARK, GAP = 0xFF, 0xFE
 FALLBACK = 60.0
 
 
+def fields(message: bytes):
+    """(number, value) of a serialised message's fields: integers, or bytes."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            b = message[at]
+            at, out, shift = at + 1, out | (b & 127) << shift, shift + 7
+            if b < 128:
+                return out
+
+    while at < len(message):
+        key = number()
+        if key & 7 == 0:
+            yield key >> 3, number()
+        else:
+            size = {1: 8, 5: 4}.get(key & 7) or number()
+            yield key >> 3, message[at : at + size]
+            at += size
+
+
+def normaliser(model: bytes) -> bool:
+    """Whether the model's normaliser puts a marker before each text. Its other rules must be those composed here: spaces become markers, nothing else changes."""
+    spec = {2: b"", 3: 1, 4: 1, 5: 1} | dict(fields(dict(fields(model)).get(3, b"")))  # charsmap, dummy prefix, removal of extra white space, escaping
+    if spec[2] or spec[4] or not spec[5]:
+        raise ValueError("the model's normaliser changes characters or removes white space")
+    return bool(spec[3])
+
+
 class Transducer:
     """States are numbered prefixes of pieces; 0 is the start. arcs: a hash table from state * 256 + byte to the next state."""
 
@@ -36,6 +68,7 @@ class Transducer:
         from sentencepiece import SentencePieceProcessor
 
         sp = SentencePieceProcessor(model_file=path)
+        self.prefix = normaliser(sp.serialized_model_proto())
         text, cost, self.byte_id = {}, {}, np.zeros(256, np.int64)
         rank = [-sp.get_score(i) for i in range(len(sp))]
         norm = np.log(sum(1 / (max(r, 0) + 2.7) for r in rank))
@@ -153,10 +186,12 @@ class Transducer:
         data, offsets = utf8(texts)
         size = np.diff(offsets)
         marked = np.flatnonzero(size)
-        data = np.insert(np.where(data == 0x20, MARK, data).astype(np.uint8), offsets[marked], MARK)
+        data = np.where(data == 0x20, MARK, data).astype(np.uint8)
+        if self.prefix:
+            data = np.insert(data, offsets[marked], MARK)
         if not len(data):
             return np.zeros(0, np.int64), np.zeros(len(size) + 1, np.int64)
-        first = np.concatenate(([0], np.cumsum(size + (size > 0))))
+        first = np.concatenate(([0], np.cumsum(size + (size > 0) * self.prefix)))
         mark = data == MARK
         new = mark.copy()
         new[1:] &= ~mark[:-1]
@@ -176,7 +211,7 @@ class Transducer:
         data = self.flat[np.repeat(self.at[ids] - total[:-1], n) + np.arange(total[-1])]
         data = np.where(data == MARK, 0x20, data).astype(np.uint8).tobytes()
         cuts = total[first]
-        return [data[a + 1 : b] if b > a else b"" for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+        return [data[a + self.prefix : b] if b > a else b"" for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -189,7 +224,8 @@ def _plain(whole: pa.RecordBatch, at: int) -> pa.RecordBatch:
 
 
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """The columns of docs and `pieces`, array<int>, of each text."""
+    """The columns of docs and `pieces`, array<int>, of each text; a column of that name is replaced."""
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "pieces"])
     names = docs.columns
     at = names.index("text")
 
@@ -241,4 +277,4 @@ def piece_report(docs: DataFrame, model: str = MODEL, with_pieces: bool = False)
                     columns.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "pieces"][: len(columns)])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_pieces long, n_fallback long, pieces_sha256 string, round_trip boolean" + ", pieces array<int>" * with_pieces)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.select('doc_id').dtypes[0][1]}, n_pieces long, n_fallback long, pieces_sha256 string, round_trip boolean" + ", pieces array<int>" * with_pieces)

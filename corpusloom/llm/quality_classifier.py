@@ -1,6 +1,6 @@
 """Operator 2. Quality classifier: random-indexing word vectors pooled per document, a two-layer network, calibrated probabilities.
 
-Word vectors. Words are hashed to `slots` ids. Each id has a sparse random index vector (a few +1 and -1 by hash); a word's vector is the sum
+Word vectors. Words are hashed to `slots` ids; with more different words than slots, several share a vector. Each id has a sparse random index vector (a few +1 and -1 by hash); a word's vector is the sum
 of the index vectors of the words up to `window` places away, over all documents, then scaled to unit length. Sums are integers, so the
 order of tasks doesn't matter, and the table has slots x dims cells whatever the corpus.
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import hashed_words, mix, pieces, remainder, sample_labels
 
-SLOTS, DIMS, ONES, WINDOW = 1 << 14, 32, 2, 2
+SLOTS, DIMS, ONES, WINDOW = 1 << 16, 32, 2, 2
 LIMIT, HIDDEN, EPOCHS = 20_000, 32, 30
 CUT = 0.3
 
@@ -173,5 +173,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> Da
             for b in pieces(whole):
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(net.scores(pooled(b.column("text"), vectors)).astype(float))], names=["doc_id", "score"])
 
-    scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    kind = docs.select("doc_id").dtypes[0][1]
+    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
     return scored.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))

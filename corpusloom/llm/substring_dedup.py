@@ -17,7 +17,10 @@ positive only adds rows to an exact count. The contents of each round are writte
 
 Defined results: null and empty texts and those shorter than `length` lose nothing; equal texts of `length` bytes or more lose
 everything, repeated rows included; a null doc_id is kept; an empty table gives no rows; extra columns are ignored. Different
-strings count as equal if their 64-bit fingerprints agree, which has probability 2 ** -64 for each pair of them.
+strings count as equal if two 64-bit fingerprints agree, that of their core and that of all their bytes; for two strings of one core that has probability 2 ** -64.
+
+Departure from a suffix array proper: buckets carry fingerprints as identifiers instead of ranks from one sort of all suffixes. A row for each byte, 16 bytes or
+more, would be shuffled in every round, at least 16 times the input a round; see the README.
 """
 
 from __future__ import annotations
@@ -219,4 +222,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 sha = [hashlib.sha256(x).hexdigest() for x in text]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(np.diff(x).astype(np.int64)) for x in (cells.offsets, gone, runs)], pa.array(sha, pa.string()), pa.array(text, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    kind = docs.select("doc_id").dtypes[0][1]
+    return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from corpusloom.llm import attention_lm, near_dedup, piece_fst, quality_classifier, substring_dedup, toxicity
 
@@ -354,6 +355,66 @@ def test_pieces(spark, sf):
     assert piece_fst.piece_report(docs.limit(0)).count() == 0
 
 
+def test_normaliser_of_the_model():
+    import pytest
+
+    assert piece_fst.transducer(piece_fst.MODEL).prefix is True
+    spec = lambda *rules: bytes([3 << 3 | 2, 2 * len(rules)]) + bytes(x for k, v in rules for x in (k << 3, v))
+    assert piece_fst.normaliser(spec((3, 0), (4, 0))) is False and piece_fst.normaliser(spec((4, 0))) is True
+    for bad in (spec((4, 1)), spec((4, 0), (5, 0))):
+        with pytest.raises(ValueError):
+            piece_fst.normaliser(bad)
+
+
+def test_words_that_look_alike_encode_apart():
+    from .test_hard_texts import thue_morse
+
+    t = piece_fst.transducer(piece_fst.MODEL)
+    texts = [thue_morse(2048), thue_morse(2048, True), thue_morse(1024) + " x", thue_morse(1024, True) + " x"]
+    ids, first = t.encode(pa.array(texts))
+    assert [x.decode() for x in t.decode(ids, first)] == texts
+
+
+def test_pipeline_stages_against_brute_force(spark, sf):
+    import corpus_pipeline
+
+    from .test_native import base_spans, brute_contamination
+
+    docs, labels = cases.sample(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    step = lambda name, df: spark.createDataFrame(stages[name](spark, df, sf).collect(), df.schema)
+    clean = step("toxicity", docs)
+    bad = {r.doc_id for r in toxicity.toxicity(docs, labels).collect() if r.score >= 0.7}
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in docs.collect()} - bad
+    one = step("near_dedup", clean)
+    assert sorted(r.doc_id for r in one.collect()) == sorted({c for _, c, _ in brute_classes([(r.doc_id, r.text) for r in clean.collect()])})
+    free = step("decontamination", one)
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
+    hit = {w[0] for w in brute_contamination([(r.doc_id, r.text) for r in one.collect()], items) if w[-1]}
+    assert {r.doc_id for r in free.collect()} == {r.doc_id for r in one.collect()} - hit
+    redacted = {r.doc_id: r for r in step("secrets", free).collect()}
+    for r in free.collect():
+        now = redacted[r.doc_id]
+        assert now.n_chars == len(now.text) and not base_spans(now.text)
+        assert base_spans(r.text) or "[secret]" in now.text or now.text == r.text
+    t = piece_fst.transducer(piece_fst.MODEL)
+    rows = stages["sentencepiece"](spark, spark.createDataFrame(list(redacted.values()), docs.schema), sf).collect()
+    assert len(rows) == len(redacted) and all(r.round_trip for r in rows)
+    assert all(list(r.pieces) == shortest(t, redacted[r.doc_id].text) for r in sorted(rows, key=lambda r: len(redacted[r.doc_id].text))[:40])
+
+
+def test_pipeline_takes_any_rows(spark, sf, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and clashing columns through all stages."""
+    import corpus_pipeline
+
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    cases.docs(spark).withColumn("n_chars", F.length("text").cast("long")).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in rows} >= {1, 6, 7, 8} and all(r.round_trip for r in rows)
+    assert len(rows) == len({r.doc_id for r in rows})
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
 
