@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .expect import Rule, expect, unique
+from .reconcile import contained
 
 RECORD = "term int, lesson int, title string, topics array<string>, objectives array<string>, tools array<string>, keywords array<string>, signals array<string>, activity string, videos array<struct<title:string,url:string>>, resources array<string>, images array<struct<image_path:string>>, grade_band string, pipeline_version string, generated_at string"
 ARRAYS = ("topics", "objectives", "tools", "keywords", "signals", "videos", "resources", "images")
@@ -76,9 +77,11 @@ def missing_lessons(records: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 def lookups(records: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Stored lookups (id, term, lesson, value): by key, or records of which any field holds the value. scenarios is small by its nature."""
-    everything = F.lower(F.to_json(F.struct(*records.columns)))
-    hit = F.when(F.col("s_value").isNotNull(), F.contains("all_text", F.lower("s_value"))).otherwise((F.col("term") == F.col("s_term")) & (F.col("lesson") == F.col("s_lesson")))
-    s = scenarios.select(F.col("id").alias("s_id"), F.col("term").alias("s_term"), F.col("lesson").alias("s_lesson"), F.col("value").alias("s_value"))
-    found = records.withColumn("all_text", everything).join(F.broadcast(s), hit).groupBy("s_id").agg(F.count("*").alias("matches"))
-    return s.select("s_id").join(found, "s_id", "left").select(F.col("s_id").alias("id"), F.coalesce("matches", F.lit(0)).alias("matches"), (F.coalesce("matches", F.lit(0)) > 0).alias("passed"))
+    """Stored lookups (id, term, lesson, value): by key, or records of which any field holds the value; matches counts records."""
+    s = scenarios.select("id", F.col("term").alias("s_term"), F.col("lesson").alias("s_lesson"), F.col("value").alias("s_value"))
+    keyed = s.where("s_value is null").join(records, (F.col("term") == F.col("s_term")) & (F.col("lesson") == F.col("s_lesson"))).groupBy("id").agg(F.count("*").alias("matches"))
+    whole = records.groupBy(F.lower(F.to_json(F.struct(*records.columns))).alias("norm")).agg(F.count("*").alias("copies")).withColumn("hay_id", F.sha2("norm", 256))
+    hits = contained(s.where("s_value is not null").select(F.col("id").alias("needle_id"), F.lower("s_value").alias("norm")), whole)
+    valued = hits.join(whole.select("hay_id", "copies"), "hay_id").groupBy(F.col("needle_id").alias("id")).agg(F.sum("copies").alias("matches"))
+    n = F.coalesce("matches", F.lit(0))
+    return s.select("id").join(keyed.union(valued), "id", "left").select("id", n.alias("matches"), (n > 0).alias("passed"))
