@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,11 +58,44 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet table, or no rows of its schema where it doesn't exist yet."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    try:
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def read_keyed(spark: SparkSession, path: str, schema: str, **keys) -> DataFrame:
+    """The rows of an earlier output that have the given keys; a table parted by a key is pruned, and a missing one has no rows."""
+    df = read_or_empty(spark, path, schema)
+    for k, v in keys.items():
+        df = df.where(F.col(k) == F.lit(v))
+    return df
+
+
+def read_map(spark: SparkSession, root: str, value: str, name: str = "name") -> DataFrame:
+    """Files that hold one JSON object of names to structs: a row for each name (transcripts, metadata); unreadable files and null values give none."""
+    text = spark.read.format("text").option("wholetext", "true").load(root)
+    return text.select(F.explode(F.from_json("value", f"map<string,struct<{value}>>")).alias(name, "x")).where("x is not null").select(name, "x.*")
+
+
+def read_annotations(spark: SparkSession, root: str, result: str, key: Column, fallback: Column) -> DataFrame:
+    """JSON files of batches with results: a row for each result, its key from the batch's name, else from its source. result: fields of a result, among them source."""
+    b = read_json(spark, root, f"batches array<struct<batch:string,results:array<struct<{result}>>>>")
+    rows = b.select(F.explode("batches").alias("b")).select(F.col("b.batch").alias("batch"), F.explode("b.results").alias("r")).select("batch", "r.*")
+    return rows.withColumn("key", F.coalesce(key, fallback))
+
+
+def ids_in_csv(spark: SparkSession, path: str, schema: str, column: str, id_name: str) -> DataFrame:
+    """The distinct ids that the JSON payloads of a CSV column name; the payloads needn't be valid as a whole."""
+    found = F.regexp_extract_all(column, F.lit(rf'"{id_name}":\s*(\d+)'), F.lit(1))
+    return read_csv(spark, path, schema).select(F.explode(found).cast("long").alias(id_name)).distinct()
+
+
+def media_files(files: DataFrame, key: Column, *extensions: str) -> DataFrame:
+    """Files of the given extensions with their size and the key that their path names."""
+    return with_extension(files, *extensions).select("path", "name", "size", key.alias("key"))
 
 
 def invalid_texts(spark: SparkSession, root: str) -> DataFrame:

@@ -134,3 +134,34 @@ def test_tables_and_paragraphs_of_decks_and_documents(spark):
     assert (r.slide, r.headers, r.rows) == (2, ["H", "I"], [["1", "2"]])
     r = office.doc_tables(parts).first()
     assert (r.headers, r.rows) == (["A"], [["b < c"]])
+
+
+def test_maps_annotations_and_keyed_readers(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    (tmp_path / "t.json").write_text(json.dumps({"a.mp4": {"text": "hi", "n": 1}, "b.mp4": {"text": "yo", "n": 2}, "c.mp4": None}))
+    assert {tuple(r) for r in files.read_map(spark, str(tmp_path / "t.json"), "text:string,n:int").collect()} == {("a.mp4", "hi", 1), ("b.mp4", "yo", 2)}
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/x.json").write_text(json.dumps({"batches": [{"batch": "lesson_7", "results": [{"source": "s", "tag": "t"}]}, {"batch": "misc", "results": [{"source": "Lesson 3", "tag": "u"}, {"source": "none", "tag": "v"}]}]}))
+    number = lambda c: F.nullif(F.regexp_extract(F.lower(c), r"lesson[_ ](\d+)", 1), F.lit("")).cast("int")
+    got = files.read_annotations(spark, str(tmp_path / "a"), "source:string,tag:string", number("batch"), number("source"))
+    assert {(r.tag, r.key) for r in got.collect()} == {("t", 7), ("u", 3), ("v", None)}
+    (tmp_path / "p.csv").write_text('id,payload\n1,"{""lesson_id"": 12, ""x"": 1}"\n2,"{""lesson_id"": 13,\n""lesson_id"": 12"\n')
+    assert {r.lesson_id for r in files.ids_in_csv(spark, str(tmp_path / "p.csv"), "id int, payload string", "payload", "lesson_id").collect()} == {12, 13}
+    spark.createDataFrame([(1, 2, "a"), (1, 3, "b"), (2, 2, "c")], "term int, lesson int, v string").write.partitionBy("term").parquet(str(tmp_path / "k"))
+    assert [r.v for r in files.read_keyed(spark, str(tmp_path / "k"), "lesson int, v string, term int", term=1, lesson=3).collect()] == ["b"]
+    assert files.read_keyed(spark, str(tmp_path / "gone"), "term int", term=1).count() == 0
+    (tmp_path / "Lesson 4.mp4").write_text("x" * 10)
+    media = files.media_files(files.scan_files(spark, str(tmp_path), "*.mp4"), number("name"), ".mp4")
+    assert [(r.size, r.key) for r in media.collect()] == [(10, 4)]
+
+
+def test_api_notes_and_tables(spark):
+    text = lambda *t: {"text": {"textElements": [{"textRun": {"content": x}} for x in t]}}
+    d = {"presentationId": "p", "slides": [{"slideProperties": {"notesPage": {"pageElements": [{"shape": text("Say ", "hello\n")}, {}]}}}, {}]}
+    decks = spark.read.schema(api.DECK).json(spark.sparkContext.parallelize([json.dumps(d)]))
+    assert [tuple(r) for r in api.deck_notes(decks).collect()] == [("p", 1, "Say hello")]
+    cell = lambda t: {"content": [{"paragraph": {"elements": [{"textRun": {"content": t + "\n"}}]}}]}
+    doc = {"documentId": "d", "body": {"content": [{"table": {"tableRows": [{"tableCells": [cell("H"), cell("I")]}, {"tableCells": [cell("1"), cell("2")]}]}}]}}
+    docs = spark.read.schema(api.DOC).json(spark.sparkContext.parallelize([json.dumps(doc)]))
+    assert [(r.headers, r.rows) for r in api.doc_tables(docs).collect()] == [(["H", "I"], [["1", "2"]])]
