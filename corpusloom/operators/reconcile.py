@@ -14,6 +14,8 @@ from .checks import row
 
 #: Short needles that are broadcast at a time.
 BLOCK = 10_000
+#: Anchors of long needles that are broadcast, 8 bytes each; beyond that the grams are joined by a shuffle.
+ANCHORS = 1_000_000
 
 
 def prepared(atoms: DataFrame) -> DataFrame:
@@ -59,6 +61,9 @@ def contained(needles: DataFrame, haystacks: DataFrame, anchor_words: int = 4) -
     long = long.select("needle_id", "needle", F.array_min(inner).alias("anchor"))
     grams = h.select("hay_id", F.split("hay", " ").alias("w")).where(F.size("w") >= anchor_words)
     grams = grams.select("hay_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - anchor_words + 1), lambda i: F.xxhash64(F.slice("w", i, F.lit(anchor_words)))))).alias("anchor"))
+    anchors = long.select("anchor").distinct()
+    if anchors.limit(ANCHORS + 1).count() <= ANCHORS:  # few anchors go to the grams, so that only grams that hit travel
+        grams = grams.join(F.broadcast(anchors), "anchor", "left_semi")
     wanted = grams.join(long, "anchor").select("needle_id", "needle", "hay_id")
     found = wanted.join(h, "hay_id").where(F.contains("hay", F.col("needle"))).select("needle_id", "hay_id")
     short = words.where(F.size("w") < anchor_words + 2).select("needle_id", "needle")

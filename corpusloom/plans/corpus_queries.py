@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import text as T
-from ..operators import dedup, diff, reconcile, records, rollup
+from ..operators import dedup, diff, reconcile, records, rollup, tallies
 from ..operators.expect import completeness
+from ..operators.scores import verdict_score
 from ..operators.similar import match_fuzzy, ratio
 from ..session import shared_dir
 from ..streaming import feeds
@@ -77,7 +78,7 @@ def q_classify_rules(spark, sf_dir):
 @query("SELECT d.doc_id, coalesce(m.category, 'content') AS category FROM documents d LEFT JOIN (SELECT doc_id, CASE WHEN quality = 0 THEN 'admin' ELSE 'media' END AS category FROM labels WHERE quality = 0 OR toxic = 1) m USING (doc_id) WHERE coalesce(m.category, 'content') <> 'admin'")
 def q_exclude_by_manifest(spark, sf_dir):
     m = read(spark, sf_dir, "labels").where("quality = 0 or toxic = 1").select("doc_id", F.when(F.col("quality") == 0, "admin").otherwise("media").alias("category"))
-    return read(spark, sf_dir, "documents").select("doc_id").join(m, "doc_id", "left").select("doc_id", F.coalesce("category", F.lit("content")).alias("category")).where("category <> 'admin'")
+    return tallies.without_category(read(spark, sf_dir, "documents").select("doc_id"), m, "doc_id", "content", ["admin"])
 
 
 @query("""
@@ -89,11 +90,8 @@ LEFT JOIN (SELECT regexp_extract(url, '/(en|de|fr|es)/', 1) AS u, min(page_id) A
 def q_cascade_lookup(spark, sf_dir):
     """The first of three lookups that knows a page: its url, its host, its language."""
     p = read(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("url", "://([^/]+)", 1).alias("host"), F.regexp_extract("url", "/(en|de|fr|es)/", 1).alias("lang"))
-    out = p
-    for k in ("url", "host", "lang"):
-        out = out.join(p.where("page_id % 3 = 0").groupBy(k).agg(F.min("page_id").alias(f"by_{k}")), k, "left")
-    how = F.when(F.col("by_url").isNotNull(), "url").when(F.col("by_host").isNotNull(), "host").when(F.col("by_lang").isNotNull(), "lang")
-    return out.select("page_id", F.coalesce("by_url", "by_host", "by_lang").alias("key"), how.alias("how"))
+    out = tallies.cascade_lookup(p, p.where("page_id % 3 = 0"), ["url", "host", "lang"], "page_id")
+    return out.select("page_id", F.col("found").alias("key"), "how")
 
 
 @query(r"""
@@ -118,8 +116,8 @@ SELECT k, f, o FROM a WHERE abs(f - o) > 5
 """)
 def q_pair_mismatch(spark, sf_dir):
     """Keys whose counts of two kinds differ by more than five."""
-    g = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).pivot("o_orderstatus", ["F", "O"]).agg(F.count(F.lit(1)))
-    return g.select("k", F.coalesce("F", F.lit(0)).alias("f"), F.coalesce("O", F.lit(0)).alias("o")).where("abs(f - o) > 5")
+    out = tallies.pair_mismatch(read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), "o_orderstatus"), "k", "o_orderstatus", "F", "O", 5)
+    return out.select("k", F.col("first").alias("f"), F.col("second").alias("o"))
 
 
 @query("""
@@ -129,10 +127,8 @@ SELECT g.source, docs, coalesce(labelled, 0) AS labelled, abs(coalesce(labelled,
 def q_group_compare(spark, sf_dir):
     """Groups of one table against groups of another, within a fifth or three."""
     d = read(spark, sf_dir, "documents")
-    g = d.groupBy("source").agg(F.count("*").alias("docs"))
     lab = d.join(read(spark, sf_dir, "labels"), "doc_id").groupBy("source").agg(F.count("*").alias("labelled"))
-    n = F.coalesce("labelled", F.lit(0))
-    return g.join(lab, "source", "left").select("source", "docs", n.alias("labelled"), (F.abs(n - F.col("docs") * 0.4) > F.greatest(F.col("docs") * 0.4 * 0.2, F.lit(3))).alias("off"))
+    return tallies.group_compare(d.groupBy("source").agg(F.count("*").alias("docs")), lab, "source", "docs", "labelled", 0.4, 0.2, 3)
 
 
 @query("SELECT o_custkey AS k, count(*) AS n, sha256(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)) AS items FROM orders GROUP BY 1")
@@ -152,8 +148,7 @@ def q_run_totals(spark, sf_dir):
 @query("SELECT l_orderkey, count(*) AS n, count(*) >= 7 AS cut FROM lineitem GROUP BY 1 HAVING count(*) >= 7")
 def q_truncation(spark, sf_dir):
     """Groups that reach a limit and so may have been cut."""
-    g = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    return g.withColumn("cut", F.col("n") >= 7).where("cut")
+    return tallies.at_limit(read(spark, sf_dir, "lineitem"), "l_orderkey", 7)
 
 
 @query("""
@@ -162,7 +157,7 @@ SELECT lang, round(conf, 6) AS confidence, CASE WHEN conf >= 90 THEN 'high' WHEN
 """)
 def q_confidence_bands(spark, sf_dir):
     c = read(spark, sf_dir, "documents").groupBy("lang").agg((100 * F.avg(F.when(F.col("n_chars") >= 500, 1).otherwise(0))).alias("c"))
-    return c.select("lang", F.round("c", 6).alias("confidence"), F.when(F.col("c") >= 90, "high").when(F.col("c") >= 70, "medium").when(F.col("c") >= 50, "low").otherwise("review").alias("band"))
+    return c.select("lang", F.round("c", 6).alias("confidence"), tallies.confidence_band(F.col("c")).alias("band"))
 
 
 @query("""
@@ -173,14 +168,14 @@ def q_tier_scores(spark, sf_dir):
     """Mean verdict scores by tier."""
     j = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents"), "doc_id")
     tier = F.when(F.col("lang") == "en", "critical").when(F.col("lang") == "de", "important").otherwise("other")
-    score = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 1.0).when(F.col("quality") == 1, 0.5).otherwise(0.0)
-    return j.groupBy(tier.alias("tier")).agg(F.round(F.avg(score), 9).alias("score"), F.count("*").alias("n"))
+    verdict = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), "CORRECT").when(F.col("quality") == 1, "PARTIAL").otherwise("INCORRECT")
+    return tallies.tier_scores(j, tier, verdict_score(verdict))
 
 
 @query("SELECT lang, count(*) FILTER (quality = 1) AS good, count(*) FILTER (quality = 0) AS bad, round(avg(quality), 9) AS rate FROM labels JOIN documents USING (doc_id) GROUP BY lang")
 def q_field_accuracy(spark, sf_dir):
     j = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
-    return j.groupBy("lang").agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"), F.round(F.avg("quality"), 9).alias("rate"))
+    return tallies.field_accuracy(j, "lang", F.col("quality") == 1)
 
 
 @query("SELECT source, count(*) AS docs, count(DISTINCT text) AS texts, count(DISTINCT text) BETWEEN count(*) * (1 - 0.05) AND count(*) * (1 + 0.05) AS ok FROM documents GROUP BY source")

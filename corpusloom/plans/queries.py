@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import text as T
-from ..operators import dedup, diff, reconcile, rollup
+from ..operators import dedup, diff, reconcile, rollup, tallies
 from ..operators.expect import Rule, completeness, expect, quality_cube, referenced, regression, unique, verdict
 from ..session import saved
 from ..sources.pages import page_links, page_paragraphs, parse_pages
@@ -51,10 +51,12 @@ SELECT lang, count(*) AS atoms, count(t.p) AS matched, count(t.p) / count(*) AS
 def q_coverage_by_lang(spark, sf_dir):
     """Share of line atoms that some labelled document holds too, by language."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
-    atoms = line_atoms(docs).select("doc_id", F.sha2("norm", 256).alias("p"))
-    held = atoms.join(labels.select("doc_id").distinct(), "doc_id", "left_semi").select("p").distinct().withColumn("hit", F.lit(1))
-    each = atoms.join(docs.select("doc_id", "lang"), "doc_id").join(held, "p", "left")
-    return each.groupBy("lang").agg(F.count("*").alias("atoms"), F.count("hit").alias("matched"), (F.count("hit") / F.count("*")).alias("coverage"))
+    atoms = line_atoms(docs).select("doc_id", (F.col("doc_id") * 1000000 + F.col("line_no")).alias("atom_id"), F.sha2("norm", 256).alias("print"))
+    of = lambda df: df.select("atom_id", F.lit("text_block").alias("atom_type"), F.lit(None).cast("string").alias("norm"), "print", F.lit(None).cast("int").alias("term"), F.lit(None).cast("int").alias("lesson"), F.col("atom_id").alias("ord"))
+    found = reconcile.match_exact(of(atoms), of(atoms.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")))
+    each = atoms.join(docs.select("doc_id", "lang"), "doc_id").join(found.select("atom_id", "tier"), "atom_id", "left")
+    out = reconcile.coverage(each.select("lang", F.when(F.col("tier").isNull(), "unmatched").otherwise("matched").alias("class")), "lang")
+    return out.select("lang", "atoms", "matched", "coverage")
 
 
 @query(f"""
@@ -73,7 +75,7 @@ WITH d AS (SELECT doc_id, sha256({NORM}) AS p FROM documents), f AS (SELECT p, m
 SELECT 'md5_content' AS type, doc_id AS id, duplicate_of FROM d JOIN f USING (p) WHERE doc_id <> duplicate_of
 """)
 def q_exact_dup_docs(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), T.fingerprint(F.col("text")).alias("p"))
+    docs = saved(spark)(read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), T.fingerprint(F.col("text")).alias("p")))  # texts are normalised once
     return dedup.later_copies(docs, "p", "id", "md5_content")
 
 
@@ -431,9 +433,7 @@ SELECT source, lang FROM g WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.s
 """)
 def q_expected_grid(spark, sf_dir):
     """Which expected languages a source lacks: the expected grid is exploded from a constant list."""
-    docs = read(spark, sf_dir, "documents").select("source", "lang").distinct()
-    grid = docs.select("source").distinct().select("source", F.explode(F.array(*map(F.lit, ["en", "de", "fr", "es", "it"]))).alias("lang"))
-    return grid.join(docs, ["source", "lang"], "left_anti")
+    return tallies.missing_cells(read(spark, sf_dir, "documents"), "source", "lang", ["en", "de", "fr", "es", "it"])
 
 
 @query("""
@@ -451,8 +451,7 @@ def q_consensus(spark, sf_dir):
 
 @query("SELECT o_orderpriority, o_orderstatus, count(*) AS n, count(*) FILTER (o_totalprice > 150000) AS large, count(*) FILTER (o_totalprice > 150000) / count(*) AS share FROM orders GROUP BY ALL")
 def q_conditional_counts(spark, sf_dir):
-    large = F.col("o_totalprice") > 150000
-    return read(spark, sf_dir, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"), F.count_if(large).alias("large"), (F.count_if(large) / F.count("*")).alias("share"))
+    return tallies.conditional_counts(read(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"], F.col("o_totalprice") > 150000, "large")
 
 
 @query("SELECT o_custkey, o_orderkey, place FROM (SELECT *, lag(o_orderstatus) OVER w AS before, row_number() OVER w AS place FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)) WHERE o_orderstatus = before OR o_orderkey = place")
