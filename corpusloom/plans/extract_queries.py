@@ -315,3 +315,65 @@ def q_host_counts(spark, sf_dir):
     return read(spark, sf_dir, "pages").groupBy(T.host(F.col("url")).alias("host")).agg(F.count("*").alias("n"))
 
 
+
+
+_NAMES = "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_name || ' (' || p_partkey % 4 || ').PPTX' WHEN p_partkey % 3 = 1 THEN '  ' || upper(replace(p_name, ' ', '_')) || '.docx' ELSE substring(p_name, 1, 4) END AS n FROM part"
+
+
+@query(f"""
+WITH n AS ({_NAMES}) SELECT p_partkey, regexp_replace(lower(trim(regexp_replace(regexp_replace(n, '\\s*\\(\\d+\\)\\s*', '', 'g'), '[_\\-\\s]+', ' ', 'g'))), '\\.\\w+$', '') AS form,
+  length(trim(regexp_replace(lower(n), '\\s+', ' ', 'g'))) < 5 AS trivial, (length(trim(regexp_replace(lower(n), '\\s+', ' ', 'g'))) <= 30 AND trim(regexp_replace(lower(n), '\\s+', ' ', 'g')) IN ('blue', 'red')) OR (length(trim(regexp_replace(lower(n), '\\s+', ' ', 'g'))) <= 60 AND regexp_matches(trim(regexp_replace(lower(n), '\\s+', ' ', 'g')), '^[a-c]')) AS label FROM n
+""")
+def q_name_forms(spark, sf_dir):
+    """Normal forms of file names; trivial texts and structural labels."""
+    k = F.col("p_partkey")
+    n = F.when(k % 3 == 0, F.concat("p_name", F.lit(" ("), (k % 4).cast("string"), F.lit(").PPTX"))).when(k % 3 == 1, F.concat(F.lit("  "), F.upper(F.replace("p_name", F.lit(" "), F.lit("_"))), F.lit(".docx"))).otherwise(F.substring("p_name", 1, 4))
+    return read(spark, sf_dir, "part").select("p_partkey", T.name_form(n).alias("form"), T.is_trivial(n).alias("trivial"), T.is_label(n, ["blue", "red"], "^[a-c]").alias("label"))
+
+
+@query("""
+WITH a AS (SELECT item_id AS k, string_split(substring(text, 1, 20), ' ') AS tags, substring(text, 1, 30) AS d FROM benchmark WHERE item_id % 2 = 0), b AS (SELECT item_id AS k, string_split(substring(text, 11, 20), ' ') AS tags, substring(text, 1, 10 + item_id % 40) AS d FROM benchmark WHERE item_id % 3 = 0)
+SELECT coalesce(a.k, b.k) AS k, len(list_distinct(coalesce(a.tags, []) || coalesce(b.tags, []))) AS tags, CASE WHEN coalesce(length(b.d), 0) > coalesce(length(a.d), 0) THEN b.d ELSE a.d END AS description, CASE WHEN a.d IS NOT NULL AND b.d IS NOT NULL THEN 'high' ELSE 'single' END AS confidence FROM a FULL JOIN b ON a.k = b.k
+""")
+def q_merged_annotations(spark, sf_dir):
+    """Two annotators merged: tags united, the longer description, who was there."""
+    b, i = read(spark, sf_dir, "benchmark"), F.col("item_id")
+    one = b.where(i % 2 == 0).select(i.alias("k"), F.split(F.substring("text", 1, 20), " ").alias("tags"), F.substring("text", 1, 30).alias("description"))
+    two = b.where(i % 3 == 0).select(i.alias("k"), F.split(F.substring("text", 11, 20), " ").alias("tags"), F.col("text").substr(F.lit(1), (10 + i % 40).cast("int")).alias("description"))
+    return rollup.merged_annotations(one, two, "k").select("k", F.size("tags").cast("long").alias("tags"), "description", "confidence")
+
+
+@query("""
+WITH v AS (SELECT * FROM (VALUES ('u1', 1, 5, NULL), ('u2', 2, 99, NULL), ('u3', NULL, NULL, 'the'), ('u4', NULL, NULL, 'no such words')) s(id, term, lesson, value)), r AS (SELECT CASE WHEN contains(url, '/en/') THEN 1 ELSE 2 END AS term, page_id % 20 AS lesson, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title FROM pages)
+SELECT id, count(r.title) AS matches, count(r.title) > 0 AS passed FROM v LEFT JOIN r ON CASE WHEN v.value IS NULL THEN v.term = r.term AND v.lesson = r.lesson ELSE contains(lower(r.title), lower(v.value)) END GROUP BY id
+""")
+def q_lookups(spark, sf_dir):
+    """Stored lookups by key and by value."""
+    from ..operators.record_checks import lookups
+
+    r = read(spark, sf_dir, "pages").select(F.when(F.contains("url", F.lit("/en/")), 1).otherwise(2).alias("term"), (F.col("page_id") % 20).alias("lesson"), F.trim(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
+    s = spark.createDataFrame([("u1", 1, 5, None), ("u2", 2, 99, None), ("u3", None, None, "the"), ("u4", None, None, "no such words")], "id string, term int, lesson int, value string")
+    return lookups(r.select("term", "lesson", "title"), s)
+
+
+@query("""
+WITH s AS (SELECT page_id AS id, regexp_extract(url, '://([^/]+)', 1) AS stem, [page_id % 7, page_id % 5] AS sl, page_id % 3 AS term, page_id % 11 AS lesson FROM pages), t AS (SELECT page_id + 5000 AS id, regexp_extract(url, '://([^/]+)', 1) AS stem, [page_id % 7, page_id % 5 + (page_id % 2) * 3] AS sl, page_id % 3 AS term, page_id % 11 AS lesson FROM pages),
+b AS (SELECT s.id, min(t.id) AS target_id FROM s JOIN t ON s.stem = t.stem AND list_sort(s.sl) = list_sort(t.sl) WHERE s.stem <> '' GROUP BY s.id), q AS (SELECT * FROM s WHERE id NOT IN (SELECT id FROM b)), c AS (SELECT q.id, min(t.id) AS target_id FROM q JOIN t ON q.term = t.term AND q.lesson = t.lesson AND list_has_any(q.sl, t.sl) GROUP BY q.id)
+SELECT id AS atom_id, target_id, 'image' AS tier FROM b UNION ALL SELECT id, target_id, 'image_slides' FROM c
+""")
+def q_images(spark, sf_dir):
+    """Images by stem and slides, then by a slide in common under one key."""
+    from ..operators.reconcile import match_image
+
+    p, i = read(spark, sf_dir, "pages"), F.col("page_id")
+    of = lambda key, plus: p.select(key.alias("atom_id"), F.regexp_extract("url", "://([^/]+)", 1).alias("stem"), F.array(i % 7, i % 5 + plus).alias("slides"), (i % 3).alias("term"), (i % 11).alias("lesson"))
+    return match_image(of(i, F.lit(0)), of(i + 5000, (i % 2) * 3)).select("atom_id", "target_id", "tier")
+
+
+@query(r"SELECT page_id, len(regexp_extract_all(replace(html, '<p>', chr(10) || '- '), '(?m)^\s*(?:[-*•]|\d+[.)])\s+(.+)$', 1)) AS items, nullif(trim(regexp_replace(regexp_extract(replace(html, '<p>', chr(10)), '(?s)(?i)\bThe\s*[:\-]\s*(.+?)(?:\n\s*\n|$)', 1), '\s+', ' ', 'g')), '') IS NOT NULL AS labelled FROM pages")
+def q_bullets(spark, sf_dir):
+    """Items that begin with a bullet or a number; whether a label has a value."""
+    from ..operators import records
+
+    h = F.replace("html", F.lit("<p>"), F.lit("\n- "))
+    return read(spark, sf_dir, "pages").select("page_id", F.size(records.bullets(h)).cast("long").alias("items"), records.labelled(F.replace("html", F.lit("<p>"), F.lit("\n")), "The").isNotNull().alias("labelled"))
