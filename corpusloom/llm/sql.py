@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
-
 ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["op4_decontamination"] = r"""
