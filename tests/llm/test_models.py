@@ -400,7 +400,9 @@ def test_pipeline_stages_against_brute_force(spark, sf):
     t = piece_fst.transducer(piece_fst.MODEL)
     rows = stages["sentencepiece"](spark, spark.createDataFrame(list(redacted.values()), docs.schema), sf).collect()
     assert len(rows) == len(redacted) and all(r.round_trip for r in rows)
-    assert all(list(r.pieces) == shortest(t, redacted[r.doc_id].text) for r in sorted(rows, key=lambda r: len(redacted[r.doc_id].text))[:40])
+    for r in sorted(rows, key=lambda r: len(redacted[r.doc_id].text))[:40]:  # ways of equal cost may differ by rounding
+        best = shortest(t, redacted[r.doc_id].text)
+        assert abs(t.cost[list(r.pieces)].sum() - t.cost[best].sum()) < 1e-6 * (1 + len(best))
 
 
 def test_pipeline_takes_any_rows(spark, sf, tmp_path):
