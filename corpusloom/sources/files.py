@@ -90,7 +90,7 @@ def read_annotations(spark: SparkSession, root: str, result: str, key: Column, f
 def ids_in_csv(spark: SparkSession, path: str, schema: str, column: str, id_name: str) -> DataFrame:
     """The distinct ids that the JSON payloads of a CSV column name; the payloads needn't be valid as a whole."""
     found = F.regexp_extract_all(column, F.lit(rf'"{id_name}":\s*(\d+)'), F.lit(1))
-    return read_csv(spark, path, schema).select(F.explode(found).cast("long").alias(id_name)).distinct()
+    return read_csv(spark, path, schema).select(F.explode(F.transform(found, lambda x: x.cast("long"))).alias(id_name)).distinct()
 
 
 def media_files(files: DataFrame, key: Column, *extensions: str) -> DataFrame:
