@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import extract, rollup
 from ..operators.dedup import later_copies
-from .check_queries import page_records, q_boundary_checks, q_group_checks
-from .queries import query, read
+from .check_queries import REC, page_records, q_boundary_checks, q_group_checks
+from .queries import ORACLE, query, read
 
 _LINES = "l AS (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM documents WHERE text IS NOT NULL)"
 
@@ -236,14 +236,17 @@ def q_evidence(spark, sf_dir):
     return out.select("source", "lang", F.col("n").cast("long").alias("n"), F.sha2("evidence", 256).alias("evidence"))
 
 
-@query()
+@query(f"WITH {REC} SELECT page_id, title, term, CAST(NULL AS VARCHAR) AS tools FROM rec")
 def q_field_lookup(spark, sf_dir):
     """Fields of records by dotted paths, one of which isn't there."""
     rec = page_records(spark, sf_dir).select("page_id", F.struct("title", "term").alias("metadata"))
     return rec.select("page_id", extract.field(rec, "metadata.title").alias("title"), extract.field(rec, "metadata.term").alias("term"), extract.field(rec, "metadata.tools").alias("tools"))
 
 
-@query()
+@query(f"""
+WITH x AS (SELECT check_id, failures, total, passed FROM ({ORACLE["q_group_checks"]}) UNION ALL SELECT check_id, failures, total, passed FROM ({ORACLE["q_boundary_checks"]}))
+SELECT check_id, passed, CASE WHEN total > 0 THEN round(100 * failures / total, 1) ELSE 0.0 END AS percent, CASE WHEN passed THEN check_id || ' passed on ' || total || ' rows' ELSE check_id || ' failed on ' || failures || ' of ' || total || ' rows' END AS text FROM x
+""")
 def q_explained_checks(spark, sf_dir):
     """A sentence for every check of groups and boundaries."""
     return extract.explained(q_group_checks(spark, sf_dir).union(q_boundary_checks(spark, sf_dir)))
