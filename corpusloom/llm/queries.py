@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and of the pipeline, and the SQL of those that SQL can express."""
+"""The registered queries of the operators and of the pipeline, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .attention_lm import lm_scores
 from .common import table
 from .decontaminate import contamination
+from .merkle import manifest
 from .near_dedup import near_duplicates
 from .piece_fst import piece_report
 from .quality_classifier import quality_scores
@@ -57,10 +58,14 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_report(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op7_lm_scoring, op8_near_dedup, op9_suffix_dedup, op10_sentencepiece, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op7_lm_scoring, op8_near_dedup, op9_suffix_dedup, op10_sentencepiece, op11_merkle_manifest, pipeline)}
