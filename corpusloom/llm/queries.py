@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .alignment import alignment_report
 from .attention_lm import lm_scores
 from .common import table
 from .decontaminate import contamination
@@ -62,10 +63,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op7_lm_scoring, op8_near_dedup, op9_suffix_dedup, op10_sentencepiece, op11_merkle_manifest, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op7_lm_scoring, op8_near_dedup, op9_suffix_dedup, op10_sentencepiece, op11_merkle_manifest, op12_token_alignment, pipeline)}
