@@ -8,6 +8,7 @@ from .alignment import alignment_report
 from .attention_lm import lm_scores
 from .common import table
 from .decontaminate import contamination
+from .html_text import main_text
 from .merkle import manifest
 from .near_dedup import near_duplicates
 from .piece_fst import piece_report
@@ -67,10 +68,14 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_report(table(spark, sf_dir, "documents"))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op7_lm_scoring, op8_near_dedup, op9_suffix_dedup, op10_sentencepiece, op11_merkle_manifest, op12_token_alignment, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_secret_scan, op4_decontamination, op5_token_counts, op6_toxicity, op7_lm_scoring, op8_near_dedup, op9_suffix_dedup, op10_sentencepiece, op11_merkle_manifest, op12_token_alignment, op13_html_extraction, pipeline)}
