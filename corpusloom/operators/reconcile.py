@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.text import fingerprint, is_label, norm
 from ..session import checkpointed
 from .checks import row
+from .needles import occurrences
 
-#: Short needles that are broadcast at a time.
-BLOCK = 10_000
 #: Anchors of long needles that are broadcast, 8 bytes each; beyond that the grams are joined by a shuffle.
 ANCHORS = 1_000_000
 
@@ -23,8 +22,8 @@ def prepared(atoms: DataFrame) -> DataFrame:
 
 
 def _best(pairs: DataFrame, tier: str, confidence) -> DataFrame:
-    """One target for each atom: same key first, then the target's order. A minimum, so hot atoms are reduced before the shuffle."""
-    best = pairs.groupBy("atom_id").agg(F.min(F.struct((~F.col("same_key")).alias("other"), "t_ord", "target_id")).alias("x"))
+    """One target for each atom: same key first, then the atom's own type, then the target's order. A minimum, so hot atoms are reduced before the shuffle."""
+    best = pairs.groupBy("atom_id").agg(F.min(F.struct((~F.col("same_key")).alias("other"), "alien", "t_ord", "target_id")).alias("x"))
     return best.select("atom_id", F.col("x.target_id").alias("target_id"), F.lit(tier).alias("tier"), confidence(~F.col("x.other")).alias("confidence"))
 
 
@@ -35,12 +34,12 @@ def _sides(source: DataFrame, target: DataFrame):
 
 
 def match_exact(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Equal fingerprints of one type; a target of the same term and lesson is preferred, then the first. Both sides are
-    reduced to one target per (print, type, term, lesson) before the join, so copies don't multiply."""
+    """Equal fingerprints, whatever the types; a target of the same term and lesson is preferred, then the first. Both sides are
+    reduced to one target per (print, term, lesson) before the join, so copies don't multiply."""
     s, t = _sides(source, target)
-    by_key = t.groupBy("t_print", "t_type", "t_term", "t_lesson").agg(F.min(F.struct("t_ord", "target_id")).alias("x"))
-    by_all = t.groupBy("t_print", "t_type").agg(F.min(F.struct("t_ord", "target_id")).alias("y"))
-    near = (F.col("s_print") == F.col("t_print")) & (F.col("s_type") == F.col("t_type"))
+    by_key = t.groupBy("t_print", "t_term", "t_lesson").agg(F.min(F.struct("t_ord", "target_id")).alias("x"))
+    by_all = t.groupBy("t_print").agg(F.min(F.struct("t_ord", "target_id")).alias("y"))
+    near = F.col("s_print") == F.col("t_print")
     same = s.join(by_key, near & F.col("s_term").eqNullSafe(F.col("t_term")) & F.col("s_lesson").eqNullSafe(F.col("t_lesson"))).select("atom_id", "x")
     found = s.join(by_all, near).select("atom_id", "y").join(same, "atom_id", "left")
     return found.select("atom_id", F.coalesce("x.target_id", "y.target_id").alias("target_id"), F.lit("exact").alias("tier"), F.lit(1.0).alias("confidence"))
@@ -50,8 +49,8 @@ def contained(needles: DataFrame, haystacks: DataFrame, anchor_words: int = 4) -
     """(needle_id, hay_id) where the needle's normalised words occur in the haystack's text, as a string.
 
     A needle of at least anchor_words + 2 words meets haystacks on the hash of its inner words (whole words inside the needle are whole
-    words of any text that contains it), the one of least hash; shorter needles, which any text may hold inside a word, are
-    broadcast in blocks of about BLOCK different ones. Found pairs are verified on the strings.
+    words of any text that contains it), the one of least hash, and found pairs are verified on the strings. Shorter needles, which
+    any text may hold inside a word, are searched by an automaton in one pass of the texts.
     """
     n = needles.select("needle_id", F.col("norm").alias("needle")).where(F.length("needle") > 0)
     h = haystacks.select("hay_id", F.col("norm").alias("hay"))
@@ -67,49 +66,61 @@ def contained(needles: DataFrame, haystacks: DataFrame, anchor_words: int = 4) -
     wanted = grams.join(long, "anchor").select("needle_id", "needle", "hay_id")
     found = wanted.join(h, "hay_id").where(F.contains("hay", F.col("needle"))).select("needle_id", "hay_id")
     short = words.where(F.size("w") < anchor_words + 2).select("needle_id", "needle")
-    kinds = short.select("needle").distinct()
-    blocks = -(-kinds.count() // BLOCK)
-    for i in range(blocks):
-        block = kinds.where(F.pmod(F.xxhash64("needle"), F.lit(blocks)) == i)
-        hits = h.join(F.broadcast(block), F.contains(F.col("hay"), F.col("needle")))
-        found = found.union(hits.join(short, "needle").select("needle_id", "hay_id"))
-    return found.distinct()
+    hits = occurrences(h, short)
+    return found.union(hits.join(short, "needle").select("needle_id", "hay_id")).distinct()
+
+
+def holding(s: DataFrame, t: DataFrame, both_ways: bool = True) -> DataFrame:
+    """(s_norm, t_norm), each once, where the target's norm holds the source's; both_ways: or the source's the target's. Copies of a norm are searched once."""
+    one = s.select(F.col("s_norm").alias("id")).distinct().withColumn("norm", F.col("id"))
+    two = t.select(F.col("t_norm").alias("id")).distinct().withColumn("norm", F.col("id"))
+    sides = lambda a, b: contained(a.select(F.col("id").alias("needle_id"), "norm"), b.select(F.col("id").alias("hay_id"), "norm"))
+    out = sides(one, two).select(F.col("needle_id").alias("s_norm"), F.col("hay_id").alias("t_norm"))
+    if both_ways:
+        out = out.union(sides(two, one).select(F.col("hay_id").alias("s_norm"), F.col("needle_id").alias("t_norm"))).distinct()
+    return out
+
+
+def _held_targets(s: DataFrame, t: DataFrame, both_ways: bool = True) -> DataFrame:
+    """(s_norm, t_type, t_term) with the first target of that type and term whose norm holds the source's (or the other way): targets are reduced before they meet atoms."""
+    first = F.min(F.struct("t_ord", "target_id")).alias("x")
+    met = holding(s, t, both_ways).join(t.groupBy("t_norm", "t_type", "t_term").agg(first), "t_norm")
+    return met.groupBy("s_norm", "t_type", "t_term").agg(F.min("x").alias("x")).select("s_norm", "t_type", "t_term", "x.t_ord", "x.target_id")
 
 
-def either_way(s: DataFrame, t: DataFrame) -> DataFrame:
-    """(atom_id, target_id) where one norm holds the other."""
-    one = contained(s.select(F.col("atom_id").alias("needle_id"), F.col("s_norm").alias("norm")), t.select(F.col("target_id").alias("hay_id"), F.col("t_norm").alias("norm"))).select(F.col("needle_id").alias("atom_id"), F.col("hay_id").alias("target_id"))
-    two = contained(t.select(F.col("target_id").alias("needle_id"), F.col("t_norm").alias("norm")), s.select(F.col("atom_id").alias("hay_id"), F.col("s_norm").alias("norm"))).select(F.col("hay_id").alias("atom_id"), F.col("needle_id").alias("target_id"))
-    return one.union(two).distinct().join(s.select("atom_id", "s_type", "s_term"), "atom_id").join(t.select("target_id", "t_type", "t_term", "t_ord"), "target_id")
+def same_kind(s_type: str = "s_type", t_type: str = "t_type"):
+    """Types that are compared: equal ones, and notes also with text blocks."""
+    return (F.col(s_type) == F.col(t_type)) | ((F.col(s_type) == "speaker_note") & (F.col(t_type) == "text_block"))
 
 
 def match_contains(source: DataFrame, target: DataFrame, least: int = 0) -> DataFrame:
-    """One norm inside the other, of one type (notes also against text blocks): same term first (0.9), any term next (0.85).
+    """One norm inside the other, of one type (notes also against text blocks): same term first (0.9; no term equals no term), any term next (0.85).
 
     Sources have ten characters or more, tables five; least: shortest target that counts.
     """
     s, t = _sides(source, target)
     s = s.where(F.length("s_norm") >= F.when(F.col("s_type") == "table", 5).otherwise(10))
     t = t.where(F.length("t_norm") >= max(1, least))
-    kind = (F.col("s_type") == F.col("t_type")) | ((F.col("s_type") == "speaker_note") & (F.col("t_type") == "text_block"))
-    pairs = either_way(s, t).where(kind).withColumn("same_key", F.coalesce(F.col("s_term") == F.col("t_term"), F.lit(False)))
+    pairs = s.join(_held_targets(s, t), "s_norm").where(same_kind())
+    pairs = pairs.withColumns({"same_key": F.col("s_term").eqNullSafe(F.col("t_term")), "alien": F.col("s_type") != F.col("t_type")})
     return _best(pairs, "contains", lambda same: F.when(same, 0.9).otherwise(0.85))
 
 
 def match_cross_source(source: DataFrame, target: DataFrame, least: int = 15) -> DataFrame:
-    """Texts and notes of 15 characters or more against all texts and notes of the same term, one norm inside the other."""
+    """Texts and notes of 15 characters or more against all texts and notes of the same term, texts first, one norm inside the other."""
     text = ("text_block", "speaker_note")
     s, t = _sides(source.where(F.col("atom_type").isin(*text)), target.where(F.col("atom_type").isin(*text)))
-    pairs = either_way(s.where(F.length("s_norm") >= least), t.where("length(t_norm) > 0")).where(F.col("s_term").eqNullSafe(F.col("t_term"))).withColumn("same_key", F.lit(True))
-    return _best(pairs, "cross_source", lambda same: F.lit(0.85))
+    s = s.where(F.length("s_norm") >= least)
+    pairs = s.join(_held_targets(s, t.where("length(t_norm) > 0")), "s_norm").where(F.col("s_term").eqNullSafe(F.col("t_term")))
+    return _best(pairs.withColumns({"same_key": F.lit(True), "alien": F.col("t_type") != "text_block"}), "cross_source", lambda same: F.lit(0.85))
 
 
 def match_table_cell(source: DataFrame, target: DataFrame, least: int = 10) -> DataFrame:
     """Table cells of ten characters or more inside the whole text of a table of the same term."""
     s, t = _sides(source.where("atom_type = 'table'"), target.where("atom_type = 'table'"))
-    inside = contained(s.where(F.length("s_norm") >= least).select(F.col("atom_id").alias("needle_id"), F.col("s_norm").alias("norm")), t.select(F.col("target_id").alias("hay_id"), F.col("t_norm").alias("norm")))
-    pairs = inside.select(F.col("needle_id").alias("atom_id"), F.col("hay_id").alias("target_id")).join(s.select("atom_id", "s_term"), "atom_id").join(t.select("target_id", "t_term", "t_ord"), "target_id")
-    return _best(pairs.where(F.col("s_term").eqNullSafe(F.col("t_term"))).withColumn("same_key", F.lit(True)), "table_cell", lambda same: F.lit(0.85))
+    s = s.where(F.length("s_norm") >= least)
+    pairs = s.join(_held_targets(s, t, False), "s_norm").where(F.col("s_term").eqNullSafe(F.col("t_term")))
+    return _best(pairs.withColumns({"same_key": F.lit(True), "alien": F.lit(False)}), "table_cell", lambda same: F.lit(0.85))
 
 
 def url_key(url, scheme: bool = True):
@@ -129,11 +140,12 @@ def match_url(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def match_url_in_text(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Links that occur inside a text block."""
-    links = source.where("atom_type = 'link'").select(F.col("atom_id").alias("needle_id"), url_key(F.col("content")).alias("norm"))
-    t = target.where("atom_type = 'text_block'").select(F.col("atom_id").alias("hay_id"), "norm", "ord")
-    pairs = contained(links, t).join(t.select("hay_id", F.col("ord").alias("t_ord")), "hay_id").select(F.col("needle_id").alias("atom_id"), F.col("hay_id").alias("target_id"), "t_ord", F.lit(False).alias("same_key"))
-    return _best(pairs, "url_in_text", lambda same: F.lit(0.8))
+    """Links and video links that occur inside a text block; the first one that holds them."""
+    links = source.where(F.col("atom_type").isin("link", "video_url")).select("atom_id", url_key(F.col("content")).alias("url"))
+    t = target.where("atom_type = 'text_block'").groupBy("norm").agg(F.min(F.struct(F.col("ord").alias("t_ord"), F.col("atom_id").alias("target_id"))).alias("x"))
+    hits = contained(links.select(F.col("url").alias("needle_id"), F.col("url").alias("norm")).distinct(), t.select(F.col("x").alias("hay_id"), "norm"))
+    first = hits.groupBy(F.col("needle_id").alias("url")).agg(F.min("hay_id").alias("x"))
+    return links.join(first, "url").select("atom_id", F.col("x.target_id").alias("target_id"), F.lit("url_in_text").alias("tier"), F.lit(0.8).alias("confidence"))
 
 
 def _at(slides: str):
@@ -163,21 +175,30 @@ def reconcile(source: DataFrame, target: DataFrame, least: int = 0, labels: tupl
     """Every source atom with its class: trivial, structural (labels: words and a pattern, see is_label), matched (tier, target, confidence) or unmatched.
 
     Tiers, each on what the last left over: exact, contains, fuzzy (a function of both sides, if given), url, url in text, image references (atoms with stem and
-    slides), cross-source, table cells, images. The lineage is cut between tiers.
+    slides), cross-source, table cells, images. A tier whose types one side lacks is left out. The lineage is cut between tiers.
     """
     s, t = checkpointed(prepared(source)), checkpointed(prepared(target))
     trivial = F.length("norm") < 5
     structural = ((F.col("atom_type") == "text_block") & is_label(F.col("content"), *labels)) | ((F.col("atom_type") == "image") & F.contains(F.coalesce("location", F.lit("")), F.lit("unknown_slide")) if "location" in s.columns else F.lit(False))
     left, found = s.where(~trivial & ~structural), None
     of = lambda df, *kinds: df.where(F.col("atom_type").isin(*kinds))
+    kinds, held = ({r[0] for r in df.select("atom_type").distinct().collect()} for df in (left, t))  # types of atoms are few by nature
+    links, texts = {"link", "video_url"}, {"text_block", "speaker_note"}
     tiers = [match_exact, lambda a, b: match_contains(a, b, least)]
     if fuzzy:
         tiers.append(lambda a, b: fuzzy(of(a, "text_block", "speaker_note", "table").where(F.length("norm") >= 15), b))
-    tiers += [lambda a, b: match_url(of(a, "link", "video_url"), of(b, "link", "video_url")), match_url_in_text]
-    if {"stem", "slides"} <= {*s.columns} & {*t.columns}:
+    if kinds & links and held & links:
+        tiers.append(lambda a, b: match_url(of(a, *links), of(b, *links)))
+    if kinds & links and "text_block" in held:
+        tiers.append(match_url_in_text)
+    placed = {"stem", "slides"} <= {*s.columns} & {*t.columns}
+    if placed and "image_ref" in kinds & held:
         tiers.append(lambda a, b: match_image_ref(of(a, "image_ref"), of(b, "image_ref")))
-    tiers += [match_cross_source, match_table_cell]
-    if {"stem", "slides"} <= {*s.columns} & {*t.columns}:
+    if kinds & texts and held & texts:
+        tiers.append(match_cross_source)
+    if "table" in kinds & held:
+        tiers.append(match_table_cell)
+    if placed and "image" in kinds & held:
         tiers.append(lambda a, b: match_image(of(a, "image"), of(b, "image")))
     for tier in tiers:
         hit = checkpointed(tier(left, t).select("atom_id", "target_id", "tier", F.col("confidence").cast("double").alias("confidence")))

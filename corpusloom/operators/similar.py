@@ -1,14 +1,17 @@
-"""The fuzzy join: best match by Ratcliff-Obershelp ratio on the first characters, inside blocks, pruned by bounds that lose nothing."""
+"""The fuzzy join: best match by Ratcliff-Obershelp ratio on the first characters, among pairs that a prefix filter and bounds that lose nothing leave."""
 
 from __future__ import annotations
 
 import difflib
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..session import checkpointed
+
 
 @F.pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -16,28 +19,108 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
 
 
-def letter_counts(text):
-    """Counts of the letters a-z, digits together and all else together: 28 numbers whose overlaps bound the ratio."""
-    letters = [F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))) for c in "abcdefghijklmnopqrstuvwxyz"]
-    digits = F.length(F.regexp_replace(text, "[^0-9]", ""))
-    return F.array(*letters, digits, F.length(F.regexp_replace(text, "[a-z0-9]", "")))
+def common_subsequence(masks: dict[str, int], n: int, b: str) -> int:
+    """Length of the longest common subsequence, row by row in the bits of one number; masks: per character of the first text its places."""
+    full = (1 << n) - 1
+    row = full
+    for c in b:
+        hit = row & masks.get(c, 0)
+        row = (row + hit | row - hit) & full
+    return n - row.bit_count()
 
 
-def match_fuzzy(source: DataFrame, target: DataFrame, least: float = 0.8, cut: int = 200) -> DataFrame:
-    """Of atoms with norm, atom_type, term: per atom the target of the same type and term with the greatest ratio of at least `least` (the first of equals).
+def ratio_from(least: float):
+    """The ratio where it is least or more, else null. Matched blocks are a common subsequence, so pairs whose longest one is too short aren't scored."""
+
+    @F.pandas_udf(DoubleType())
+    def scored(a: pd.Series, b: pd.Series) -> pd.Series:
+        out, places = [], {}
+        for x, y in zip(a, b):
+            if x not in places:
+                masks: dict[str, int] = {}
+                for i, c in enumerate(x):
+                    masks[c] = masks.get(c, 0) | 1 << i
+                places[x] = masks
+            value = None
+            if 2 * common_subsequence(places[x], len(x), y) >= least * (len(x) + len(y)) - 1e-9:
+                value = difflib.SequenceMatcher(None, x, y).ratio()
+            out.append(value if value is not None and value >= least else None)
+        return pd.Series(out, dtype="float64")
+
+    return scored
+
+
+def numbered_characters(texts: DataFrame) -> DataFrame:
+    """texts (id, text) with codes of two sets: the characters numbered among their equals ((character, 1), (character, 2) ...), and neighbouring characters in the same way."""
+
+    def numbered(items: list[int]) -> list[int]:
+        seen: dict[int, int] = {}
+        return [(x << 20) + seen.setdefault(x, 0) for x in items if seen.update({x: seen.get(x, -1) + 1}) is None]
+
+    def run(batches):
+        for batch in batches:
+            chars = [[ord(c) for c in t] for t in batch.column(1).to_pylist()]
+            both = [pa.array([numbered(x) for x in side], pa.list_(pa.int64())) for side in (chars, [[(a << 21) + b for a, b in zip(x, x[1:])] for x in chars])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *both], names=["id", "characters", "neighbours"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, characters array<long>, neighbours array<long>")
 
-    Texts shorter than 5 characters don't take part. A pair can only reach the ratio if twice the shorter length, and twice the overlap of
-    the letter counts, is at least that share of both lengths; lengths are dealt in bands of a fifth, each source meets the bands it can reach.
+
+def fuzzy_candidates(source: DataFrame, target: DataFrame, least: float, cut: int) -> DataFrame:
+    """Pairs (s, t, kind, term) of different texts that a ratio of least can't be ruled out for; nothing that reaches it is missing.
+
+    A ratio of least takes an overlap of least * (n + m) / 2 numbered characters of two texts of n and m. Characters are put in the order of their rarity over
+    both sides, rarest first, so two such texts share one among the first n - overlap + 1 of the one and m - overlap + 1 of the other: texts meet on those,
+    by bands of both lengths. Two more bounds that lose nothing follow: the whole overlap, and shared pairs of neighbours, since
+    least * (n + m) / 2 matched characters in at most n + m - least * (n + m) + 1 runs keep that many pairs less one a run.
     """
-    prep = lambda df, p: df.select(F.col("atom_id").alias(f"{p}_id"), "atom_type", "term", F.col("ord").alias(f"{p}_ord"), F.substring("norm", 1, cut).alias(p)).where(F.length(p) >= 5).withColumn(f"{p}_n", F.length(p))
     band = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(1.2))).cast("int")
-    s, t = prep(source, "s"), prep(target, "t")
     reach = (2 - least) / least
-    s = s.withColumn("band", F.explode(F.sequence(band(F.floor(F.col("s_n") / reach)), band(F.ceil(F.col("s_n") * reach))))).withColumn("s_c", letter_counts(F.col("s")))
-    t = t.withColumn("band", band(F.col("t_n"))).withColumn("t_c", letter_counts(F.col("t")))
-    both = F.aggregate(F.zip_with("s_c", "t_c", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
+    sides = []
+    for df, side in ((source, "s"), (target, "t")):
+        one = df.select(F.substring("norm", 1, cut).alias("text"), F.col("atom_type").alias("kind"), term_key().alias("term")).where(F.length("text") >= 5).distinct()
+        sides.append(one.withColumns({"n": F.length("text"), "side": F.lit(side)}))
+    both = checkpointed(sides[0].union(sides[1]).withColumn("id", F.monotonically_increasing_id()))
+    sets = checkpointed(numbered_characters(both))
+    each = sets.select("id", F.explode("characters").alias("code"))
+    # different numbered characters: an alphabet times the longest run of one, whatever the number of texts
+    ranks = each.groupBy("code").agg(F.count("*").alias("texts")).select("code", F.row_number().over(Window.orderBy("texts", "code")).alias("rank"))
+    order = each.join(ranks, "code").groupBy("id").agg(F.array_sort(F.collect_list("rank")).alias("order"))
+    sets = checkpointed(both.join(order, "id").join(sets.select("id", "neighbours"), "id"))
+    low, high = F.ceil(F.col("n") / reach - 1e-9).cast("int"), F.floor(F.col("n") * reach + 1e-9).cast("int")
+    shortest = F.greatest(F.ceil(F.pow(F.lit(1.2), F.col("other")) - 1e-9).cast("int"), low)  # partner in the band
+    prefix = F.greatest(F.lit(1), F.col("n") - F.ceil(least * (F.col("n") + shortest) / 2 - 1e-9).cast("int") + 1)
+    reaching = sets.select("id", "kind", "term", "n", "order", "side", F.explode(F.sequence(band(low), band(high))).alias("other"))
+    spots = reaching.select("id", "kind", "term", "n", "side", band(F.col("n")).alias("own"), "other", F.posexplode(F.slice("order", 1, prefix)).alias("at", "token"))
+    s = spots.where("side = 's'").select("term", "token", F.col("own").alias("a"), F.col("other").alias("b"), F.col("id").alias("s_id"), F.col("n").alias("s_n"), F.col("at").alias("s_at"), F.explode(F.when(F.col("kind") == "speaker_note", F.array(F.lit("speaker_note"), F.lit("text_block"))).otherwise(F.array("kind"))).alias("kind"))
+    t = spots.where("side = 't'").select("term", "token", F.col("other").alias("a"), F.col("own").alias("b"), F.col("id").alias("t_id"), F.col("n").alias("t_n"), F.col("at").alias("t_at"), "kind")
     total = F.col("s_n") + F.col("t_n")
-    pairs = s.join(t, ["atom_type", "term", "band"]).where((2 * F.least("s_n", "t_n") >= least * total) & (2 * both >= least * total))
-    scored = pairs.select("s_id", "t_id", "t_ord", ratio("s", "t").alias("ratio")).where(F.col("ratio") >= least)
-    best = scored.groupBy("s_id").agg(F.min(F.struct((-F.col("ratio")).alias("r"), "t_ord", "t_id")).alias("x"))
-    return best.select(F.col("s_id").alias("atom_id"), F.col("x.t_id").alias("target_id"), F.lit("fuzzy").alias("tier"), (-F.col("x.r")).alias("confidence"))
+    overlap = F.ceil(least * total / 2 - 1e-9)
+    met = s.join(t, ["kind", "term", "a", "b", "token"]).where(2 * F.least("s_n", "t_n") >= least * total - 1e-9)
+    met = met.where(F.least("s_at", "t_at") + F.least(F.col("s_n") - F.col("s_at"), F.col("t_n") - F.col("t_at")) >= overlap).select("kind", "s_id", "t_id").distinct()
+    of = lambda p: sets.where(F.col("side") == p).select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "text", "n", "order", "neighbours")], *(["term"] if p == "s" else []))
+    pairs = met.join(of("s"), "s_id").join(of("t"), "t_id").where(F.size(F.array_intersect("s_order", "t_order")) >= overlap)
+    runs = total - 2 * overlap + 1
+    pairs = pairs.where((overlap - runs <= 0) | (F.size(F.array_intersect("s_neighbours", "t_neighbours")) >= overlap - runs))
+    return pairs.select("kind", "term", F.col("s_text").alias("s"), F.col("t_text").alias("t"))
+
+
+def term_key() -> Column:
+    """A term as text, so that none equals none."""
+    return F.coalesce(F.concat(F.lit("+"), F.col("term").cast("string")), F.lit(""))
+
+
+def match_fuzzy(source: DataFrame, target: DataFrame, least: float = 0.8, cut: int = 200) -> DataFrame:
+    """Of atoms with norm, atom_type, term: per atom the target of the same term (none equals none) and type, for notes also text blocks, with the greatest ratio of at least
+    `least`; of equals one of the atom's own type, then the first.
+
+    Texts shorter than 5 characters don't take part. Equal texts are scored once; what their atoms get is the first target of each.
+    """
+    scored = fuzzy_candidates(source, target, least, cut).withColumn("ratio", ratio_from(least)("s", "t")).where("ratio is not null")
+    term = term_key().alias("term")
+    t = target.select(F.col("atom_type").alias("kind"), term, F.substring("norm", 1, cut).alias("t"), F.struct("ord", "atom_id").alias("x")).groupBy("kind", "term", "t").agg(F.min("x").alias("x"))
+    best = scored.join(t, ["kind", "term", "t"]).groupBy("kind", "term", "s").agg(F.min(F.struct((-F.col("ratio")).alias("r"), "x")).alias("y"))
+    s = source.select("atom_id", F.col("atom_type").alias("s_kind"), term, F.substring("norm", 1, cut).alias("s"))
+    found = s.join(best, ["term", "s"]).where((F.col("kind") == F.col("s_kind")) | (F.col("s_kind") == "speaker_note") & (F.col("kind") == "text_block"))
+    least_of = found.groupBy("atom_id").agg(F.min(F.struct("y.r", F.col("kind") != F.col("s_kind"), F.col("y.x").alias("x"))).alias("z"))
+    return least_of.select("atom_id", F.col("z.x.atom_id").alias("target_id"), F.lit("fuzzy").alias("tier"), (-F.col("z.r")).alias("confidence"))

@@ -346,40 +346,47 @@ def q_layer_report(spark, sf_dir):
 
 _SRC = f"""
 l AS (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS content, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM documents WHERE text IS NOT NULL),
-tg AS (SELECT doc_id * 100000 + i AS id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'speaker_note' ELSE 'text_block' END AS ty, {NORM.replace('text', 'content')} AS norm, CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 ELSE 3 END AS term, CAST(NULL AS INTEGER) AS lesson FROM l
-  UNION ALL SELECT 9000000000 + page_id, 'link', lower(trim(url)), 1, CAST(NULL AS INTEGER) FROM pages),
+tg AS (SELECT doc_id * 100000 + i AS id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'speaker_note' ELSE 'text_block' END AS ty, {NORM.replace('text', 'content')} AS norm, CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 WHEN 'fr' THEN 3 END AS term, CAST(NULL AS INTEGER) AS lesson FROM l
+  UNION ALL SELECT 9000000000 + page_id, 'link', lower(trim(url)), 1, CAST(NULL AS INTEGER) FROM pages WHERE page_id % 10 <> 0
+  UNION ALL SELECT 8000000000 + page_id, 'text_block', 'see ' || lower(trim(url)) || ' for more', 2, CAST(NULL AS INTEGER) FROM pages WHERE page_id % 10 = 0),
 so AS (SELECT item_id AS id, 'text_block' AS ty, {NORM} AS norm, 1 AS term FROM benchmark UNION ALL SELECT 1000000 + page_id, 'text_block', {NORM.replace('text', "regexp_extract(html, '<title>([^<]*)</title>', 1)")}, 2 FROM pages
-  UNION ALL SELECT 2000000 + page_id, 'link', lower(trim(CASE WHEN page_id % 2 = 0 THEN replace(url, 'https://', 'http://') ELSE url || '/' END)), 1 FROM pages)
+  UNION ALL SELECT 2000000 + page_id, 'link', lower(trim(CASE WHEN page_id % 2 = 0 THEN replace(url, 'https://', 'http://') ELSE url || '/' END)), 1 FROM pages
+  UNION ALL SELECT 3000000 + page_id, 'video_url', lower(trim(url)), NULL FROM pages WHERE page_id % 10 = 0
+  UNION ALL SELECT 4000000 + doc_id, 'speaker_note', {NORM.replace('text', 'substring(text, 5, 60)')}, CASE WHEN doc_id % 2 = 0 THEN 1 END FROM documents WHERE text IS NOT NULL)
 """
 _RECON = f"""
 WITH {_SRC}, todo AS (SELECT * FROM so WHERE length(norm) >= 5 AND NOT (ty = 'text_block' AND length(norm) <= 60 AND regexp_matches(norm, '^(the|le) '))),
-ex AS (SELECT t.id, arg_min(g.id, CASE WHEN g.term = t.term AND g.lesson IS NULL THEN 0 ELSE 1 END * 100000000000000 + g.id) AS target_id FROM todo t JOIN tg g ON g.norm = t.norm AND g.ty = t.ty GROUP BY t.id),
+ex AS (SELECT t.id, arg_min(g.id, CASE WHEN g.term IS NOT DISTINCT FROM t.term AND g.lesson IS NULL THEN 0 ELSE 1 END * 100000000000000 + g.id) AS target_id FROM todo t JOIN tg g ON g.norm = t.norm GROUP BY t.id),
 r1 AS (SELECT * FROM todo WHERE id NOT IN (SELECT id FROM ex)),
-ct AS (SELECT t.id, arg_min(g.id, CASE WHEN g.term = t.term THEN 0 ELSE 1 END * 100000000000000 + g.id) AS target_id, max(CASE WHEN g.term = t.term THEN 0.9 ELSE 0.85 END) AS confidence FROM r1 t JOIN tg g ON g.ty = t.ty AND length(g.norm) >= 12 AND (contains(g.norm, t.norm) OR contains(t.norm, g.norm)) WHERE length(t.norm) >= 10 GROUP BY t.id),
+ct AS (SELECT t.id, arg_min(g.id, CASE WHEN g.term IS NOT DISTINCT FROM t.term THEN 0 ELSE 1 END * 1000000000000000 + CASE WHEN g.ty = t.ty THEN 0 ELSE 1 END * 100000000000000 + g.id) AS target_id, max(CASE WHEN g.term IS NOT DISTINCT FROM t.term THEN 0.9 ELSE 0.85 END) AS confidence
+  FROM r1 t JOIN tg g ON (g.ty = t.ty OR t.ty = 'speaker_note' AND g.ty = 'text_block') AND length(g.norm) >= 12 AND (contains(g.norm, t.norm) OR contains(t.norm, g.norm)) WHERE length(t.norm) >= 10 GROUP BY t.id),
 r2 AS (SELECT * FROM r1 WHERE id NOT IN (SELECT id FROM ct)),
-ua AS (SELECT t.id, min(g.id) AS target_id FROM r2 t JOIN tg g ON t.ty = 'link' AND g.ty = 'link' AND regexp_replace(g.norm, '/+$', '') = regexp_replace(t.norm, '/+$', '') GROUP BY t.id),
-ub AS (SELECT t.id, min(g.id) AS target_id FROM r2 t JOIN tg g ON t.ty = 'link' AND g.ty = 'link' AND regexp_replace(regexp_replace(g.norm, '/+$', ''), '^[a-z]+://(www\\.)?', '') = regexp_replace(regexp_replace(t.norm, '/+$', ''), '^[a-z]+://(www\\.)?', '') WHERE t.id NOT IN (SELECT id FROM ua) GROUP BY t.id),
+ua AS (SELECT t.id, min(g.id) AS target_id FROM r2 t JOIN tg g ON t.ty IN ('link', 'video_url') AND g.ty IN ('link', 'video_url') AND regexp_replace(g.norm, '/+$', '') = regexp_replace(t.norm, '/+$', '') GROUP BY t.id),
+ub AS (SELECT t.id, min(g.id) AS target_id FROM r2 t JOIN tg g ON t.ty IN ('link', 'video_url') AND g.ty IN ('link', 'video_url') AND regexp_replace(regexp_replace(g.norm, '/+$', ''), '^[a-z]+://(www\\.)?', '') = regexp_replace(regexp_replace(t.norm, '/+$', ''), '^[a-z]+://(www\\.)?', '') WHERE t.id NOT IN (SELECT id FROM ua) GROUP BY t.id),
 r3 AS (SELECT * FROM r2 WHERE id NOT IN (SELECT id FROM ua) AND id NOT IN (SELECT id FROM ub)),
-cs AS (SELECT t.id, min(g.id) AS target_id FROM r3 t JOIN tg g ON t.ty = 'text_block' AND g.ty IN ('text_block', 'speaker_note') AND g.term = t.term AND g.norm <> '' AND (contains(g.norm, t.norm) OR contains(t.norm, g.norm)) WHERE length(t.norm) >= 15 GROUP BY t.id),
-m AS (SELECT id, target_id, 'exact' AS tier, 1.0 AS confidence FROM ex UNION ALL SELECT id, target_id, 'contains', confidence FROM ct UNION ALL SELECT id, target_id, 'url', 1.0 FROM ua UNION ALL SELECT id, target_id, 'url_loose', 0.95 FROM ub UNION ALL SELECT id, target_id, 'cross_source', 0.85 FROM cs),
+ut AS (SELECT t.id, min(g.id) AS target_id FROM r3 t JOIN tg g ON t.ty IN ('link', 'video_url') AND g.ty = 'text_block' AND contains(g.norm, regexp_replace(t.norm, '/+$', '')) GROUP BY t.id),
+cs AS (SELECT t.id, arg_min(g.id, CASE g.ty WHEN 'text_block' THEN 0 ELSE 1 END * 100000000000000 + g.id) AS target_id FROM r3 t JOIN tg g ON t.ty IN ('text_block', 'speaker_note') AND g.ty IN ('text_block', 'speaker_note') AND g.term IS NOT DISTINCT FROM t.term AND g.norm <> '' AND (contains(g.norm, t.norm) OR contains(t.norm, g.norm)) WHERE length(t.norm) >= 15 GROUP BY t.id),
+m AS (SELECT id, target_id, 'exact' AS tier, 1.0 AS confidence FROM ex UNION ALL SELECT id, target_id, 'contains', confidence FROM ct UNION ALL SELECT id, target_id, 'url', 1.0 FROM ua UNION ALL SELECT id, target_id, 'url_loose', 0.95 FROM ub UNION ALL SELECT id, target_id, 'url_in_text', 0.8 FROM ut UNION ALL SELECT id, target_id, 'cross_source', 0.85 FROM cs),
 res AS (SELECT s.id AS atom_id, s.ty AS atom_type, s.term, CASE WHEN length(s.norm) < 5 THEN 'trivial' WHEN s.ty = 'text_block' AND length(s.norm) <= 60 AND regexp_matches(s.norm, '^(the|le) ') THEN 'structural' WHEN m.id IS NOT NULL THEN 'matched' ELSE 'unmatched' END AS class, m.tier, m.target_id, CAST(m.confidence AS DOUBLE) AS confidence FROM so s LEFT JOIN m ON m.id = s.id)
 """
 
 
 def reconciled(spark, sf_dir):
-    """Benchmark passages, page titles and changed page urls against lines of documents and page urls."""
+    """Benchmark passages, page titles, changed page urls, page urls as videos and cuts of documents against lines of documents and page urls, alone and inside texts."""
     from ..operators.rollup import lines
 
-    p = read(spark, sf_dir, "pages")
+    p, no = read(spark, sf_dir, "pages"), F.lit(None).cast("int")
     url = F.when(F.col("page_id") % 2 == 0, F.replace(F.col("url"), F.lit("https://"), F.lit("http://"))).otherwise(F.concat("url", F.lit("/")))
-    one = lambda df, i, kind, content, term: df.select(i.alias("atom_id"), F.lit(kind).alias("atom_type"), content.alias("content"), F.lit(term).alias("term"), F.lit(None).cast("int").alias("lesson"), i.alias("ord"))
-    source = one(read(spark, sf_dir, "benchmark"), F.col("item_id"), "text_block", F.col("text"), 1).union(one(p, F.col("page_id") + 1000000, "text_block", F.regexp_extract("html", "<title>([^<]*)</title>", 1), 2)).union(one(p, F.col("page_id") + 2000000, "link", url, 1))
-    d = read(spark, sf_dir, "documents").where("text is not null")
+    one = lambda df, i, kind, content, term: df.select(i.alias("atom_id"), F.lit(kind).alias("atom_type"), content.alias("content"), term.alias("term"), no.alias("lesson"), i.alias("ord"))
+    d, tenth, i = read(spark, sf_dir, "documents").where("text is not null"), p.where("page_id % 10 = 0"), F.col("page_id")
+    source = one(read(spark, sf_dir, "benchmark"), F.col("item_id"), "text_block", F.col("text"), F.lit(1)).union(one(p, i + 1000000, "text_block", F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit(2)))
+    source = source.union(one(p, i + 2000000, "link", url, F.lit(1))).union(one(tenth, i + 3000000, "video_url", F.col("url"), no))
+    source = source.union(one(d, F.col("doc_id") + 4000000, "speaker_note", F.substring("text", 5, 60), F.when(F.col("doc_id") % 2 == 0, 1)))
     labelled = read(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("note", F.lit(True))
     rows = lines(d).join(d.select("doc_id", "lang"), "doc_id").join(labelled, "doc_id", "left")
-    i = F.col("doc_id") * 100000 + F.col("line_no")
-    target = rows.select(i.alias("atom_id"), F.when(F.col("note"), "speaker_note").otherwise("text_block").alias("atom_type"), F.col("line").alias("content"), F.when(F.col("lang") == "en", 1).when(F.col("lang") == "de", 2).otherwise(3).alias("term"), F.lit(None).cast("int").alias("lesson"), i.alias("ord"))
-    target = target.union(one(p, F.col("page_id") + 9000000000, "link", F.col("url"), 1))
+    n = F.col("doc_id") * 100000 + F.col("line_no")
+    target = rows.select(n.alias("atom_id"), F.when(F.col("note"), "speaker_note").otherwise("text_block").alias("atom_type"), F.col("line").alias("content"), F.when(F.col("lang") == "en", 1).when(F.col("lang") == "de", 2).when(F.col("lang") == "fr", 3).alias("term"), no.alias("lesson"), n.alias("ord"))
+    target = target.union(one(p.where("page_id % 10 <> 0"), i + 9000000000, "link", F.col("url"), F.lit(1))).union(one(tenth, i + 8000000000, "text_block", F.concat(F.lit("See "), F.col("url"), F.lit(" for more")), F.lit(2)))
     return source, reconcile.reconcile(source, target, 12, ([], "^(the|le) "))
 
 
@@ -398,12 +405,12 @@ def q_reconcile_coverage(spark, sf_dir):
 
 @query(_RECON + """
 , k AS (SELECT *, CASE WHEN atom_id % 3 = 0 THEN NULL ELSE 1 END AS lesson, atom_type || atom_id % 4 AS source_file, atom_id % 3 AS lost_at FROM res), u AS (SELECT * FROM k WHERE class = 'unmatched'),
-c AS (SELECT 'V001' AS check_id, 'ERROR' AS severity, count(*) FILTER (class = 'unmatched' AND lesson IS NOT NULL) AS failures, count(*) FILTER (class <> 'trivial' AND lesson IS NOT NULL) AS total, 0.05 AS allowed FROM k
-UNION ALL SELECT 'V002', 'ERROR', CASE WHEN count(*) FILTER (class IN ('matched', 'unmatched')) = 0 THEN 1 ELSE count(*) FILTER (class = 'unmatched') END, greatest(1, count(*) FILTER (class IN ('matched', 'unmatched'))), 0.1 FROM k WHERE atom_type = 'link'
+c AS (SELECT 'V001' AS check_id, 'ERROR' AS severity, count(*) FILTER (class = 'unmatched' AND lesson IS NOT NULL AND term IS NOT NULL) AS failures, count(*) FILTER (class <> 'trivial' AND lesson IS NOT NULL AND term IS NOT NULL) AS total, 0.05 AS allowed FROM k
+UNION ALL SELECT 'V002', 'ERROR', CASE WHEN count(*) FILTER (class IN ('matched', 'unmatched')) = 0 THEN 1 ELSE count(*) FILTER (class = 'unmatched') END, greatest(1, count(*) FILTER (class IN ('matched', 'unmatched'))), 0.1 FROM k WHERE atom_type IN ('link', 'video_url')
 UNION ALL SELECT 'V003', 'WARNING', count(*) FILTER (atom_type = 'text_block' AND lost_at IN (1, 2)), count(*), 0 FROM u
 UNION ALL SELECT 'V004', 'WARNING', count(*), count(*), 0 FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) >= 7)
-UNION ALL SELECT 'V005', 'WARNING', count(DISTINCT source_file), count(DISTINCT source_file), 0 FROM u WHERE lesson IS NULL
-UNION ALL SELECT 'V006', 'INFO', 1, 1, 0.2
+UNION ALL SELECT 'V005', 'WARNING', count(DISTINCT source_file), count(DISTINCT source_file), 0 FROM u WHERE lesson IS NULL OR term IS NULL
+UNION ALL SELECT 'V006', 'INFO', CASE WHEN count(*) FILTER (class IN ('matched', 'unmatched')) = 0 THEN 1 ELSE count(*) FILTER (class = 'unmatched') END, greatest(1, count(*) FILTER (class IN ('matched', 'unmatched'))), 0.2 FROM k WHERE atom_type = 'speaker_note'
 UNION ALL SELECT 'V007', 'WARNING', count(*) FILTER (starts_with(source, 'src1')), count(*), 0 FROM documents
 UNION ALL SELECT 'V008', 'WARNING', count(*), count(*), 0 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
 UNION ALL SELECT 'V009', 'WARNING', count(*), count(*), 0 FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents))

@@ -97,6 +97,77 @@ def test_containment_join_is_lossless(spark, sf):
     assert {(r.needle_id, r.hay_id) for r in reconcile.contained(needles, hay).collect()} == want
 
 
+def test_needles_in_one_pass(spark):
+    """10^5 short needles by one automaton, and by several, against a plain search of the words around each place."""
+    import random
+
+    from corpusloom.operators.needles import occurrences
+
+    rnd = random.Random(2)
+    needles = sorted({"".join(rnd.choice("abcdefghij é") for _ in range(rnd.randrange(1, 12))) for _ in range(160_000)})
+    assert len(needles) >= 100_000
+    texts = ["".join(rnd.choice("abcdefghij é") for _ in range(n)) for n in (0, 1, 30, 30, 400)] + [None, "ab" * 5000]
+    held = set(needles)
+    want = {(i, t[a : a + n]) for i, t in enumerate(texts) if t for n in range(1, 12) for a in range(len(t) - n + 1) if t[a : a + n] in held}
+    hay, words = spark.createDataFrame(list(enumerate(texts)), "hay_id int, hay string"), spark.createDataFrame([(n,) for n in needles + needles[:5] + [""]], "needle string")
+    for chars in (1 << 22, 200_000):
+        got = [tuple(r) for r in occurrences(hay, words, chars).collect()]
+        assert len(got) == len(want) and set(got) == want
+    assert occurrences(hay, words.limit(0)).count() == 0 and occurrences(hay.limit(0), words).count() == 0
+
+
+def plain_tier(atom, targets):
+    """First tier of one atom against all targets, in loops: the order of tiers and targets as documented."""
+    norm = lambda x: " ".join(x.lower().split())
+    n, kind, term, lesson = norm(atom["content"]), atom["atom_type"], atom["term"], atom["lesson"]
+    first = lambda ok: next((t["atom_id"] for t in targets if ok(t)), None)
+    near = lambda t: norm(t["content"]) and (n in norm(t["content"]) or norm(t["content"]) in n)
+    if hit := first(lambda t: norm(t["content"]) == n and (t["term"], t["lesson"]) == (term, lesson)) or first(lambda t: norm(t["content"]) == n):
+        return "exact", hit, 1.0
+    kinds = [kind, "text_block"] if kind == "speaker_note" else [kind]
+    alike = [t for k in kinds for t in targets if t["atom_type"] == k]
+    if len(n) >= (5 if kind == "table" else 10):
+        for same, score in ((True, 0.9), (False, 0.85)):
+            if hit := next((t["atom_id"] for t in alike if near(t) and (not same or t["term"] == term)), None):
+                return "contains", hit, score
+    if kind in ("text_block", "speaker_note", "table") and len(n) >= 15:
+        scored = [(difflib.SequenceMatcher(None, n[:200], norm(t["content"])[:200]).ratio(), -i, t["atom_id"]) for i, t in enumerate(alike) if t["term"] == term]
+        if scored and max(scored)[0] >= 0.8:
+            return "fuzzy", max(scored)[2], max(scored)[0]
+    if kind in ("link", "video_url"):
+        bare = n.rstrip("/")
+        if hit := first(lambda t: t["atom_type"] == "text_block" and bare in norm(t["content"])):
+            return "url_in_text", hit, 0.8
+    if kind in ("text_block", "speaker_note") and len(n) >= 15:
+        for k in ("text_block", "speaker_note"):
+            if hit := first(lambda t: t["atom_type"] == k and t["term"] == term and near(t)):  # noqa: B023
+                return "cross_source", hit, 0.85
+    return None
+
+
+def test_reconcile_equals_loops(spark):
+    """All text tiers with the fuzzy one: null terms, notes against text blocks, links of both kinds inside texts."""
+    import random
+
+    rnd = random.Random(8)
+    base = [" ".join(rnd.choice("alpha beta gamma delta level game design build test player score".split()) for _ in range(rnd.randrange(3, 14))) for _ in range(40)]
+
+    def changed(x):
+        cut = rnd.randrange(4)
+        return [x, x[3:-2], x.replace("a", "e", 2), x + " and some more"][cut]
+
+    term = lambda: rnd.choice([None, 1, 2])
+    target = [{"atom_id": f"t{i:03}", "atom_type": rnd.choice(["text_block", "speaker_note", "table"]), "content": b, "term": term(), "lesson": rnd.choice([None, 1]), "ord": i} for i, b in enumerate(base)]
+    target += [{"atom_id": f"t9{i}", "atom_type": "text_block", "content": f"Look at https://x.org/{i} for more", "term": 1, "lesson": 1, "ord": 900 + i} for i in range(3)]
+    source = [{"atom_id": f"s{i:03}", "atom_type": rnd.choice(["text_block", "speaker_note", "table"]), "content": changed(rnd.choice(base)), "term": term(), "lesson": rnd.choice([None, 1]), "ord": i} for i in range(120)]
+    source += [{"atom_id": f"s9{i}", "atom_type": ["link", "video_url"][i % 2], "content": f"https://x.org/{i}/", "term": None, "lesson": None, "ord": 900 + i} for i in range(4)]
+    schema = "atom_id string, atom_type string, content string, term int, lesson int, ord long"
+    rows = lambda x: spark.createDataFrame([tuple(r.values()) for r in x], schema)
+    got = {r.atom_id: (r.tier, r.target_id, r.confidence) if r.tier else None for r in reconcile.reconcile(rows(source), rows(target), fuzzy=similar.match_fuzzy).collect()}
+    assert got == {s["atom_id"]: plain_tier(s, target) for s in source}
+    assert {"exact", "contains", "fuzzy", "url_in_text"} <= {x[0] for x in got.values() if x}
+
+
 def test_fuzzy_join(spark):
     base = ["the students build a small game with triggers", "write a short report about the level design", "completely different words in this sentence"]
     src = one(spark, [(f"s{i}", "text", 1, i, t.replace("small", "smal").replace("short", "shrt")) for i, t in enumerate(base[:2])] + [("s9", "text", 1, 9, "nothing like it")], "atom_id string, atom_type string, term int, ord int, norm string")
@@ -105,6 +176,22 @@ def test_fuzzy_join(spark):
     assert got == {f"s{i}": (f"t{i}", difflib.SequenceMatcher(None, src.collect()[i].norm, base[i]).ratio()) for i in range(2)}
 
 
+def test_fuzzy_docs_equal_brute_force(spark, sf):
+    """q_fuzzy_docs against difflib over all pairs of a language."""
+    import __spark_entry__
+
+    d = spark.read.parquet(f"{sf}/documents.parquet").where("text is not null").select("doc_id", "lang", F.substring(T.norm(F.col("text")), 1, 200).alias("n")).collect()
+    lab = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    want = {}
+    for a in d:
+        if a.doc_id in lab and len(a.n) >= 5:
+            scored = [(difflib.SequenceMatcher(None, a.n, b.n).ratio(), -b.doc_id) for b in d if b.doc_id not in lab and b.lang == a.lang and len(b.n) >= 5 and difflib.SequenceMatcher(None, a.n, b.n).quick_ratio() >= 0.8]
+            if scored and max(scored)[0] >= 0.8:
+                want[a.doc_id] = (-max(scored)[1], round(max(scored)[0], 12))
+    got = {r.atom_id: (r.target_id, round(r.confidence, 12)) for r in __spark_entry__.queries()["q_fuzzy_docs"](spark, sf).collect()}
+    assert got == want and got
+
+
 def test_records(spark):
     md = "# Slide 1\nLesson 4\nMake a game\nWhat makes a game fun to play?\n---\nNotes: say hello\nand more\n## Slide 2\nSuccess criteria\nI can make a level\nI can test it\n| a | b |\n|---|---|\n| 1 | 2 |\nplain"
     docs = one(spark, [(1, md)], "doc_id int, text string")
