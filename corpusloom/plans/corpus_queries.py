@@ -278,3 +278,40 @@ def q_stream_counts(spark, sf_dir):
     keep = lambda batch, _: batch.write.mode("overwrite").parquet(f"{out}/rows")
     feeds.running_counts(stream, "user_id", "event_type").writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{out}/rows")
+
+
+def activity_responses(spark, sf_dir):
+    """Events as activity responses: every third has a time of its own, the others a range with or without an end; the detail is the event's properties under its type."""
+    e = read(spark, sf_dir, "events")
+    name, at, quoted = F.col("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), lambda *c: F.concat(F.lit('"'), *c, F.lit('"'))
+    span = F.concat(F.lit('"timeRange":{"startTime":'), quoted(at), F.when(name % 3 == 1, F.concat(F.lit(',"endTime":'), quoted(F.lit("end "), at))).otherwise(""), F.lit("}"))
+    when = F.when(name % 3 == 0, F.concat(F.lit('"timestamp":'), quoted(at))).otherwise(span)
+    detail = F.concat(F.lit('{"'), F.col("event_type"), F.lit('":'), F.col("props"), F.lit("}"))
+    who = F.concat(F.lit('[{"user":{"knownUser":{"personName":'), quoted(F.col("user_id").cast("string")), F.lit("}}}]"))
+    item = F.concat(F.lit('[{"driveItem":{"name":'), quoted(F.lit("items/"), name.cast("string")), F.lit("}}]"))
+    return e.select("event_id", F.concat(F.lit('{"activities":[{'), when, F.lit(',"actors":'), who, F.lit(',"actions":[{"detail":'), detail, F.lit('}],"targets":'), item, F.lit("}]}")).alias("response"))
+
+
+@query("""
+SELECT event_id, CASE event_id % 3 WHEN 1 THEN 'end ' ELSE '' END || strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CAST(user_id AS VARCHAR) AS person, event_type AS action, CAST(props->>'k' AS BIGINT) AS k, CAST(event_id AS VARCHAR) AS file_id FROM events
+""")
+def q_activities_parsed(spark, sf_dir):
+    """Activity responses read to typed rows; a free-form detail is looked into by path."""
+    a = feeds.parsed_activities(activity_responses(spark, sf_dir))
+    one = F.col("actions")[0]
+    return a.select("event_id", F.col("timestamp").alias("at"), F.col("actors")[0]["person_name"].alias("person"), one["type"].alias("action"), F.try_variant_get(one["detail"], "$.k", "long").alias("k"), F.col("targets")[0]["file_id"].alias("file_id"))
+
+
+@query("SELECT event_type AS type, count(*) AS n, 'OBJECT<k: BIGINT>' AS schema FROM events GROUP BY event_type")
+def q_detail_schemas(spark, sf_dir):
+    """The schema that the details of each type of action have together."""
+    return feeds.detail_schemas(feeds.parsed_activities(activity_responses(spark, sf_dir)))
+
+
+@query("SELECT user_id, 'NEW' AS change_type, arg_max(props, ts) AS props, CAST(NULL AS VARCHAR) AS previous_props, CAST(NULL AS VARCHAR) AS previous_event_type FROM events GROUP BY user_id")
+def q_stream_changes(spark, sf_dir):
+    """Changes of keys against the state store, over a stream of one batch: every key is new, with the row last modified."""
+    out, events = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}", read(spark, sf_dir, "events")
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    feeds.start_diffs(stream, f"{out}/changes", f"{out}/state", key="user_id", content="event_type", name="props", modified="ts").awaitTermination()
+    return spark.read.parquet(f"{out}/changes").drop("batch")

@@ -256,3 +256,26 @@ def test_fuzzy_sides_take_every_labelled_document(spark):
     d = spark.createDataFrame(rows, "doc_id long, norm string, term string").selectExpr("doc_id", "'text' AS atom_type", "term", "norm")
     got = fuzzy_sides(d, spark.createDataFrame([(i,) for i in [*labelled, 2]], "doc_id long"))
     assert sorted((r.atom_id, r.target_id, r.tier, round(r.confidence, 9)) for r in got.collect()) == want and len(want) >= 4
+
+
+def test_group_checks_read_the_records_once_a_grain(spark, sf):
+    """Titles and words are grains of their own; everything else comes from one written summary."""
+    from corpusloom.plans.check_queries import q_group_checks
+
+    plan = q_group_checks(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("html#") and sum("Relation" in line and "html" in line for line in plan.splitlines()) == 2
+
+
+def test_group_checks_equal_single_ones(spark):
+    from corpusloom.operators import checks
+
+    df = one(spark, [(1, 1, "a", "x"), (1, 1, "b", "x"), (1, 3, "c", ""), (2, 1, "d", "y"), (2, 2, "e", "z"), (3, 5, "f", None)], "g int, n int, title string, meta string")
+    table = checks.summary(df, "g", "n", ("meta",), {"seen": F.col("title") > "b"})
+    c = checks.GroupChecks(table, "g", "n", one(spark, [(1, 3), (2, 1), (4, 0)], "g int, size int"), "size")
+    got = lambda x: tuple(x.first()[k] for k in ("failures", "total", "passed"))
+    assert got(c.counts("X001")) == (1, 3, False) and got(c.declared()) == (2, 4, False) and got(c.counts("E005", only=F.col("g") == 1)) == (0, 1, True)
+    assert got(c.contiguous()) == (1, 3, False) == got(checks.contiguous(df, "g", "n"))
+    assert got(c.in_position()) == (2, 6, False) == got(checks.in_position(df, "g", "n"))  # the second row of 1, and 5
+    assert got(c.constant(("meta",))) == (1, 3, False) == got(checks.constant_in_group(df, "g", ["meta"]))
+    assert got(c.present(one(spark, [(1, 3), (1, 1), (9, 9)], "g int, n int"), "X002", mark="seen")) == (2, 3, False)
+    assert got(c.rows("seen", "UN03", "INFO", "m")) == (4, 6, False)
