@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import check_queries, corpus_queries, extract_queries  # noqa: F401  they register their queries
+from .plans import check_queries, corpus_queries, extract_queries, vote_queries  # noqa: F401  they register their queries
 from .plans.queries import ORACLE, QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]

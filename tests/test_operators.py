@@ -279,3 +279,23 @@ def test_group_checks_equal_single_ones(spark):
     assert got(c.constant(("meta",))) == (1, 3, False) == got(checks.constant_in_group(df, "g", ["meta"]))
     assert got(c.present(one(spark, [(1, 3), (1, 1), (9, 9)], "g int, n int"), "X002", mark="seen")) == (2, 3, False)
     assert got(c.rows("seen", "UN03", "INFO", "m")) == (4, 6, False)
+
+
+def test_vote_of_signals(spark):
+    """Nulls, ties, authoritative boost and bonus, inventory order, volumes."""
+    from corpusloom.operators import votes
+
+    v = votes.Voting([1, 2, 3, 4], {"path": 1.0, "parent": 1.0, "metadata": 0.95, "tags": 0.8, "content": 0.7, "volume": 0.5}, {1: [1, 2], 2: [3, 4]}, ["All of it"], [("a_film", [4])], {1: ["red apple"], 2: ["blue"]}, {"img": (1, 2)})
+    rows = [("a", "x/all-of_it", None, None, None, None, None, ""), ("b", "Weeks 1-2 / lesson 3", None, [2], 0.5, None, None, "img"), ("c", "lesson 03", "week 2", None, None, None, None, "img"), ("d", "a film", None, None, None, ["Apple"], "BLUE", None), ("e", None, None, None, None, None, None, None), ("f", "inv/q", "week_2", [], None, [], "red apple blue", "img"), ("g", "lesson 9", "week 1 2", None, None, None, None, None)]
+    items = spark.createDataFrame(rows, "item string, path string, batch string, known array<int>, known_confidence double, tags array<string>, text string, kind string")
+    inventory = spark.createDataFrame([(1, "INV", "no - range"), (2, "inv/", "Lessons 1-2"), (3, "inv/q", "4")], "ord int, path string, keys string")
+    out = votes.consensus(votes.signals(items, v, inventory), v).cache()
+    got = {r.item: ([s.signal for s in r.signals], r.winners, r.confidence, r.status) for r in out.collect()}
+    assert got["a"] == (["path"], [1, 2, 3, 4], 100.0, "HIGH_CONFIDENCE") and got["e"] == ([], [], 0.0, "UNMAPPED")
+    assert got["b"] == (["path", "volume"], [2], 100.0, "HIGH_CONFIDENCE") and got["c"] == (["path"], [3], 100.0, "HIGH_CONFIDENCE")
+    assert got["d"] == (["parent", "tags", "content"], [4], round(1.5 / (1.5 + 0.8 / 3 + 0.7 / 4) * 110, 1), "MEDIUM_CONFIDENCE")  # the tag is inside a key word: 1 of 3
+    assert got["f"][0] == ["path", "metadata", "content"] and got["f"][1] == [3, 4] and got["g"] == (["path"], [1, 2, 3, 4], 100.0, "HIGH_CONFIDENCE")
+    assert tuple(votes.mapping_summary(out).first()) == (7, 6, 1, 4, 1, 1) and votes.key_index(out).count() == 4 + 1 + 1 + 1 + 2 + 4
+    label = lambda text, title: spark.range(1).select(votes.best_label(F.lit(text), F.lit(title), {"A": ["x", "y"], "B": ["z"]}, {"C": ["w"]})).first()[0]
+    assert [label("z x", ""), label("z x", "Z"), label("w", "w"), label("", ""), label(None, None)] == ["A", "B", "C", "", ""]
+
