@@ -120,6 +120,16 @@ def test_lm_scores(spark, sf):
     assert attention_lm.lm_scores(docs.limit(0)).count() == 0
 
 
+def test_lm_score_does_not_depend_on_what_is_broadcast(spark, sf):
+    """Rare words get their exact share by the join: nearly all words, some or none of them broadcast."""
+    docs = cases.sample(spark, sf)
+    got = [{r.doc_id: (r.score, r.n_known) for r in attention_lm.lm_scores(docs, frequent=f, epochs=1).collect()} for f in (1 << 21, 50, 1)]
+    for other in got[1:]:
+        assert all(abs(got[0][i][0] - other[i][0]) <= 1e-6 * abs(got[0][i][0]) and got[0][i][1] == other[i][1] for i in got[0])
+    no_share = [{r.doc_id: r.score for r in attention_lm.lm_scores(docs, frequent=f, epochs=1, share=0).collect()} for f in (1 << 21, 50)]
+    assert all(abs(no_share[0][i] - no_share[1][i]) <= 1e-6 * abs(no_share[0][i]) for i in no_share[0])
+
+
 def test_lm_scores_do_not_depend_on_partitions(spark, sf):
     docs = cases.sample(spark, sf)
     got = [{r.doc_id: r.score for r in attention_lm.lm_scores(docs.repartition(k), epochs=2).collect()} for k in (1, 7)]
