@@ -1,38 +1,17 @@
-"""Office files (zipped XML) as tables. Python only unzips, in Arrow batches; the XML is taken apart by Spark's xpath.
-
-Spark's file readers skip files of no bytes, so these have no row; a listing of the store tells of them.
-"""
+"""Office files (zipped XML) as tables. A data source opens the archives, see archive_source; the XML is taken apart by Spark's xpath and patterns."""
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def _unzipped(batches):
-    for pdf in batches:
-        rows = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for name in z.namelist():
-                        if name.endswith((".xml", ".rels")):
-                            rows.append((path, name, z.read(name).decode("utf-8", "replace"), None))
-                        else:
-                            rows.append((path, name, None, None))
-            except Exception as e:  # a file that can't be opened is a row, not a failed job
-                rows.append((path, None, None, f"{type(e).__name__}: {e}"[:200]))
-        yield pd.DataFrame(rows, columns=["path", "entry", "xml", "error"], dtype=object)
+from .archive_source import OfficeParts
 
 
 def unzip(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """path, entry, xml (null for media), error (null unless the file can't be opened) of all files that match glob."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
-    return df.select("path", "content").mapInPandas(_unzipped, "path string, entry string, xml string, error string")
+    """path, size, entry (null for a file without any), xml (null for media), error (null unless the file can't be opened) of all files that match glob."""
+    spark.dataSource.register(OfficeParts)
+    return spark.read.format("office_parts").option("path", root).option("glob", glob).load()
 
 
 def _bare(xml):
@@ -157,12 +136,17 @@ def sheet_rows(parts: DataFrame) -> DataFrame:
 
 
 def integrity(parts: DataFrame) -> DataFrame:
-    """Per deck: slides, shapes and status (corrupt, empty, no_shapes or valid)."""
+    """Per deck: slides, shapes and status (empty for a file of no bytes or without slides, corrupt, no_shapes or valid)."""
     s = parts.withColumn("is_slide", F.coalesce(F.col("entry").rlike(r"^ppt/slides/slide\d+\.xml$"), F.lit(False)))
     g = s.groupBy("path").agg(F.max("error").alias("error"), F.count_if("is_slide").alias("slides"), F.sum(F.when(F.col("is_slide"), F.regexp_count("xml", F.lit("<p:sp>|<p:sp |<p:pic>|<p:graphicFrame>"))).otherwise(0)).alias("shapes"))
     return g.select("path", "slides", "shapes", F.when(F.col("error").isNotNull(), "corrupt").when(F.col("slides") == 0, "empty").when(F.col("shapes") == 0, "no_shapes").otherwise("valid").alias("status"), "error")
 
 
+def integrity_totals(checked: DataFrame) -> DataFrame:
+    """Files by status."""
+    return checked.groupBy("status").agg(F.count("*").alias("files"))
+
+
 def text_of(rows: DataFrame, path: str, order: list[str], text: str) -> DataFrame:
     """One text for each file, its rows in order; used to compare conversions."""
     w = F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("__t"))))

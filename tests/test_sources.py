@@ -27,13 +27,19 @@ def test_decks(spark, tmp_path):
     (tmp_path / "b.pptx").write_bytes(b"not a zip")
     with zipfile.ZipFile(tmp_path / "d.pptx", "w") as z:
         z.writestr("ppt/presentation.xml", "<p/>")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "e.pptx").write_bytes(b"")
     parts = office.unzip(spark, str(tmp_path), "*.pptx").cache()
     assert [(r.slide, r.texts) for r in office.deck_slides(parts).orderBy("slide").collect()] == [(1, ["Title", "Body & more"]), (2, ["Second"])]
     assert [(r.slide, r.notes) for r in office.deck_notes(parts).collect()] == [(1, "say this")]
     assert [(r.slide, r.url) for r in office.deck_links(parts).collect()] == [(1, "https://a.example/x")]
     assert {(r.image, tuple(r.slides)) for r in office.deck_images(parts).collect()} == {("one.png", (1, 2)), ("two.png", (2,)), ("unused.png", ())}
     assert {tuple(r.slides) for r in office.deck_images(parts, require_use=False).where("image = 'unused.png'").collect()} == {(1, 2)}
-    assert {r.path[-6:]: r.status for r in office.integrity(parts).collect()} == {"a.pptx": "valid", "b.pptx": "corrupt", "d.pptx": "empty"}
+    assert {r.path[-6:]: r.status for r in office.integrity(parts).collect()} == {"a.pptx": "valid", "b.pptx": "corrupt", "d.pptx": "empty", "e.pptx": "empty"}
+    assert {tuple(r) for r in office.integrity_totals(office.integrity(parts)).collect()} == {("valid", 1), ("corrupt", 1), ("empty", 2)}
+    small = spark.read.format("office_parts").option("path", f"file://{tmp_path}").option("glob", "*.pptx").option("splitBytes", 1).load()
+    assert small.rdd.getNumPartitions() == 4 and small.drop("path").exceptAll(parts.drop("path")).isEmpty() and small.count() == parts.count()
+    assert office.unzip(spark, str(tmp_path), "*.none").count() == 0
 
 
 def test_documents_and_sheets(spark, tmp_path):
