@@ -212,10 +212,23 @@ def merged_resources(first: Column, second: Column) -> Column:
 
 
 def evidence(groups: DataFrame, texts: DataFrame, keys: list[str], most: int) -> DataFrame:
-    """FN41: for each key the ordered texts as one, cut after `most` characters (as the pack shows it), and how many there are."""
-    g = texts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("ord", "text"))).alias("t"))
-    whole = F.array_join(F.transform("t", lambda x: x["text"]), "\n")
-    return groups.select(*keys).distinct().join(g, keys, "left").select(*keys, F.coalesce(F.size("t"), F.lit(0)).alias("n"), F.substring(F.coalesce(whole, F.lit("")), 1, most).alias("evidence"))
+    """FN41: for each key the ordered texts as one, cut after `most` characters (as the pack shows it), and how many there are.
+
+    Each text takes a character at least, with the line end after it, so the first most + 1 of a key are enough, and of these the ones that begin within the cut:
+    only they are gathered. Ranks are cut in every task before rows travel.
+    """
+    from pyspark.sql.window import Window
+
+    from .rollup import top_n
+
+    n = texts.groupBy(*keys).agg(F.count("*").alias("n"))
+    cut = top_n(texts.select(*keys, "ord", F.substring("text", 1, most).alias("text"), F.length("text").alias("size")), keys, [F.col("ord"), F.col("text")], most + 1)
+    before = F.sum(F.coalesce("size", F.lit(0)) + 1).over(Window.partitionBy(*keys).orderBy("rank").rowsBetween(Window.unboundedPreceding, -1))
+    shown = cut.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < most)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))), lambda x: x["text"]), "\n")
+    packs = shown.groupBy(*keys).agg(F.substring(joined, 1, most).alias("evidence"))
+    wanted = groups.select(*keys).distinct()
+    return wanted.join(n, keys, "left").join(packs, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).cast("int").alias("n"), F.coalesce("evidence", F.lit("")).alias("evidence"))
 
 
 def field(df: DataFrame, path: str) -> Column:

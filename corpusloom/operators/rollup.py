@@ -33,6 +33,15 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFr
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
+def examples(df: DataFrame, keys: list[str], value: str, most: int, order: list[Column] | None = None) -> DataFrame:
+    """Per group (keys) n, its rows, and examples, the first `most` values in order. Ranks are cut in every task before rows travel, so a group is never gathered whole."""
+    order = order or [F.col(value).asc_nulls_last()]
+    first = top_n(df.where(F.col(value).isNotNull()), keys, order, most).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", value))), lambda x: x[value]).alias("examples"))
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    on = [counts[k].eqNullSafe(first[k]) for k in keys]
+    return counts.join(first, on, "left").select(*[counts[k] for k in keys], "n", F.coalesce("examples", F.array().cast(f"array<{df.schema[value].dataType.simpleString()}>")).alias("examples"))
+
+
 def weighted_vote(signals: DataFrame, boost: dict[str, float] | None = None, places: int = 6) -> DataFrame:
     """Of (item, signal, weight, confidence, candidate): per item the winners (all ties, sorted), the vote, its share, and a status band.
 

@@ -63,3 +63,61 @@ def missing_cells(rows: DataFrame, key: str, kind: str, expected: list) -> DataF
 def conditional_counts(rows: DataFrame, by: list[str], condition: Column, name: str) -> DataFrame:
     """By group: rows, rows that meet the condition, and their share."""
     return rows.groupBy(*by).agg(F.count("*").alias("n"), F.count_if(condition).alias(name), (F.count_if(condition) / F.count("*")).alias("share"))
+
+
+def duplicates_in_group(items: DataFrame, name: str, id_col: str, inside: DataFrame) -> DataFrame:
+    """DED5: names of later copies, with their number, of names that occur in a group (inside: name)."""
+    from .dedup import later_copies
+
+    copies = later_copies(items.select(id_col, name), name, id_col, "exact_name").join(items.select(id_col, name), id_col)
+    return copies.join(inside.select(name).distinct(), name, "left_semi").groupBy(name).agg(F.count("*").alias("copies"))
+
+
+def with_source_rows(errors: DataFrame, rows: DataFrame, key: str, *measures: Column) -> DataFrame:
+    """JN28: errors with what the source rows of their key add up to; an error without rows stays. Rows are reduced to their key before the join."""
+    return errors.join(rows.groupBy(key).agg(*measures), key, "left")
+
+
+def source_of_record(records: DataFrame, sources: DataFrame, stem: str, record: str, source: str) -> DataFrame:
+    """JN27: records with the first source document of their stem, where one exists."""
+    first = sources.where(F.col(stem) != "").groupBy(stem).agg(F.min(source).alias("source_id"))
+    return records.where(F.col(stem) != "").join(first, stem).select(record, "source_id")
+
+
+def mapped_totals(items: DataFrame, by: str, mapped: Column, total: str = "texts", yes: str = "with_numbers", no: str = "without") -> DataFrame:
+    """AG8: items of each group, with and without a mapping."""
+    has = F.coalesce(mapped, F.lit(False))
+    return items.groupBy(by).agg(F.count("*").alias(total), F.count_if(has).alias(yes), F.count_if(~has).alias(no))
+
+
+def annotator_volumes(labels: DataFrame, annotators: list[str]) -> DataFrame:
+    """AG40: how often each annotator (a column) gave each kind, from one pass of the table."""
+    both = labels.select(F.explode(F.array(*[F.struct(F.lit(c).alias("annotator"), F.col(c).cast("string").alias("kind")) for c in annotators])).alias("x")).select("x.*")
+    return both.groupBy("annotator", "kind").agg(F.count("*").alias("n"))
+
+
+def lowest_matches(pairs: DataFrame, similarity: Column, below: float, *keep: str, places: int = 6) -> DataFrame:
+    """SL6: pairs whose similarity is below a bound. The rows aren't sorted: a report sorts what it shows."""
+    return pairs.select(*keep, F.round(similarity, places).alias("similarity")).where(F.col("similarity") < below)
+
+
+def flat_records(records: DataFrame, key: str, parts: Column, group: Column, parts_name: str = "slides", group_name: str = "term") -> DataFrame:
+    """FN45: records as a flat list of key, number of parts and group."""
+    return records.select(key, F.size(parts).cast("long").alias(parts_name), group.alias(group_name))
+
+
+def run_summary(changes: DataFrame, kind: str, keys: str, most: int = 5) -> DataFrame:
+    """AG39: what a run would do, by kind of change: number, the different keys it touches, and the first names; the plan that a dry run shows."""
+    from .rollup import examples
+
+    n = changes.groupBy(kind).agg(F.count_distinct(keys).alias("keys"))
+    shown = examples(changes, [kind], "name", most)
+    return shown.join(n, kind).select(kind, "n", "keys", "examples")
+
+
+def loss_examples(lost: DataFrame, stage: str, text: str, most: int = 5, width: int = 80) -> DataFrame:
+    """AG12: losses of each stage with the first texts, each cut to a width."""
+    from .rollup import examples
+
+    return examples(lost.withColumn(text, F.substring(text, 1, width)), [stage], text, most)
+

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import extract, rollup
-from ..operators.dedup import later_copies
+from ..operators import extract, rollup, tallies
 from .check_queries import REC, page_records, q_boundary_checks, q_group_checks
 from .queries import ORACLE, query, read
 
@@ -257,8 +256,7 @@ def q_group_duplicates(spark, sf_dir):
     """Later copies whose name occurs in one group."""
     p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_name", "p_brand")
     inside = p.where("p_brand = 'Brand#11'").select("p_name").distinct()
-    copies = later_copies(p.select("id", "p_name"), "p_name", "id", "exact_name").join(p.select("id", "p_name"), "id")
-    return copies.join(inside, "p_name", "left_semi").groupBy("p_name").agg(F.count("*").alias("copies"))
+    return tallies.duplicates_in_group(p, "p_name", "id", inside)
 
 
 @query("SELECT e.doc_id, e.toxic, s.source, s.docs FROM labels e LEFT JOIN documents d USING (doc_id) LEFT JOIN (SELECT source, count(*) AS docs FROM documents GROUP BY source) s ON s.source = d.source WHERE e.toxic = 1")
@@ -266,51 +264,48 @@ def q_errors_with_source(spark, sf_dir):
     """Errors with the source rows of their key."""
     d = read(spark, sf_dir, "documents")
     e = read(spark, sf_dir, "labels").where("toxic = 1").join(d.select("doc_id", "source"), "doc_id", "left")
-    return e.join(d.groupBy("source").agg(F.count("*").alias("docs")), "source", "left").select("doc_id", "toxic", "source", "docs")
+    return tallies.with_source_rows(e, d, "source", F.count("*").alias("docs")).select("doc_id", "toxic", "source", "docs")
 
 
 @query("SELECT p.page_id, min(q.page_id) AS source_id FROM pages p JOIN pages q ON regexp_extract(p.url, '/([0-9]+)', 1) = regexp_extract(q.url, '/([0-9]+)', 1) AND starts_with(q.url, 'https') WHERE regexp_extract(p.url, '/([0-9]+)', 1) <> '' GROUP BY p.page_id")
 def q_source_of_record(spark, sf_dir):
     """A record's source document, by stem, where one exists."""
-    p = read(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("url", "/([0-9]+)", 1).alias("stem")).where("stem <> ''")
-    return p.join(p.where("url like 'https%'").groupBy("stem").agg(F.min("page_id").alias("source_id")), "stem").select("page_id", "source_id")
+    p = read(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("url", "/([0-9]+)", 1).alias("stem"))
+    return tallies.source_of_record(p, p.where("url like 'https%'"), "stem", "page_id", "page_id")
 
 
 @query(r"SELECT lang, count(*) AS texts, count(*) FILTER (len(regexp_extract_all(text, '\d+')) > 0) AS with_numbers, count(*) FILTER (len(regexp_extract_all(text, '\d+')) = 0) AS without FROM documents WHERE text IS NOT NULL GROUP BY lang")
 def q_extraction_totals(spark, sf_dir):
     """Totals with and without a mapping."""
     n = F.size(F.regexp_extract_all("text", F.lit(r"\d+"), F.lit(0)))
-    return read(spark, sf_dir, "documents").where("text is not null").groupBy("lang").agg(F.count("*").alias("texts"), F.count_if(n > 0).alias("with_numbers"), F.count_if(n == 0).alias("without"))
+    return tallies.mapped_totals(read(spark, sf_dir, "documents").where("text is not null"), "lang", n > 0)
 
 
 @query("SELECT 'quality' AS annotator, CAST(quality AS VARCHAR) AS kind, count(*) AS n FROM labels GROUP BY 2 UNION ALL SELECT 'toxic', CAST(toxic AS VARCHAR), count(*) FROM labels GROUP BY 2")
 def q_annotator_volume(spark, sf_dir):
     """Volumes of two annotators by kind."""
-    lab = read(spark, sf_dir, "labels")
-    both = lab.select(F.explode(F.array(*[F.struct(F.lit(c).alias("annotator"), F.col(c).cast("string").alias("kind")) for c in ("quality", "toxic")])).alias("x")).select("x.*")
-    return both.groupBy("annotator", "kind").agg(F.count("*").alias("n"))
+    return tallies.annotator_volumes(read(spark, sf_dir, "labels"), ["quality", "toxic"])
 
 
 @query("SELECT lang, list_sort(list(doc_id))[1:5]::VARCHAR AS examples, count(*) AS n FROM documents WHERE n_chars < 200 GROUP BY lang")
 def q_examples(spark, sf_dir):
     """The first five examples of each group, as text."""
-    g = read(spark, sf_dir, "documents").where("n_chars < 200").groupBy("lang").agg(F.slice(F.array_sort(F.collect_list("doc_id")), 1, 5).alias("e"), F.count("*").alias("n"))
-    return g.select("lang", F.concat(F.lit("["), F.array_join(F.col("e").cast("array<string>"), ", "), F.lit("]")).alias("examples"), "n")
+    g = rollup.examples(read(spark, sf_dir, "documents").where("n_chars < 200"), ["lang"], "doc_id", 5)
+    return g.select("lang", F.concat(F.lit("["), F.array_join(F.col("examples").cast("array<string>"), ", "), F.lit("]")).alias("examples"), "n")
 
 
 @query("SELECT page_id, len(regexp_extract_all(html, '<p>')) AS slides, CASE WHEN contains(url, '/en/') THEN 1 ELSE 2 END AS term FROM pages")
 def q_flat_records(spark, sf_dir):
     """Records as a flat list of term, id and number of parts."""
-    return read(spark, sf_dir, "pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit("<p>"), F.lit(0))).cast("long").alias("slides"), F.when(F.contains("url", F.lit("/en/")), 1).otherwise(2).alias("term"))
+    return tallies.flat_records(read(spark, sf_dir, "pages"), "page_id", F.regexp_extract_all("html", F.lit("<p>"), F.lit(0)), F.when(F.contains("url", F.lit("/en/")), 1).otherwise(2))
 
 
 @query("SELECT doc_id, similarity FROM (SELECT doc_id, round(len(list_intersect(list_distinct(string_split(lower(text), ' ')), list_distinct(string_split(lower(substring(text, 1, 300)), ' ')))) / len(list_distinct(string_split(lower(text), ' '))), 6) AS similarity FROM documents WHERE text IS NOT NULL AND length(text) > 0) WHERE similarity < 0.5")
 def q_lowest_matches(spark, sf_dir):
-    """Documents whose first 300 characters hold less than half of their words, the lowest first."""
+    """Documents whose first 300 characters hold less than half of their words."""
     words = lambda x: F.array_distinct(F.split(F.lower(x), " "))
     d = read(spark, sf_dir, "documents").where("text is not null and length(text) > 0")
-    s = F.round(F.size(F.array_intersect(words("text"), words(F.substring("text", 1, 300)))) / F.size(words("text")), 6)
-    return d.select("doc_id", s.alias("similarity")).where("similarity < 0.5").orderBy("similarity", "doc_id")
+    return tallies.lowest_matches(d, F.size(F.array_intersect(words("text"), words(F.substring("text", 1, 300)))) / F.size(words("text")), 0.5, "doc_id")
 
 
 @query("SELECT regexp_extract(lower(url), '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)', 1) AS host, count(*) AS n FROM pages GROUP BY 1")
@@ -380,3 +375,19 @@ def q_bullets(spark, sf_dir):
 
     h = F.replace("html", F.lit("<p>"), F.lit("\n- "))
     return read(spark, sf_dir, "pages").select("page_id", F.size(records.bullets(h)).cast("long").alias("items"), records.labelled(F.replace("html", F.lit("<p>"), F.lit("\n")), "The").isNotNull().alias("labelled"))
+
+
+@query("SELECT CASE event_type WHEN 'purchase' THEN 'MODIFIED' WHEN 'error' THEN 'DELETED' ELSE 'NEW' END AS change, count(*) AS n, count(DISTINCT user_id) AS keys, list_sort(list(event_type || '-' || event_id))[1:5]::VARCHAR AS examples FROM events GROUP BY 1")
+def q_dry_run(spark, sf_dir):
+    """What a run would do: changes by kind, the keys they touch, the first names."""
+    e = read(spark, sf_dir, "events")
+    kind = F.when(F.col("event_type") == "purchase", "MODIFIED").when(F.col("event_type") == "error", "DELETED").otherwise("NEW")
+    rows = e.select(kind.alias("change"), "user_id", F.concat_ws("-", "event_type", F.col("event_id").cast("string")).alias("name"))
+    return tallies.run_summary(rows, "change", "user_id").withColumn("examples", F.concat(F.lit("["), F.array_join("examples", ", "), F.lit("]")))
+
+
+@query("SELECT lang AS stage, count(*) AS n, list_sort(list(replace(substring(text, 1, 30), chr(10), ' ')))[1:3] AS examples FROM documents WHERE text IS NOT NULL AND n_chars < 400 GROUP BY lang")
+def q_loss_examples(spark, sf_dir):
+    """Short documents by language with the first texts, cut to 30 characters."""
+    d = read(spark, sf_dir, "documents").where("text is not null and n_chars < 400").select(F.col("lang").alias("stage"), F.replace(F.substring("text", 1, 30), F.lit("\n"), F.lit(" ")).alias("text"))
+    return tallies.loss_examples(d, "stage", "text", 3, 30)
