@@ -44,10 +44,37 @@ def tables(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def table_kind(headers: Column, rows: Column, words: dict[str, list[str]], default: str = "data") -> Column:
-    """The kind whose words occur most in a table (at least two), the first of equals."""
-    t = F.lower(F.concat(F.array_join(headers, " "), F.lit(" "), F.array_join(F.flatten(rows), " ")))
-    scored = F.array_max(F.array(*[F.struct(sum((F.contains(t, F.lit(w)).cast("int") for w in ws), F.lit(0)).alias("n"), F.lit(-i).alias("i"), F.lit(k).alias("k")) for i, (k, ws) in enumerate(words.items())]))
-    return F.when(scored["n"] >= 2, scored["k"]).otherwise(F.lit(default))
+    """The kind of a table by the words in its headers and first row: the first kind with two of its words or more, else the first with one."""
+    first = F.coalesce(F.get(rows, F.lit(0)), F.array().cast("array<string>"))
+    t = F.lower(F.concat(F.array_join(F.coalesce(headers, F.array().cast("array<string>")), " "), F.lit(" "), F.array_join(first, " ")))
+    hits = {k: sum((F.contains(t, F.lit(w)).cast("int") for w in ws), F.lit(0)) for k, ws in words.items()}
+    return F.coalesce(*[F.when(n >= least, F.lit(k)) for least in (2, 1) for k, n in hits.items()], F.lit(default))
+
+
+def video_entries(refs: DataFrame, record: str = "record") -> DataFrame:
+    """Video entries of records from references (record, ord, url, filename, video_id, type, title, path), null or empty where unknown: the first of each url, else file name, else id, numbered
+    in order. A file has its path as url and its name as title where it has none; its id, where none is given, is the name's stem. Only files have ids."""
+    from .dedup import first_wins, numbered
+
+    told = lambda c: F.nullif(F.col(c), F.lit(""))
+    known = refs.withColumn("key_", F.coalesce(told("url"), told("filename"), told("video_id"))).where("key_ is not null")
+    is_file = F.coalesce(F.col("type") == "video_file", F.lit(False))
+    title = F.when(is_file, F.coalesce(told("title"), told("filename"))).otherwise(F.coalesce(told("title"), told("url")))
+    url, stem = F.when(is_file, F.col("path")).otherwise(F.col("url")), F.regexp_replace("filename", r"(?<=[^/])\.[^./]*$", "")
+    video_id = F.when(told("filename").isNotNull(), F.coalesce(told("video_id"), F.regexp_extract(stem, "([^/]*)$", 1)))
+    placed = numbered(first_wins(known, [record, "key_"], ["ord"]), [record], ["ord"], "order")
+    empty = lambda c, name: F.coalesce(c, F.lit("")).alias(name)
+    return placed.select(record, "order", empty(video_id, "video_id"), empty(title, "title"), empty(url, "url"), empty(F.col("type"), "type"))
+
+
+def resource_entries(links: DataFrame, record: str = "record") -> DataFrame:
+    """Resource entries (record, ord, resource) from links (record, ord, url, text): web and mail links that aren't videos, the first of each url, as `text - url` where the text says more than the url."""
+    from .dedup import first_wins
+
+    url, text = F.trim("url"), F.trim(F.coalesce("text", F.lit("")))
+    web = links.withColumns({"url": url, "text": text}).where((F.col("url").startswith("http") | F.col("url").startswith("mailto:")) & ~T.is_video(F.col("url")))
+    says = (F.length("text") > 3) & ~F.col("text").startswith("http")
+    return first_wins(web, [record, "url"], ["ord"]).select(record, "ord", F.when(says, F.concat("text", F.lit(" - "), "url")).otherwise(F.col("url")).alias("resource"))
 
 
 def continued(docs: DataFrame, prefixes: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:

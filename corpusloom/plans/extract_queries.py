@@ -391,3 +391,64 @@ def q_loss_examples(spark, sf_dir):
     """Short documents by language with the first texts, cut to 30 characters."""
     d = read(spark, sf_dir, "documents").where("text is not null and n_chars < 400").select(F.col("lang").alias("stage"), F.replace(F.substring("text", 1, 30), F.lit("\n"), F.lit(" ")).alias("text"))
     return tallies.loss_examples(d, "stage", "text", 3, 30)
+
+
+_LINKED = r"""
+h AS (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS u, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages),
+r AS (SELECT page_id AS record, unnest(range(1, len(u) + 1)) AS ord, CASE unnest(range(1, len(u) + 1)) % 4 WHEN 0 THEN 'https://youtu.be/' || page_id WHEN 1 THEN url ELSE 'http://x.example' || unnest(u) END AS link, unnest(t) AS label FROM h)
+"""
+
+
+def page_links(spark, sf_dir):
+    """The anchors of pages as links: a fourth lead to a video, a fourth to the page itself, the others to a path of a made host."""
+    p = read(spark, sf_dir, "pages")
+    anchor = '<a href="([^"]*)">([^<]*)</a>'
+    both = F.arrays_zip(F.regexp_extract_all("html", F.lit(anchor), F.lit(1)).alias("u"), F.regexp_extract_all("html", F.lit(anchor), F.lit(2)).alias("t"))
+    rows = p.select(F.col("page_id").alias("record"), F.col("url").alias("page"), F.posexplode(both).alias("place", "a"))
+    n = F.col("place") + 1
+    link = F.when(n % 4 == 0, F.concat(F.lit("https://youtu.be/"), F.col("record").cast("string"))).when(n % 4 == 1, F.col("page")).otherwise(F.concat(F.lit("http://x.example"), F.col("a.u")))
+    return rows.select("record", n.cast("long").alias("ord"), link.alias("url"), F.col("a.t").alias("text"))
+
+
+@query(f"""
+WITH {_LINKED}, w AS (SELECT record, trim(link) AS link, trim(label) AS label, ord, row_number() OVER (PARTITION BY record, trim(link) ORDER BY ord) AS k FROM r WHERE NOT contains(link, 'youtu.be/') AND starts_with(trim(link), 'http'))
+SELECT record, ord, CASE WHEN length(label) > 3 AND NOT starts_with(label, 'http') THEN label || ' - ' || link ELSE link END AS resource FROM w WHERE k = 1
+""")
+def q_resource_entries(spark, sf_dir):
+    """Resource entries of pages from their links."""
+    from ..operators.records import resource_entries
+
+    return resource_entries(page_links(spark, sf_dir))
+
+
+@query(rf"""
+WITH {_LINKED}, v AS (SELECT record, ord, CASE WHEN ord % 4 = 0 THEN link ELSE '' END AS url, CASE WHEN ord % 4 = 2 THEN label || '.mp4' ELSE '' END AS filename, CASE WHEN ord % 4 = 0 THEN 'youtube' ELSE 'video_file' END AS type FROM r WHERE ord % 2 = 0),
+d AS (SELECT *, row_number() OVER (PARTITION BY record, coalesce(nullif(url, ''), filename) ORDER BY ord) AS k FROM v)
+SELECT record, CAST(row_number() OVER (PARTITION BY record ORDER BY ord) AS INTEGER) AS "order", CASE WHEN filename <> '' THEN regexp_replace(filename, '\.mp4$', '') ELSE '' END AS video_id, CASE type WHEN 'video_file' THEN filename ELSE url END AS title, CASE type WHEN 'video_file' THEN 'm/' || filename ELSE url END AS url, type FROM d WHERE k = 1
+""")
+def q_video_entries(spark, sf_dir):
+    """Video entries of pages: links to videos and files named by an anchor, once each and numbered."""
+    from ..operators.records import video_entries
+
+    n, none = F.col("ord") % 4, F.lit("")
+    rows = page_links(spark, sf_dir).where("ord % 2 = 0")
+    name = F.when(n == 2, F.concat("text", F.lit(".mp4"))).otherwise(none)
+    refs = rows.select("record", "ord", F.when(n == 0, F.col("url")).otherwise(none).alias("url"), name.alias("filename"), none.alias("video_id"), F.when(n == 0, "youtube").otherwise("video_file").alias("type"), none.alias("title"), F.concat(F.lit("m/"), name).alias("path"))
+    return video_entries(refs)
+
+
+_KINDS = {"schedule": ["the", "ing"], "rubric": ["tion", "de "], "other": ["que", "er"]}
+
+
+@query("""
+WITH b AS (SELECT item_id, lower(array_to_string(string_split(text, ' ')[1:4], ' ') || ' ' || array_to_string(string_split(text, ' ')[5:8], ' ')) AS t FROM benchmark),
+h AS (SELECT item_id, contains(t, 'the')::INT + contains(t, 'ing')::INT AS a, contains(t, 'tion')::INT + contains(t, 'de ')::INT AS b, contains(t, 'que')::INT + contains(t, 'er')::INT AS c FROM b)
+SELECT item_id, CASE WHEN a >= 2 THEN 'schedule' WHEN b >= 2 THEN 'rubric' WHEN c >= 2 THEN 'other' WHEN a = 1 THEN 'schedule' WHEN b = 1 THEN 'rubric' WHEN c = 1 THEN 'other' ELSE 'data' END AS kind FROM h
+""")
+def q_table_kinds(spark, sf_dir):
+    """Kinds of tables made of benchmark words: four as headers, four as the first row, four that don't count."""
+    from ..operators.records import table_kind
+
+    w = F.split("text", " ")
+    return read(spark, sf_dir, "benchmark").select("item_id", table_kind(F.slice(w, 1, 4), F.array(F.slice(w, 5, 4), F.slice(w, 9, 4)), _KINDS).alias("kind"))
+
