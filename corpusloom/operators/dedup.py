@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import edit_ratio, name_form
+from ..session import checkpointed
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -34,25 +35,25 @@ def same_content(df: DataFrame, md5: str = "md5", name: str = "name", id_col: st
 def similar_forms(forms: DataFrame, ratio: float, form: str = "form") -> DataFrame:
     """Pairs (a, b), a < b, of different forms with an edit ratio of at least ratio.
 
-    Lengths can differ by the share 1 - ratio at most, and within k edits one of k + 1 pieces of the shorter form occurs unchanged
-    in the longer one, at most k places off; so pairs meet on (piece, its number, the shorter length) and no form is compared with all others.
+    k edits, the most that the ratio leaves the longer form of m characters, change at most k of its numbered characters ((character, 1), (character, 2) ...), so two such
+    forms share m - k of them. In the order of their rarity, rarest first, one of the first k + 1 of the one is then among the first k + 1 of the other, k taken from each form's own
+    length: forms meet on those, so a form of n characters makes about (1 - ratio) * n rows. Lengths, places and the whole overlap rule out most pairs before the distance is computed.
     """
-    f = forms.select(F.col(form).alias("f")).where(F.length("f") > 0).distinct().select("f", F.length("f").alias("n"))
+    from .similar import in_order_of_rarity
+
+    f = forms.select(F.col(form).alias("text")).where(F.length("text") > 0).distinct().withColumn("id", F.monotonically_increasing_id())
+    f = in_order_of_rarity(checkpointed(f)).select("id", "text", F.length("text").alias("n"), "order")
     edits = lambda n: F.floor((1 - ratio) * n + 1e-9).cast("int")
-    # the longer of a pair has m characters, the shorter n; k = edits(m) pieces + 1 are cut from the shorter
-    longest = F.floor(F.col("n") / ratio + 1e-9).cast("int")
-    cut = f.select("f", "n", F.explode(F.sequence(F.col("n"), F.greatest(longest, F.col("n")))).alias("m")).select("*", edits(F.col("m")).alias("k"))
-    at = lambda i: F.floor(F.col("n") * i / (F.col("k") + 1)).cast("int")
-    cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i")).select(F.col("f").alias("short"), "n", "m", "k", "i", F.col("f").substr(at(F.col("i")) + 1, at(F.col("i") + 1) - at(F.col("i"))).alias("piece"))
-    whole = f.select(F.col("f").alias("long"), F.col("n").alias("m"))
-    shortest = F.ceil(F.col("m") * ratio - 1e-9).cast("int")
-    whole = whole.select("long", "m", edits(F.col("m")).alias("k"), F.explode(F.sequence(F.least(shortest, F.col("m")), F.col("m"))).alias("n")).select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i"))
-    size = F.floor(F.col("n") * (F.col("i") + 1) / (F.col("k") + 1)).cast("int") - F.floor(F.col("n") * F.col("i") / (F.col("k") + 1)).cast("int")
-    begin = F.floor(F.col("n") * F.col("i") / (F.col("k") + 1)).cast("int")
-    whole = whole.select("long", "n", "m", "i", size.alias("size"), F.explode(F.sequence(F.greatest(begin - F.col("k"), F.lit(0)), begin + F.col("k"))).alias("p")).where(F.col("p") + F.col("size") <= F.col("m"))
-    whole = whole.select("long", "n", "m", "i", F.col("long").substr(F.col("p") + 1, F.col("size")).alias("piece")).distinct()
-    pairs = cut.join(whole, ["n", "m", "i", "piece"]).where("short <> long").select(F.least("short", "long").alias("a"), F.greatest("short", "long").alias("b")).distinct()
-    return pairs.select("a", "b", edit_ratio(F.col("a"), F.col("b")).alias("ratio")).where(F.col("ratio") >= ratio)
+    spots = f.select("id", "n", F.posexplode(F.slice("order", 1, edits(F.col("n")) + 1)).alias("at", "token"))
+    side = lambda p: spots.select("token", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "n", "at")])
+    longest = F.greatest("x_n", "y_n")
+    shared = longest - edits(longest)
+    met = side("x").join(side("y"), "token").where((F.col("x_id") < F.col("y_id")) & (F.least("x_n", "y_n") >= shared) & (F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")) + F.least("x_at", "y_at") >= shared))
+    pairs = met.select("x_id", "y_id").distinct()
+    of = lambda p: f.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "text", "n", "order")])
+    both = pairs.join(of("x"), "x_id").join(of("y"), "y_id").where(F.size(F.array_intersect("x_order", "y_order")) >= shared)
+    near = both.select(F.least("x_text", "y_text").alias("a"), F.greatest("x_text", "y_text").alias("b"))
+    return near.select("a", "b", edit_ratio(F.col("a"), F.col("b")).alias("ratio")).where(F.col("ratio") >= ratio)
 
 
 def greedy_representatives(forms: DataFrame, edges: DataFrame, save) -> DataFrame:

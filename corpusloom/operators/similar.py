@@ -66,6 +66,16 @@ def numbered_characters(texts: DataFrame) -> DataFrame:
     return texts.select("id", "text").mapInArrow(run, "id long, characters array<long>, neighbours array<long>")
 
 
+def in_order_of_rarity(texts: DataFrame) -> DataFrame:
+    """texts (id, text and more, from a written table) with the ranks of their numbered characters, the rarest over all texts first (order), and the codes of their numbered neighbours."""
+    sets = checkpointed(numbered_characters(texts))
+    each = sets.select("id", F.explode("characters").alias("code"))
+    # different numbered characters: an alphabet times the longest run of one, whatever the number of texts
+    ranks = each.groupBy("code").agg(F.count("*").alias("texts")).select("code", F.row_number().over(Window.orderBy("texts", "code")).alias("rank"))
+    order = each.join(ranks, "code").groupBy("id").agg(F.array_sort(F.collect_list("rank")).alias("order"))
+    return checkpointed(texts.join(order, "id").join(sets.select("id", "neighbours"), "id"))
+
+
 def fuzzy_candidates(source: DataFrame, target: DataFrame, least: float, cut: int) -> DataFrame:
     """Pairs (s, t, kind, term) of different texts that a ratio of least can't be ruled out for; nothing that reaches it is missing.
 
@@ -81,12 +91,7 @@ def fuzzy_candidates(source: DataFrame, target: DataFrame, least: float, cut: in
         one = df.select(F.substring("norm", 1, cut).alias("text"), F.col("atom_type").alias("kind"), term_key().alias("term")).where(F.length("text") >= 5).distinct()
         sides.append(one.withColumns({"n": F.length("text"), "side": F.lit(side)}))
     both = checkpointed(sides[0].union(sides[1]).withColumn("id", F.monotonically_increasing_id()))
-    sets = checkpointed(numbered_characters(both))
-    each = sets.select("id", F.explode("characters").alias("code"))
-    # different numbered characters: an alphabet times the longest run of one, whatever the number of texts
-    ranks = each.groupBy("code").agg(F.count("*").alias("texts")).select("code", F.row_number().over(Window.orderBy("texts", "code")).alias("rank"))
-    order = each.join(ranks, "code").groupBy("id").agg(F.array_sort(F.collect_list("rank")).alias("order"))
-    sets = checkpointed(both.join(order, "id").join(sets.select("id", "neighbours"), "id"))
+    sets = in_order_of_rarity(both)
     low, high = F.ceil(F.col("n") / reach - 1e-9).cast("int"), F.floor(F.col("n") * reach + 1e-9).cast("int")
     shortest = F.greatest(F.ceil(F.pow(F.lit(1.2), F.col("other")) - 1e-9).cast("int"), low)  # partner in the band
     prefix = F.greatest(F.lit(1), F.col("n") - F.ceil(least * (F.col("n") + shortest) / 2 - 1e-9).cast("int") + 1)

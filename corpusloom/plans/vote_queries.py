@@ -1,10 +1,10 @@
-"""Queries of the six-signal vote and of label scores, with their DuckDB SQL."""
+"""Queries of the six-signal vote, of label scores and of assembled records, with their DuckDB SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import votes
+from ..operators import assembly, votes
 from ..session import saved
 from .queries import query, read
 
@@ -94,3 +94,34 @@ def q_best_labels(spark, sf_dir):
     """The best-scoring label of each page, its title counting more; ties go to the first label."""
     p = read(spark, sf_dir, "pages")
     return p.select("page_id", votes.best_label(F.col("html"), F.regexp_extract("html", "<title>([^<]*)</title>", 1), LABELS, REST).alias("label"))
+
+
+PLAN = [
+    assembly.Field("title", (("page", "h1"), ("page", "title"))),
+    assembly.Field("language", (("page", "lang"), ("url", "lang"))),
+    assembly.Field("topics", (("page", "anchors"),), "list", 4),
+    assembly.Field("resources", (("url", "url"), ("page", "hrefs")), "list", 3, merge=True),
+    assembly.Field("n_topics", (("page", "anchors"),), "count"),
+]
+
+
+def page_sources(spark, sf_dir):
+    """Pages and their urls as sources of records; every third page has no heading, every fourth no language of its own."""
+    p, i = read(spark, sf_dir, "pages"), F.col("page_id")
+    found = lambda pattern: F.nullif(F.regexp_extract("html", pattern, 1), F.lit(""))
+    every = lambda n: F.regexp_extract_all("html", F.lit('<a href="([^"]*)">([^<]*)</a>'), F.lit(n))
+    page = p.select(i.alias("key"), F.lit(1).alias("ord"), F.when(i % 3 > 0, found("<h1>([^<]*)</h1>")).alias("h1"), found("<title>([^<]*)</title>").alias("title"), F.when(i % 4 > 0, found('lang="([a-z]+)"')).alias("lang"), every(2).alias("anchors"), every(1).alias("hrefs"))
+    return {"page": page, "url": p.select(i.alias("key"), F.lit(1).alias("ord"), "url", F.regexp_extract("url", "/(en|de|fr|es)/", 1).alias("lang"))}
+
+
+@query(r"""
+WITH p AS (SELECT page_id AS key, url, CASE WHEN page_id % 3 > 0 THEN trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)) ELSE '' END AS h1, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, CASE WHEN page_id % 4 > 0 THEN regexp_extract(html, 'lang="([a-z]+)"', 1) ELSE '' END AS l1, regexp_extract(url, '/(en|de|fr|es)/', 1) AS l2,
+  regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS h FROM pages),
+a AS (SELECT key, trim(unnest(t)) AS v, unnest(range(1, len(t) + 1)) AS i FROM p), b AS (SELECT key, v, min(i) AS i FROM a WHERE v <> '' GROUP BY ALL), c AS (SELECT key, count(*) AS n, list(v ORDER BY i)[1:4] AS topics FROM b GROUP BY key),
+u AS (SELECT key, trim(unnest([url] || h)) AS v, unnest(range(0, len(h) + 1)) AS i FROM p), w AS (SELECT key, v, min(i) AS i FROM u WHERE v <> '' GROUP BY ALL), x AS (SELECT key, list(v ORDER BY i)[1:3] AS resources FROM w GROUP BY key)
+SELECT p.key, coalesce(nullif(h1, ''), nullif(title, '')) AS title, coalesce(nullif(l1, ''), nullif(l2, '')) AS language, coalesce(topics, []) AS topics, coalesce(resources, []) AS resources, coalesce(n, 0) AS n_topics FROM p LEFT JOIN c USING (key) LEFT JOIN x USING (key)
+""")
+def q_assembled_records(spark, sf_dir):
+    """Records of pages by a plan of fields."""
+    return assembly.assemble(read(spark, sf_dir, "pages").select(F.col("page_id").alias("key")), page_sources(spark, sf_dir), PLAN)
+

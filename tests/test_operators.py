@@ -299,3 +299,53 @@ def test_vote_of_signals(spark):
     label = lambda text, title: spark.range(1).select(votes.best_label(F.lit(text), F.lit(title), {"A": ["x", "y"], "B": ["z"]}, {"C": ["w"]})).first()[0]
     assert [label("z x", ""), label("z x", "Z"), label("w", "w"), label("", ""), label(None, None)] == ["A", "B", "C", "", ""]
 
+
+def test_similar_forms_of_any_length(spark):
+    """Against all pairs: short and long forms, edits at the ends, other alphabets."""
+    import random
+
+    from corpusloom.operators.dedup import similar_forms
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rnd = random.Random(6)
+    base = ["".join(rnd.choice("abcdefgh é日") for _ in range(n)) for n in (1, 2, 3, 6, 7, 12, 20, 21, 60, 200)]
+
+    def changed(x):
+        x = list(x)
+        for _ in range(rnd.randrange(1, max(2, len(x) // 5))):
+            i = rnd.randrange(len(x) + 1)
+            x[i : i + rnd.randrange(2)] = rnd.choice([[], ["z"], ["a"]])
+        return "".join(x)
+
+    forms = sorted({f for x in base for f in (x, changed(x), changed(x), x + "q", x[1:]) if f})
+    for least in (0.8, 0.9):
+        want = {(a, b) for i, a in enumerate(forms) for b in forms[i + 1 :] if 1 - distance(a, b) / max(len(a), len(b)) >= least - 1e-12}
+        got = {(min(r.a, r.b), max(r.a, r.b)) for r in similar_forms(spark.createDataFrame([(f,) for f in [*forms, forms[0], "", None]], "form string"), least).collect()}
+        assert got == want and want
+
+
+def test_assembled_records(spark):
+    """Priority, limits, merging, equal values, nulls and blanks; a record is built again only where its sources changed."""
+    from corpusloom.operators.assembly import Field, assemble
+    from corpusloom.plans import incremental
+
+    plan = [Field("title", (("b", "name"), ("a", "name"))), Field("tags", (("a", "tags"), ("b", "tags")), "list", 2), Field("all", (("b", "tags"), ("a", "tags")), "list", 3, merge=True), Field("n", (("a", "tags"), ("b", "tags")), "count")]
+    a = spark.createDataFrame([(1, 2, "late", ["x", "y"]), (1, 1, "early", [" y ", None, ""]), (2, 1, None, None)], "key int, ord int, name string, tags array<string>")
+    b = spark.createDataFrame([(1, 1, " ", ["y", "q"]), (2, 5, "two", ["r"] * 50), (None, 1, "none", None)], "key int, ord int, name string, tags array<string>")
+    keys = spark.createDataFrame([(1,), (2,), (3,), (1,)], "key int")
+    got = {r.key: tuple(r)[1:] for r in assemble(keys, {"a": a, "b": b}, plan).collect()}
+    assert got == {1: ("early", ["y", "x"], ["y", "q", "x"], 3), 2: ("two", ["r"], ["r"], 1), 3: (None, [], [], 0)}
+    assert assemble(keys.limit(0), {"a": a.limit(0), "b": b}, plan).count() == 0
+    rows = lambda *x: spark.createDataFrame([(i, g, str(v), "n", "t", v) for i, g, v in x], "id int, grp int, md5 string, name string, modified_time string, v int")
+    old, new = rows((1, 1, 10), (2, 1, 11), (3, 2, 20)), rows((1, 1, 10), (2, 1, 12), (3, 2, 20))
+    build = lambda df: assemble(df.select("grp"), {"s": df.withColumn("ord", F.col("id"))}, [Field("values", (("s", "v"),), "list", 5)], "grp")
+    built = build(old).withColumn("values", F.when(F.col("grp") == 2, F.array(F.lit("kept"))).otherwise(F.col("values")))
+    assert {(r.grp, tuple(r["values"])) for r in incremental.rebuild(new, old, built, build, "grp").collect()} == {(1, ("10", "12")), (2, ("kept",))}
+
