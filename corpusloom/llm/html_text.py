@@ -49,8 +49,8 @@ BAD_ELEMENTS = frozenset("nav footer aside form dialog menu search".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Words in class names and ids that mark boilerplate, unless another word of the same name takes it back.
 BAD_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising adsense adslot banner breadcrumb breadcrumbs consent cookie cookies copyright footer gdpr login masthead menu modal "
-    "nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion recommended recommendations related search share "
+    "ad ads advert adverts advertisement advertising adsense adslot alert alerts announcement banner breadcrumb breadcrumbs consent cookie cookies copyright disclaimer footer gdpr login masthead menu modal "
+    "nav navbar navigation newsletter notice notices notification overlay pager paywall pagination popup promo promoted promotion recommended recommendations related search share "
     "sharing sidebar signup social sponsor sponsored subscribe toolbar topbar".split()
 )
 COMMENT_NAMES = frozenset("comment comments commentlist disqus replies reply respond responses discussion".split())
