@@ -18,6 +18,7 @@ equal scores; a null doc_id counts as the empty text in the fold rule; an empty
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import groupby, repeat
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ CUT = 0.7
 #: Fixed value: signs and the letters they imitate.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
-SWAP, SHRINK, ANY, PART, FLUSH = -1.0, -0.5, -3.5, -1.0, 512
+SWAP, SHRINK, ANY, PART, FLUSH = -1.0, -0.5, -3.5, -1.0, 1024
 
 SIGNS, HARD, LAST, SINGLE, GAPS = b"0123456789@$!|+(*", b"0123456789@$|(", b"0123456789@$", b"@$", b" ._-"
 
@@ -79,85 +80,169 @@ def is_spaced(token: str) -> bool:
     return len(token) > 2 and len(token) % 2 == 1 and all(c in " ._-" for c in token[1::2])
 
 
+#: The options of every kind of slot met so far, as (string, log channel weight); a slot's number is its place here.
+OPTIONS: list[list[tuple[str, float]]] = []
+
+
+@lru_cache(maxsize=None)
+def slot(c: str, run: bool = False) -> int:
+    """Number of the slot of a character, or of a run of a letter; the empty character is a sign between spaced letters."""
+    if not c:
+        options = [("", 0.0), (" ", PART)]
+    elif run:
+        options = [(c, SHRINK), (c * 2, 2 * SHRINK)]
+    else:
+        options = [(x, ANY) for x in LETTERS] + [("*", 0.0)] if c == "*" else [(c, 0.0)] + [(x, SWAP) for x in LEET.get(c, "")]
+    OPTIONS.append(options)
+    return len(OPTIONS) - 1
+
+
 def slots(token: str, parts: bool = False):
-    """Slots of (string, log channel weight); a slot is one character of the token, or a run of one. parts: spaced letters may be several words."""
+    """Numbers of a token's slots; a slot is one character of the token, or a run of one. parts: spaced letters may be several words."""
     if is_spaced(token):
         token = token[::2]
         if parts:
-            for i, c in enumerate(token):
+            for i, c in enumerate(token.lower()):
                 if i:
-                    yield [("", 0.0), (" ", PART)]
-                yield from slots(c)
+                    yield slot("")
+                yield slot(c)
             return
-    i, token = 0, token.lower()
-    while i < len(token):
-        j = i
-        while j < len(token) and token[j] == token[i]:
-            j += 1
-        c, n = token[i], j - i
+    token = token.lower()
+    for c, same in groupby(token):
+        n = sum(1 for _ in same)
         if n >= 3 and c in LETTERS:
-            yield [(c, SHRINK), (c * 2, 2 * SHRINK)]
+            yield slot(c, True)
         else:
-            one = [(x, ANY) for x in LETTERS] + [("*", 0.0)] if c == "*" else [(c, 0.0)] + [(x, SWAP) for x in LEET.get(c, "")]
-            for _ in range(n):
-                yield one
-        i = j
+            yield from repeat(slot(c), n)
 
 
 def lattice(token: str, parts: bool = False) -> list[list[tuple[str, float]]]:
-    return list(slots(token, parts))
+    return [OPTIONS[k] for k in slots(token, parts)]
 
 
-def strings(node) -> str:
-    out = []
-    while node is not None:
-        out.append(node[1])
-        node = node[0]
-    return "".join(reversed(out))
+def code(c: str) -> int:
+    return ord(c) - 96 if c in LETTERS else 0 if c == " " else 27
 
 
-def decode(token: str, logp: np.ndarray, parts: bool = False) -> str:
-    """The most probable reading of a disguised token: Viterbi over its lattice, states are the last two classes.
+class Channel:
+    """Viterbi steps under a character model, each worked out once.
 
-    A path is a chain of (path before, string); every FLUSH slots what all paths have in common is written out, so a long token takes little memory.
+    A matrix holds the scores of all states that paths are in (rows and columns are the last two classes), less its maximum and rounded to nine decimals; equal
+    matrices have one number. A step's result depends on that number and the slot alone, so it is looked up where it was met before: long runs of signs soon come
+    back to matrices they have had. What is remembered is cleared when it holds more than MOST cells or steps.
     """
-    code = lambda c: ord(c) - 96 if c in LETTERS else 0 if c == " " else 27
-    paths, done = {(0, 0): (0.0, None)}, []
-    for k, slot in enumerate(slots(token, parts), 1):
-        new: dict[tuple[int, int], tuple] = {}
-        for (a, b), (score, path) in paths.items():
-            for string, weight in slot:
-                x, y, s = a, b, score + weight
-                for c in string:
-                    i = code(c)
-                    s += logp[x, y, i]
-                    x, y = y, i
-                if (x, y) not in new or s > new[x, y][0]:
-                    new[x, y] = (s, (path, string))
-        paths = new
-        if k % FLUSH == 0:
-            back, level = 0, {id(p): p for _, p in paths.values()}
-            while len(level) > 1 and None not in level.values():
-                level, back = {id(p[0]): p[0] for p in level.values()}, back + 1
-            if len(level) == 1 and None not in level.values():
-                done.append(strings(next(iter(level.values()))))
-                cut: dict[int, tuple | None] = {id(next(iter(level.values()))): None}
-
-                def tail(p, cut=cut):
-                    chain = []
-                    while id(p) not in cut:
-                        chain.append(p)
-                        p = p[0]
-                    new = cut[id(p)]
-                    for p in reversed(chain):
-                        new = cut[id(p)] = (new, p[1])
-                    return new
-
-                paths = {state: (s, tail(p)) for state, (s, p) in paths.items()}
-    if not paths:
-        return token
-    (a, b), (_, path) = max(paths.items(), key=lambda x: x[1][0] + logp[x[0][0], x[0][1], 0])
-    return "".join(done) + strings(path)
+
+    MOST = 1 << 19
+
+    def __init__(self, logp: np.ndarray):
+        self.logp = np.ascontiguousarray(logp, float)
+        self.clear()
+
+    def clear(self) -> None:
+        self.matrices, self.numbers, self.next, self.before, self.cells, self.singles = [], {}, {}, {}, 0, {}
+
+    def number(self, matrix: tuple) -> int:
+        rows, columns, values = matrix
+        key = rows, columns, values.tobytes()
+        if key not in self.numbers:
+            self.numbers[key] = len(self.matrices)
+            self.matrices.append(matrix)
+            self.cells += values.size
+        return self.numbers[key]
+
+    def dense(self, i: int) -> np.ndarray:
+        rows, columns, values = self.matrices[i]
+        out = np.full((28, 28), -np.inf)
+        out[np.ix_(rows, columns)] = values
+        return out
+
+    def step(self, i: int, k: int) -> int:
+        logp = self.logp
+        rows, columns, values = self.matrices[i]
+        single = [(code(string), weight) for string, weight in OPTIONS[k] if len(string) == 1]
+        if single:
+            codes, weights = zip(*single)
+            at = rows, columns, k
+            if at not in self.singles:
+                self.singles[at] = logp[np.ix_(rows, columns, codes)] + np.array(weights)
+            out = (values[:, :, None] + self.singles[at]).max(axis=0)
+            if len(single) == len(OPTIONS[k]):
+                return self.number((columns, codes, np.round(out - out.max(), 9) + 0.0))
+        whole, m = np.full((28, 28), -np.inf), self.dense(i)
+        if single:
+            whole[np.ix_(columns, codes)] = out
+        for string, weight in OPTIONS[k]:
+            if not string:
+                whole = np.maximum(whole, m + weight)
+            elif len(string) == 2:
+                c = code(string[0])
+                whole[c, c] = max(whole[c, c], (m + logp[:, :, c] + logp[None, :, c, c]).max() + weight)
+        on = whole > -np.inf
+        rows, columns = np.flatnonzero(on.any(axis=1)), np.flatnonzero(on.any(axis=0))
+        return self.number((tuple(rows.tolist()), tuple(columns.tolist()), np.round(whole[np.ix_(rows, columns)] - whole.max(), 9) + 0.0))
+
+    def run(self, start: tuple, ks: list[int]) -> list[int]:
+        """Numbers of the matrices before the first slot and after each."""
+        if max(self.cells, len(self.next), len(self.before)) > self.MOST:
+            self.clear()
+        i = self.number(start)
+        out = [i]
+        for k in ks:
+            j = self.next.get((i, k))
+            if j is None:
+                j = self.next[i, k] = self.step(i, k)
+            out.append(j)
+            i = j
+        return out
+
+    def back(self, i: int, k: int, x: int, y: int) -> tuple[int, int, str]:
+        """The best state before a slot that led to the classes x, y, and the slot's string; the first of equals."""
+        (rows, columns, values), logp, best, found = self.matrices[i], self.logp, -np.inf, None
+        for string, weight in OPTIONS[k]:
+            if not string:
+                score, state = (values[rows.index(x), columns.index(y)] + weight if x in rows and y in columns else -np.inf), (x, y)
+            elif code(string[-1]) != y or (len(string) == 2 and x != y):
+                continue
+            elif len(string) == 1:
+                if x not in columns:
+                    continue
+                scores = [v + logp[a, x, y] for a, v in zip(rows, values[:, columns.index(x)])]
+                score = max(scores)
+                score, state = score + weight, (rows[scores.index(score)], x)
+            else:
+                scores = self.dense(i) + logp[:, :, y] + logp[None, :, y, y]
+                a, b = divmod(int(scores.argmax()), 28)
+                score, state = scores[a, b] + weight, (a, b)
+            if score > best:
+                best, found = score, (*state, string)
+        return found
+
+
+def decode(token: str, logp: np.ndarray | Channel, parts: bool = False) -> str:
+    """The most probable reading of a disguised token: Viterbi over its lattice.
+
+    Matrices are kept for FLUSH slots at a time; those of earlier blocks are worked out again from the block's first one on the way back, so a long token takes little memory.
+    """
+    channel = logp if isinstance(logp, Channel) else Channel(logp)
+    ks = list(slots(token, parts))
+    matrix, starts, path = ((0,), (0,), np.zeros((1, 1))), [], []
+    for at in range(0, max(len(ks), 1), FLUSH):
+        starts.append(matrix)
+        path = channel.run(matrix, ks[at : at + FLUSH])
+        matrix = channel.matrices[path[-1]]
+    x, y = divmod(int((channel.dense(path[-1]) + channel.logp[:, :, 0]).argmax()), 28)
+    out = []
+    for block in reversed(range(len(starts))):
+        part = ks[block * FLUSH : (block + 1) * FLUSH]
+        if block < len(starts) - 1:
+            path = channel.run(starts[block], part)
+        for i, k in zip(reversed(path[:-1]), reversed(part)):
+            key = i, k, x, y
+            if key not in channel.before:
+                channel.before[key] = channel.back(*key)
+            x, y, string = channel.before[key]
+            out.append(string)
+    return "".join(reversed(out))
 
 
 def spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,17 +313,13 @@ def disguised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def restorer(logp: np.ndarray):
     """A function from texts to texts in which disguised places are restored; null becomes the empty text."""
-    logp = [[row.tolist() for row in plane] for plane in logp]
-
-    class Table:
-        def __getitem__(self, k):
-            return logp[k[0]][k[1]][k[2]]
+    channel = Channel(logp)
 
     def read(token: bytes) -> bytes:
         """As one word; spaced letters also as several, where that is more probable."""
         token = token.decode()
-        one = decode(token, Table())
-        more = decode(token, Table(), True) if is_spaced(token) else one
+        one = decode(token, channel)
+        more = decode(token, channel, True) if is_spaced(token) else one
         return (one if more == one else f"{one} {more}").encode()
 
     remembered = lru_cache(maxsize=50_000)(read)

@@ -145,6 +145,28 @@ def test_long_tokens_decode_as_without_flushes(monkeypatch):
     assert len(whole(pa.array(["a1" * 100_000, None, "kkkk"]))[0].as_py()) == 200_000
 
 
+def test_what_a_channel_remembers_changes_no_reading(monkeypatch):
+    rng = np.random.default_rng(6)
+    logp = np.log(rng.dirichlet(np.ones(28), (28, 28)))
+    tokens = ["".join(rng.choice(list("abcrrr013@!*"), int(rng.integers(1, 30)))) for _ in range(300)] + ["laasllrrrr", "laasllr", "laasllrr"]
+    want = [toxicity.decode(t, logp) for t in tokens]
+    for most in (1 << 19, 200):
+        monkeypatch.setattr(toxicity.Channel, "MOST", most)
+        channel = toxicity.Channel(logp)
+        assert [toxicity.decode(t, channel) for t in tokens] == want
+
+
+def test_a_megabyte_of_stars_and_of_codes():
+    rng = np.random.default_rng(8)
+    whole = toxicity.restorer(np.log(rng.dirichlet(np.ones(28), (28, 28))))
+    codes = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+"), 1_000_000))
+    began = time.time()
+    assert len(whole(pa.array(["a" + "*" * 1_000_000 + "b"]))[0].as_py()) == 1_000_002
+    assert time.time() - began < 30
+    assert len(whole(pa.array([codes]))[0].as_py()) > 900_000
+    assert time.time() - began < 120
+
+
 def test_toxicity_score_against_a_plain_sum(spark):
     """The score of every document from the definition: word and beginning hits of the restored text, five sums, logistic."""
     docs, table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
