@@ -28,6 +28,8 @@ from .common import distinct_spans, pieces, span_hashes, utf8
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, GAP = 0xFF, 0xFE
 FALLBACK = 60.0
+#: Chunks below which paths are followed one by one, and arcs taken from arrays at a time then.
+FEW, SLICE = 32, 1 << 18
 
 
 def fields(message: bytes):
@@ -160,7 +162,8 @@ class Transducer:
         best, into = np.full(len(flat), np.inf), np.zeros(len(flat), np.int64)
         best[base] = 0.0
         weight = self.cost[piece]
-        for a, b in zip(cuts[1:], cuts[2:]):
+        few = int(np.sort(size)[-FEW]) + 1 if n >= FEW else 1  # from this end position on fewer than FEW chunks are left
+        for a, b in zip(cuts[1:few], cuts[2 : few + 1]):
             if a == b:
                 continue
             e, c = end[a:b], best[begin[a:b]] + weight[a:b]
@@ -169,14 +172,30 @@ class Transducer:
             won = np.flatnonzero(c == np.repeat(least, np.diff(np.append(group, len(e)))))[::-1]
             into[e[won]] = a + won  # the first of equals is written last
             best[e[group]] = least
+        if few < len(cuts):  # an arc at a time, as there is nothing to do at once
+            costs = best.tolist()
+            for a in range(int(cuts[few]), len(end), SLICE):
+                part = slice(a, a + SLICE)
+                for i, (x, y, w) in enumerate(zip(begin[part].tolist(), end[part].tolist(), weight[part].tolist()), a):
+                    c = costs[x] + w
+                    if c < costs[y]:
+                        costs[y] = c
+                        into[y] = i
         chunk, at, ids, owner = np.arange(n), base + size, [], []
-        while len(chunk):
+        while len(chunk) >= FEW:
             on = at > base[chunk]
             chunk, at = chunk[on], at[on]
             arc = into[at]
             ids.append(piece[arc])
             owner.append(chunk)
             at = begin[arc]
+        for c, k in zip(chunk.tolist(), at.tolist()):
+            arcs, first = [], int(base[c])
+            while k > first:
+                arcs.append(into[k])
+                k = begin[arcs[-1]]
+            ids.append(piece[np.array(arcs[::-1], np.int64)])
+            owner.append(np.full(len(arcs), c))
         ids, owner = np.concatenate(ids[::-1]), np.concatenate(owner[::-1])
         order = np.argsort(owner, kind="stable")
         return ids[order], np.searchsorted(owner[order], np.arange(n + 1))

@@ -10,7 +10,7 @@ import time
 import numpy as np
 import pyarrow as pa
 
-from corpusloom.llm import common, secret_scan, toxicity
+from corpusloom.llm import common, piece_fst, secret_scan, toxicity
 
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -189,3 +189,25 @@ def test_toxicity_score_against_a_plain_sum(spark):
         x = np.array([max([w for w, _ in hits], default=0), np.log1p(sum(w for w, _ in hits)), np.log1p(sum(w * c for w, c in hits)), sum(c for _, c in hits) / max(len(words), 1) * 10, np.log1p(len(hits))])
         z = np.append((x - model.mean) / model.scale, 1) @ model.beta
         assert abs(1 / (1 + np.exp(-z)) - got[r.doc_id]) < 1e-6
+
+
+def test_paths_one_by_one_equal_paths_at_once(monkeypatch):
+    t, rng = piece_fst.transducer(piece_fst.MODEL), np.random.default_rng(9)
+    letters = list("aeinrst  ▁éß日本0129_-xQ")
+    texts = pa.array(["".join(rng.choice(letters, int(rng.integers(0, 400)))) for _ in range(60)] + ["", "z", "a" * 3000])
+    monkeypatch.setattr(piece_fst, "FEW", 1)
+    want = t.encode(texts)
+    for few, size in ((1 << 30, 1 << 18), (5, 7), (32, 1 << 18)):
+        monkeypatch.setattr(piece_fst, "FEW", few)
+        monkeypatch.setattr(piece_fst, "SLICE", size)
+        got = t.encode(texts)
+        assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
+
+
+def test_a_word_of_a_megabyte_comes_back():
+    t, rng = piece_fst.transducer(piece_fst.MODEL), np.random.default_rng(10)
+    began = time.time()
+    for word in ("a" * 1_000_000, "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCXYZ0123456789+/"), 1_000_000))):
+        ids, first = t.encode(pa.array([word]))
+        assert t.decode(ids, first)[0].decode() == word
+    assert time.time() - began < 60
