@@ -1,10 +1,10 @@
-"""Queries of the six-signal vote, of label scores and of assembled records, with their DuckDB SQL."""
+"""Queries of the six-signal vote, of label scores of assembled records and of template records, with their DuckDB SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import assembly, votes
+from ..operators import assembly, templates, votes
 from ..session import saved
 from .queries import query, read
 
@@ -125,3 +125,41 @@ def q_assembled_records(spark, sf_dir):
     """Records of pages by a plan of fields."""
     return assembly.assemble(read(spark, sf_dir, "pages").select(F.col("page_id").alias("key")), page_sources(spark, sf_dir), PLAN)
 
+
+TEMPLATES = templates.Plan(
+    kinds=(("portfolio.*deck", "assessment"), ("pitch", "showcase"), ("rubric|assessment.*guide", "product")), components={"assessment": (25, "Portfolio"), "showcase": (25, "Pitch"), "product": (50, "Rubric")},
+    skip="exemplar", terms=(("/en/", "1"), ("/de/", "2"), ("/fr/", "3")), lessons=((1, 24), (2, 12)), purpose="{label} template of the corpus", skills=("er", "que", "the"), criteria=("a", "ein"), levels=("en", "un"), most=3,
+)
+#: A page as lines: bullets, headings and table rows by their marks.
+MARKUP = [("<li[^>]*>", "\n- "), ("<tr[^>]*>", "\n|"), ("<t[dh][^>]*>", " | "), ("<h[1-6][^>]*>", "\n# "), ("<(p|div|nav|article|table|aside)[^>]*>|</(p|li|h[1-6]|div|nav|article|table|aside|title)>", "\n"), ("<[^>]*>", "")]
+_LINES = "html"
+for _old, _new in MARKUP:
+    _LINES = f"regexp_replace({_LINES}, '{_old}', '{_new}', 'g')"
+
+
+@query(rf"""
+WITH f AS (SELECT page_id AS file, url AS path, CASE page_id % 6 WHEN 0 THEN 'Portfolio ' || page_id || ' Deck.pptx' WHEN 1 THEN 'Pitch.' || page_id || '.md' WHEN 2 THEN 'a rubric_' || page_id WHEN 3 THEN 'Rubric exemplar.md' WHEN 4 THEN 'Assessment - guide.docx' ELSE 'notes.md' END AS name FROM pages),
+k AS (SELECT *, CASE WHEN contains(t, 'exemplar') THEN NULL WHEN regexp_matches(t, 'portfolio.*deck') THEN 'assessment' WHEN contains(t, 'pitch') THEN 'showcase' WHEN regexp_matches(t, 'rubric|assessment.*guide') THEN 'product' END AS component FROM (SELECT *, lower(name || ' ' || path) AS t FROM f)),
+s AS (SELECT page_id AS file, 0 AS source, string_split({_LINES}, chr(10)) AS ls FROM pages UNION ALL SELECT doc_id, 1, string_split(coalesce(text, ''), chr(10)) FROM documents WHERE doc_id IN (SELECT page_id FROM pages)),
+l AS (SELECT file, source, i, regexp_replace(x, '^\s+|\s+$', '', 'g') AS v FROM (SELECT file, source, unnest(ls) AS x, unnest(range(len(ls))) AS i FROM s)),
+b AS (SELECT file, source, i, regexp_replace(regexp_replace(v, '^[-•*]+', ''), '^\s+|\s+$', '', 'g') AS v FROM l WHERE regexp_matches(v, '^[-•*]')),
+c AS (SELECT file, source, i, j, regexp_replace(x, '^\s+|\s+$', '', 'g') AS v FROM (SELECT file, source, i, unnest(cs) AS x, unnest(range(len(cs))) AS j FROM (SELECT *, string_split(regexp_replace(v, '^\|+|\|+$', '', 'g'), '|') AS cs FROM l WHERE v LIKE '|%'))),
+p AS (SELECT file, arg_min(substr(v, 1, 500), (source, i)) AS purpose FROM l WHERE NOT regexp_matches(v, '^[|#]') AND length(v) >= 40 GROUP BY file),
+sk AS (SELECT file, list(v ORDER BY source, i)[1:3] AS core_skills FROM b WHERE length(v) >= 10 AND regexp_matches(lower(v), 'er|que|the') GROUP BY file),
+cr AS (SELECT file, list(v ORDER BY source, i, j)[1:3] AS criteria FROM (SELECT file, source, i, 0 AS j, v FROM b WHERE length(v) >= 10 AND NOT regexp_matches(lower(v), 'er|que|the') AND regexp_matches(lower(v), 'a|ein') UNION ALL SELECT * FROM c WHERE length(v) > 20 AND regexp_matches(lower(v), 'en|un')) GROUP BY file),
+n AS (SELECT *, regexp_replace(name, '^(.+)\.[^.]*$', '\1') AS stem, CASE WHEN contains(lower(path), '/en/') THEN 1 WHEN contains(lower(path), '/de/') THEN 2 WHEN contains(lower(path), '/fr/') THEN 3 END AS term FROM k WHERE component IS NOT NULL)
+SELECT file, trim(regexp_replace(lower(stem), '[^a-z0-9]+', '-', 'g'), '-') AS id, stem AS template_name, component AS programme_component,
+  coalesce(purpose, CASE component WHEN 'assessment' THEN 'Portfolio' WHEN 'showcase' THEN 'Pitch' ELSE 'Rubric' END || ' template of the corpus') AS purpose, CASE component WHEN 'product' THEN 50 ELSE 25 END AS weighting_percent,
+  list_transform(range(1, CASE term WHEN 1 THEN 25 WHEN 2 THEN 13 ELSE 1 END), lambda i: 'Lesson ' || i) AS linked_lessons, coalesce(core_skills, []) AS core_skills, coalesce(criteria, []) AS criteria, term, path AS link
+FROM n LEFT JOIN p USING (file) LEFT JOIN sk USING (file) LEFT JOIN cr USING (file)
+""")
+def q_template_records(spark, sf_dir):
+    """Template records of pages named as templates; contents are the page's lines, then those of the document of the same number."""
+    p, i, lines = read(spark, sf_dir, "pages"), F.col("page_id"), F.col("html")
+    for old, new in MARKUP:
+        lines = F.regexp_replace(lines, old, new)
+    n = i.cast("string")
+    name = F.when(i % 6 == 0, F.concat(F.lit("Portfolio "), n, F.lit(" Deck.pptx"))).when(i % 6 == 1, F.concat(F.lit("Pitch."), n, F.lit(".md"))).when(i % 6 == 2, F.concat(F.lit("a rubric_"), n)).when(i % 6 == 3, "Rubric exemplar.md").when(i % 6 == 4, "Assessment - guide.docx").otherwise("notes.md")
+    files = p.select(i.alias("file"), name.alias("name"), F.col("url").alias("path"), F.lit("").alias("link"))
+    pages = p.select(i.alias("file"), F.lit(0).alias("source"), F.lit(0).alias("ord"), lines.alias("text"))
+    return templates.template_records(files, pages.unionByName(read(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"), F.lit(1).alias("source"), F.lit(0).alias("ord"), "text")), TEMPLATES)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import rules as R
 from corpusloom.functions import text as T
-from corpusloom.operators import dedup, diff, expect, record_checks, reconcile, records, rollup, similar
+from corpusloom.operators import dedup, diff, expect, record_checks, reconcile, records, rollup, similar, templates
 from corpusloom.plans import incremental
 from corpusloom.plans.queries import saved
 
@@ -349,3 +349,37 @@ def test_assembled_records(spark):
     built = build(old).withColumn("values", F.when(F.col("grp") == 2, F.array(F.lit("kept"))).otherwise(F.col("values")))
     assert {(r.grp, tuple(r["values"])) for r in incremental.rebuild(new, old, built, build, "grp").collect()} == {(1, ("10", "12")), (2, ("kept",))}
 
+
+
+def test_template_records(spark):
+    plan = templates.Plan(
+        kinds=(("deck", "folio"), ("rubric|assessment.*guide", "product")), components={"folio": (25, "Folio"), "product": (50, "Rubric")}, skip="exemplar",
+        terms=(("term 1|term1", "1"), ("term 2", "2")), lessons=((1, 3),), purpose="{label} template for all",
+    )
+    files = spark.createDataFrame(
+        [(1, "My Rubric.v2.docx", "Term 1/x", "http://a"), (2, "Deck", "term 2", ""), (3, "exemplar rubric", "x", None), (4, "notes", "x", None), (5, "rubric", None, None), (6, None, "a/assessment b guide", None)],
+        "file int, name string, path string, link string",
+    )
+    table = "|" + "x" * 18 + " Basic | short basic |  ||"
+    bullets = ["  - able to build a thing", "* you must hand it in\r", "•• short", "- you should design it", "-- the evidence is due"]
+    long = "y" * 600
+    parts = spark.createDataFrame(
+        [
+            (1, 1, 0, "- the last skill of all"), (1, 0, 1, "\n".join([table, *bullets, "# " + "h" * 60, "p" * 39, "  " + long, "z" * 50])), (1, 0, 0, "- the first skill of all\n- the first skill of all"),
+            (2, 0, 0, "\n".join(f"- skill number {i:02d}" for i in range(30))), (2, 1, 0, "\n".join(f"- must do number {i:02d}" for i in range(8)) + "\n| " + "b" * 20 + " advanced |"), (4, 0, 0, "- no kind, no skill"), (5, 0, 0, None), (None, 0, 0, "- skill of nobody"),
+        ],
+        "file int, source int, ord int, text string",
+    )
+    got = {r.file: r for r in templates.template_records(files.withColumn("component", F.lit("x")), parts.withColumn("field", F.lit("y")), plan).collect()}
+    assert sorted(got) == [1, 2, 5, 6]
+    r = got[1]
+    assert (r.id, r.template_name, r.programme_component, r.weighting_percent, r.term, r.link) == ("my-rubric-v2", "My Rubric.v2", "product", 50, 1, "http://a")
+    assert r.purpose == long[:500] and r.linked_lessons == ["Lesson 1", "Lesson 2", "Lesson 3"]
+    assert r.core_skills == ["the first skill of all", "the first skill of all", "able to build a thing", "you should design it", "the last skill of all"]
+    assert r.criteria == ["x" * 18 + " Basic", "you must hand it in", "the evidence is due"]
+    r = got[2]
+    assert r.core_skills == [f"skill number {i:02d}" for i in range(10)] and r.criteria == [*[f"must do number {i:02d}" for i in range(8)], "b" * 20 + " advanced"]
+    assert (r.purpose, r.link, r.linked_lessons, r.term) == ("Folio template for all", "term 2", [], 2)
+    assert (got[5].purpose, got[5].core_skills, got[5].criteria, got[5].link) == ("Rubric template for all", [], [], "")
+    assert got[6].template_name == "" and got[6].id == ""
+    assert templates.template_records(files.limit(0), parts, plan).count() == 0 and templates.template_records(files, parts.limit(0), plan).count() == 4
