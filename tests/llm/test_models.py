@@ -130,6 +130,38 @@ def test_lm_score_does_not_depend_on_what_is_broadcast(spark, sf):
     assert all(abs(no_share[0][i] - no_share[1][i]) <= 1e-6 * abs(no_share[0][i]) for i in no_share[0])
 
 
+def test_lm_score_does_not_depend_on_which_pairs_are_broadcast(spark, sf):
+    """Pairs of ids that aren't broadcast get their exact counts by the join: all pairs broadcast, some or none, with all words, some or none."""
+    for docs, share in ((cases.sample(spark, sf), attention_lm.MIX), (cases.docs(spark), attention_lm.MIX), (cases.docs(spark), 0)):
+        runs = [attention_lm.lm_scores(docs, frequent=f, epochs=1, share=share, pairs=p).collect() for f, p in ((1 << 21, 1 << 21), (1 << 21, 500), (50, 50), (1, 0))]
+        whole, *others = (sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.base_score, r.score) for r in rows) for rows in runs)
+        for rows in others:
+            assert [r[:3] for r in rows] == [r[:3] for r in whole]
+            assert all(abs(a - b) <= 1e-6 * abs(a) for x, y in zip(whole, rows) for a, b in zip(x[3:], y[3:]))
+
+
+def test_lm_pairs_not_held_are_in_the_rest(spark, sf):
+    """Held pairs and the others are together all pairs of the training documents; what follows an id is counted over all of them."""
+    lm = attention_lm
+    docs = cases.sample(spark, sf)
+    counts = lm.word_counts(docs)
+    whole = lm.trained(docs, counts, epochs=0)
+    want = dict(zip(whole.cells.tolist(), whole.counts.tolist()))
+    for pairs in (500, 0):
+        model, rest = lm.trained_in_parts(docs, counts, pairs=pairs, epochs=0)
+        held, rest = dict(zip(model.cells.tolist(), model.counts.tolist())), {r.cell: r.n for r in rest.collect()}
+        assert rest and not held.keys() & rest.keys() and {**held, **rest} == want
+        assert model.owners.tolist() == whole.owners.tolist() and model.totals.tolist() == whole.totals.tolist()
+
+
+def test_lm_score_of_a_long_word(spark):
+    """A word costs what its ids cost, however improbable it is; 40 and 43 are held out."""
+    docs = spark.createDataFrame([(i, "the quick brown fox") for i in range(20)] + [(40, "q" * 20_000), (43, "q" * 40_000)], "doc_id long, text string")
+    for frequent, pairs in ((1 << 21, 1 << 21), (1 << 21, 0), (1, 0)):
+        got = {r.doc_id: r.score for r in attention_lm.lm_scores(docs, frequent=frequent, epochs=0, pairs=pairs).collect()}
+        assert got[43] < 1.9 * got[40] < -1000
+
+
 def test_lm_scores_do_not_depend_on_partitions(spark, sf):
     docs = cases.sample(spark, sf)
     got = [{r.doc_id: r.score for r in attention_lm.lm_scores(docs.repartition(k), epochs=2).collect()} for k in (1, 7)]
