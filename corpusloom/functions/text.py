@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ COPY_MARK, SEPARATORS, EXTENSION = r"\s*\(\d+\)\s*", r"[_\-\s]+", r"\.\w+$"
 URL = r"https?://[^\s<>\"')\]]+"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value worked out once a row; an expression that is named inside a lambda, or by one that the optimizer copies, is worked out each time."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def norm(text: Column) -> Column:
     """Lower case, runs of Unicode white space as one space, trimmed."""
     return F.trim(F.regexp_replace(F.lower(text), r"(?U)\s+", " "))

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+from ..session import checkpointed
 from .reconcile import contained
 
 SIGNAL = "struct<signal:string,weight:decimal(6,3),confidence:decimal(9,6),keys:array<int>>"
@@ -29,7 +31,8 @@ class Voting:
 
     def signal(self, name: str, found: Column) -> Column:
         """found: a struct of confidence and keys, or null."""
-        return F.struct(F.lit(name).alias("signal"), F.lit(str(self.weights[name])).cast("decimal(6,3)").alias("weight"), found["confidence"].cast("decimal(9,6)").alias("confidence"), found["keys"].alias("keys")).cast(SIGNAL)
+        whole = lambda s: F.struct(F.lit(name).alias("signal"), F.lit(str(self.weights[name])).cast("decimal(6,3)").alias("weight"), s["confidence"].cast("decimal(9,6)").alias("confidence"), s["keys"].alias("keys")).cast(SIGNAL)
+        return let(found, whole)
 
     def path(self, path: Column, batch: Column, known: Column, known_confidence: Column) -> Column:
         """The first of: a resource of all keys, a range of weeks, the keys that the item came with, a numbered lesson, a week."""
@@ -56,8 +59,9 @@ class Voting:
 
     def _best(self, scores: Column, full: float) -> Column:
         """Of (key, score) the keys of the greatest score above 0, and the score as a share of full."""
-        top = F.array_max(F.transform(scores, lambda x: x["score"]))
-        return F.when(top > 0, F.struct(F.least(top / full, F.lit(1.0)).alias("confidence"), F.transform(F.filter(scores, lambda x: x["score"] == top), lambda x: x["key"]).alias("keys")))
+        keys = lambda each, top: F.transform(F.filter(each, lambda x: x["score"] == top), lambda x: x["key"])
+        of = lambda each, top: F.when(top > 0, F.struct(F.least(top / full, F.lit(1.0)).alias("confidence"), keys(each, top).alias("keys")))
+        return let(scores, lambda each: let(F.array_max(F.transform(each, lambda x: x["score"])), lambda top: of(each, top)))
 
     def _words(self) -> Column:
         return F.array(*[F.struct(F.lit(k).alias("key"), F.array(*[F.lit(w.lower()) for w in ws]).alias("words")) for k, ws in self.words.items()])
@@ -66,13 +70,13 @@ class Voting:
         """Tags against key words: 1 if one holds the other, a half if a word of the key word is in the tag."""
         plain = F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda t: F.translate(F.lower(t), "-_", "  "))
         one = lambda t, w: F.when(F.contains(w, t) | F.contains(t, w), 1.0).when(F.exists(F.split(w, r"\s+"), lambda x: F.contains(t, x)), 0.5).otherwise(0.0)
-        total = lambda ws: F.aggregate(plain, F.lit(0.0), lambda s, t: s + F.aggregate(ws, F.lit(0.0), lambda r, w: r + one(t, w)))
-        return self._best(F.transform(self._words(), lambda k: F.struct(k["key"].alias("key"), total(k["words"]).alias("score"))), 3) if self.words else F.lit(None)
+        total = lambda ts, ws: F.aggregate(ts, F.lit(0.0), lambda s, t: s + F.aggregate(ws, F.lit(0.0), lambda r, w: r + one(t, w)))
+        return self._best(let(plain, lambda ts: F.transform(self._words(), lambda k: F.struct(k["key"].alias("key"), total(ts, k["words"]).alias("score")))), 3) if self.words else F.lit(None)
 
     def content(self, text: Column) -> Column:
         """How many key words of each key the text holds."""
-        low = F.lower(text)
-        return self._best(F.transform(self._words(), lambda k: F.struct(k["key"].alias("key"), F.size(F.filter(k["words"], lambda w: F.contains(low, w))).cast("double").alias("score"))), 4) if self.words else F.lit(None)
+        score = lambda low, k: F.size(F.filter(k["words"], lambda w: F.contains(low, w))).cast("double")
+        return self._best(let(F.lower(text), lambda low: F.transform(self._words(), lambda k: F.struct(k["key"].alias("key"), score(low, k).alias("score")))), 4) if self.words else F.lit(None)
 
     def volume(self, kind: Column, known: Column, count: Column) -> Column:
         """Whether the number of items of the kind that came with the item's first key is in the expected range."""
@@ -94,20 +98,25 @@ def signals(items: DataFrame, voting: Voting, inventory: DataFrame) -> DataFrame
     """items (item, path, batch, known array<int>, known_confidence, tags, text, kind) with the array `signals`, one entry for each signal that says something."""
     inv = inventory_keys(inventory, voting.keys).where("path <> ''")
     listed = contained(inv.select(F.struct("ord", "confidence", "keys").alias("needle_id"), F.lower("path").alias("norm")), items.select(F.col("path").alias("hay_id"), F.lower("path").alias("norm")).where("path <> ''").distinct())
-    listed = listed.groupBy(F.col("hay_id").alias("path")).agg(F.min("needle_id").alias("listed"))
-    of = items.select("kind", F.explode("known").alias("key")).groupBy("kind", "key").agg(F.count("*").alias("volume"))
-    rows = items.withColumn("key", F.get("known", F.lit(0))).join(listed, "path", "left").join(of, ["kind", "key"], "left").drop("key")
+    # both tables are written, so that Spark knows when they are small and leaves the items where they are; what texts and tags say is worked out before the joins
+    listed = checkpointed(listed.groupBy(F.col("hay_id").alias("path")).agg(F.min("needle_id").alias("listed")))
+    of = checkpointed(items.select("kind", F.explode("known").alias("key")).groupBy("kind", "key").agg(F.count("*").alias("volume")))
     c = F.col
-    found = {
+    own = {
         "path": voting.path(c("path"), c("batch"), c("known"), c("known_confidence")),
         "parent": voting.parent(c("path"), c("batch")),
-        "metadata": F.when(c("listed").isNotNull(), F.struct(c("listed.confidence").alias("confidence"), c("listed.keys").alias("keys"))),
         "tags": voting.overlap(c("tags")),
         "content": voting.content(c("text")),
+    }
+    rows = items.withColumns({f"__{name}": voting.signal(name, s) for name, s in own.items()} | {"key": F.get("known", F.lit(0))})
+    rows = rows.join(listed, "path", "left").join(of, ["kind", "key"], "left").drop("key")
+    joined = {
+        "metadata": F.when(c("listed").isNotNull(), F.struct(c("listed.confidence").alias("confidence"), c("listed.keys").alias("keys"))),
         "volume": voting.volume(c("kind"), c("known"), F.coalesce("volume", F.lit(0))),
     }
-    every = F.array(*[voting.signal(name, s) for name, s in found.items()])
-    return rows.withColumn("signals", F.filter(every, lambda s: (F.size(s["keys"]) > 0) & (s["confidence"] > 0))).drop("listed", "volume")
+    order = ("path", "parent", "metadata", "tags", "content", "volume")
+    every = F.array(*[voting.signal(name, joined[name]) if name in joined else c(f"__{name}") for name in order])
+    return rows.withColumn("signals", F.filter(every, lambda s: (F.size(s["keys"]) > 0) & (s["confidence"] > 0))).drop("listed", "volume", *[f"__{name}" for name in own])
 
 
 def consensus(rows: DataFrame, voting: Voting, authoritative: tuple[str, ...] = ("path", "parent")) -> DataFrame:
@@ -116,11 +125,11 @@ def consensus(rows: DataFrame, voting: Voting, authoritative: tuple[str, ...] =
     dec = lambda x, t="decimal(20,9)": x.cast(t)
     weight = lambda s: dec(s["weight"] * s["confidence"] * F.when(sure(s), F.lit(BOOST).cast("decimal(3,1)")).otherwise(F.lit("1.0").cast("decimal(3,1)")))
     add = lambda some: F.aggregate(some, F.lit("0").cast("decimal(20,9)"), lambda t, s: dec(t + weight(s)))
-    each = F.transform(F.array(*map(F.lit, sorted(voting.keys))), lambda k: F.struct(k.alias("key"), add(F.filter("signals", lambda s: F.array_contains(s["keys"], k))).alias("vote")))
-    rows = rows.withColumns({"votes": F.filter(each, lambda v: v["vote"] > 0), "total": add(F.col("signals"))})
+    each = lambda some: F.transform(F.array(*map(F.lit, sorted(voting.keys))), lambda k: F.struct(k.alias("key"), add(F.filter(some, lambda s: F.array_contains(s["keys"], k))).alias("vote")))
+    rows = rows.withColumns({"votes": F.filter(let(F.col("signals"), each), lambda v: v["vote"] > 0), "total": add(F.col("signals"))})
     best = F.array_max(F.transform("votes", lambda v: v["vote"]))
     share = F.col("best").cast("double") / F.col("total").cast("double") * 100 * F.when(F.exists("signals", sure), float(BONUS)).otherwise(1.0)
-    rows = rows.withColumn("best", best).withColumn("winners", F.transform(F.filter("votes", lambda v: v["vote"] == F.col("best")), lambda v: v["key"])).withColumn("share", F.when(F.size("votes") > 0, F.least(share, F.lit(100.0))).otherwise(0.0))
+    rows = rows.withColumn("best", best).withColumn("winners", F.transform(let(F.col("best"), lambda top: F.filter("votes", lambda v: v["vote"] == top)), lambda v: v["key"])).withColumn("share", F.when(F.size("votes") > 0, F.least(share, F.lit(100.0))).otherwise(0.0))
     status = F.when(F.size("votes") == 0, "UNMAPPED").when(F.col("share") >= 90, "HIGH_CONFIDENCE").when(F.col("share") >= 70, "MEDIUM_CONFIDENCE").when(F.col("share") >= 50, "LOW_CONFIDENCE").otherwise("UNCERTAIN")
     return rows.withColumns({"confidence": F.round("share", 1), "status": status}).drop("share", "best", "total")
 

@@ -21,7 +21,7 @@ def voters(spark, sf_dir):
     i, d = F.col("doc_id"), read(spark, sf_dir, "documents")
     name = F.when(i % 11 == 0, "teacher-guide").when(i % 7 == 0, F.concat(F.lit("Weeks "), (i % 3).cast("string"), F.lit("-3"))).when(i % 5 == 0, F.concat(F.lit("week_"), (i % 4).cast("string"))).when(i % 3 == 0, "the tale clip").otherwise(F.concat(F.lit("Lesson "), (i % 9).cast("string")))
     known = F.when(i % 4 == 0, F.array((i % 6 + 1).cast("int"), (i % 5 + 1).cast("int")))
-    return d.select(i.alias("item"), F.concat("source", F.lit("/"), name).alias("path"), F.when(i % 13 == 0, "tale").alias("batch"), known.alias("known"), F.lit(0.9).alias("known_confidence"), F.slice(F.split(F.coalesce("text", F.lit("")), " "), 1, 3).alias("tags"), "text", F.col("lang").alias("kind"))
+    return d.select(i.alias("item"), F.concat("source", F.lit("/"), name).alias("path"), F.when(i % 13 == 0, "tale").alias("batch"), known.alias("known"), F.lit(0.9).alias("known_confidence"), F.slice(F.split(F.coalesce("text", F.lit("")), " ", 4), 1, 3).alias("tags"), "text", F.col("lang").alias("kind"))
 
 
 def voted(spark, sf_dir):

@@ -383,3 +383,13 @@ def test_template_records(spark):
     assert (got[5].purpose, got[5].core_skills, got[5].criteria, got[5].link) == ("Rubric template for all", [], [], "")
     assert got[6].template_name == "" and got[6].id == ""
     assert templates.template_records(files.limit(0), parts, plan).count() == 0 and templates.template_records(files, parts.limit(0), plan).count() == 4
+
+
+def test_votes_work_out_a_text_once(spark, sf):
+    """The plan of the vote names the lower-cased text and the tags' split once, and moves no text to join the small tables."""
+    from corpusloom.plans.vote_queries import voted
+
+    plan = voted(spark, sf).select("item", "winners")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(text#") == plan.count("split(coalesce(text#") == 1
+    below = plan[plan.index("Join") :]
+    assert "lower(text#" in below and "text#" not in plan[: plan.index("Join")]
