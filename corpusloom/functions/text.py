@@ -24,6 +24,12 @@ def norm(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"(?U)\s+", " "))
 
 
+def norm_start(text: Column, cut: int) -> Column:
+    """The first characters of the normal form, from the text's beginning where that has enough of them; the lower case of a capital sigma depends on what follows, so texts that begin with one are taken whole."""
+    begins = F.substring(text, 1, 5 * cut)
+    return let(norm(begins), lambda n: F.when((F.length(n) > cut) & ~F.contains(begins, F.lit("\u03a3")), F.substring(n, 1, cut)).otherwise(F.substring(norm(text), 1, cut)))
+
+
 def fingerprint(text: Column) -> Column:
     return F.sha2(norm(text), 256)
 

@@ -1,4 +1,4 @@
-"""The fuzzy join: best match by Ratcliff-Obershelp ratio on the first characters, among pairs that a prefix filter and bounds that lose nothing leave."""
+"""The fuzzy join: best match by Ratcliff-Obershelp ratio on the first characters, block against block of texts, among pairs that bounds that lose nothing leave."""
 
 from __future__ import annotations
 
@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..session import checkpointed
+from .block_match import best_targets
+
+#: Different texts of a block of sources and of targets, and tasks that the pairs of blocks are dealt over at most.
+S_BLOCK, T_BLOCK, UNITS = 2048, 4096, 4000
 
 
 @F.pandas_udf(DoubleType())
@@ -19,37 +23,6 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
 
 
-def common_subsequence(masks: dict[str, int], n: int, b: str) -> int:
-    """Length of the longest common subsequence, row by row in the bits of one number; masks: per character of the first text its places."""
-    full = (1 << n) - 1
-    row = full
-    for c in b:
-        hit = row & masks.get(c, 0)
-        row = (row + hit | row - hit) & full
-    return n - row.bit_count()
-
-
-def ratio_from(least: float):
-    """The ratio where it is least or more, else null. Matched blocks are a common subsequence, so pairs whose longest one is too short aren't scored."""
-
-    @F.pandas_udf(DoubleType())
-    def scored(a: pd.Series, b: pd.Series) -> pd.Series:
-        out, places = [], {}
-        for x, y in zip(a, b):
-            if x not in places:
-                masks: dict[str, int] = {}
-                for i, c in enumerate(x):
-                    masks[c] = masks.get(c, 0) | 1 << i
-                places[x] = masks
-            value = None
-            if 2 * common_subsequence(places[x], len(x), y) >= least * (len(x) + len(y)) - 1e-9:
-                value = difflib.SequenceMatcher(None, x, y).ratio()
-            out.append(value if value is not None and value >= least else None)
-        return pd.Series(out, dtype="float64")
-
-    return scored
-
-
 def numbered_characters(texts: DataFrame) -> DataFrame:
     """texts (id, text) with codes of two sets: the characters numbered among their equals ((character, 1), (character, 2) ...), and neighbouring characters in the same way."""
 
@@ -76,38 +49,31 @@ def in_order_of_rarity(texts: DataFrame) -> DataFrame:
     return checkpointed(texts.join(order, "id").join(sets.select("id", "neighbours"), "id"))
 
 
-def fuzzy_candidates(source: DataFrame, target: DataFrame, least: float, cut: int) -> DataFrame:
-    """Pairs (s, t, kind, term) of different texts that a ratio of least can't be ruled out for; nothing that reaches it is missing.
+def fuzzy_best(source: DataFrame, target: DataFrame, least: float, cut: int) -> DataFrame:
+    """(s, t, kind, term, ratio): for each different text of the source, by kind of target and term, its greatest ratio of at least `least` in each block of targets, with all targets that reach it.
 
-    A ratio of least takes an overlap of least * (n + m) / 2 numbered characters of two texts of n and m. Characters are put in the order of their rarity over
-    both sides, rarest first, so two such texts share one among the first n - overlap + 1 of the one and m - overlap + 1 of the other: texts meet on those,
-    by bands of both lengths. Two more bounds that lose nothing follow: the whole overlap, and shared pairs of neighbours, since
-    least * (n + m) / 2 matched characters in at most n + m - least * (n + m) + 1 runs keep that many pairs less one a run.
+    Every text of a kind and term meets every other there, in blocks of bounded size that are dealt over all tasks; the blocks rule out nearly all pairs by counts (see block_match).
     """
-    band = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(1.2))).cast("int")
-    reach = (2 - least) / least
-    sides = []
-    for df, side in ((source, "s"), (target, "t")):
-        one = df.select(F.substring("norm", 1, cut).alias("text"), F.col("atom_type").alias("kind"), term_key().alias("term")).where(F.length("text") >= 5).distinct()
-        sides.append(one.withColumns({"n": F.length("text"), "side": F.lit(side)}))
-    both = checkpointed(sides[0].union(sides[1]).withColumn("id", F.monotonically_increasing_id()))
-    sets = in_order_of_rarity(both)
-    low, high = F.ceil(F.col("n") / reach - 1e-9).cast("int"), F.floor(F.col("n") * reach + 1e-9).cast("int")
-    shortest = F.greatest(F.ceil(F.pow(F.lit(1.2), F.col("other")) - 1e-9).cast("int"), low)  # partner in the band
-    prefix = F.greatest(F.lit(1), F.col("n") - F.ceil(least * (F.col("n") + shortest) / 2 - 1e-9).cast("int") + 1)
-    reaching = sets.select("id", "kind", "term", "n", "order", "side", F.explode(F.sequence(band(low), band(high))).alias("other"))
-    spots = reaching.select("id", "kind", "term", "n", "side", band(F.col("n")).alias("own"), "other", F.posexplode(F.slice("order", 1, prefix)).alias("at", "token"))
-    s = spots.where("side = 's'").select("term", "token", F.col("own").alias("a"), F.col("other").alias("b"), F.col("id").alias("s_id"), F.col("n").alias("s_n"), F.col("at").alias("s_at"), F.explode(F.when(F.col("kind") == "speaker_note", F.array(F.lit("speaker_note"), F.lit("text_block"))).otherwise(F.array("kind"))).alias("kind"))
-    t = spots.where("side = 't'").select("term", "token", F.col("other").alias("a"), F.col("own").alias("b"), F.col("id").alias("t_id"), F.col("n").alias("t_n"), F.col("at").alias("t_at"), "kind")
-    total = F.col("s_n") + F.col("t_n")
-    overlap = F.ceil(least * total / 2 - 1e-9)
-    met = s.join(t, ["kind", "term", "a", "b", "token"]).where(2 * F.least("s_n", "t_n") >= least * total - 1e-9)
-    met = met.where(F.least("s_at", "t_at") + F.least(F.col("s_n") - F.col("s_at"), F.col("t_n") - F.col("t_at")) >= overlap).select("kind", "s_id", "t_id").distinct()
-    of = lambda p: sets.where(F.col("side") == p).select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "text", "n", "order", "neighbours")], *(["term"] if p == "s" else []))
-    pairs = met.join(of("s"), "s_id").join(of("t"), "t_id").where(F.size(F.array_intersect("s_order", "t_order")) >= overlap)
-    runs = total - 2 * overlap + 1
-    pairs = pairs.where((overlap - runs <= 0) | (F.size(F.array_intersect("s_neighbours", "t_neighbours")) >= overlap - runs))
-    return pairs.select("kind", "term", F.col("s_text").alias("s"), F.col("t_text").alias("t"))
+    keys, sides = ["kind", "term", "s_block", "t_block"], {}
+    for df, side, size in ((source, "s", S_BLOCK), (target, "t", T_BLOCK)):
+        kinds = F.when(F.col("atom_type") == "speaker_note", F.array(F.lit("speaker_note"), F.lit("text_block"))).otherwise(F.array("atom_type")) if side == "s" else F.array("atom_type")
+        one = df.select(F.substring("norm", 1, cut).alias("text"), F.explode(kinds).alias("kind"), term_key().alias("term")).where(F.length("text") >= 5).distinct()
+        one = checkpointed(one)
+        sides[side] = one, one.groupBy("kind", "term").agg(F.ceil(F.count("*") / size).cast("int").alias(f"{side}_blocks"))
+    blocks = checkpointed(sides["s"][1].join(sides["t"][1], ["kind", "term"]))
+    units = blocks.agg(F.sum(F.col("s_blocks").cast("long") * F.col("t_blocks"))).first()[0] or 1
+    parts, mine = min(units, UNITS), lambda side: F.pmod(F.xxhash64("text"), F.col(f"{side}_blocks")).cast("int").alias(f"{side}_block")
+    every = lambda side: F.explode(F.sequence(F.lit(0), F.col(f"{side}_blocks") - 1)).alias(f"{side}_block")
+    s = sides["s"][0].join(blocks, ["kind", "term"]).select("text", "kind", "term", mine("s"), every("t")).repartition(parts, *keys)
+    t = sides["t"][0].join(blocks, ["kind", "term"]).select("text", "kind", "term", mine("t"), every("s")).repartition(parts, *keys)
+
+    def run(key: tuple, one: pa.Table, two: pa.Table) -> pa.Table:
+        a, b = one.column("text").to_pylist(), two.column("text").to_pylist()
+        found = best_targets(a, b, least)
+        names = [key[0].as_py(), key[1].as_py()]
+        return pa.table({"s": pa.array([a[i] for i, _, _ in found], pa.string()), "t": pa.array([b[j] for _, j, _ in found], pa.string()), "kind": pa.array([names[0]] * len(found), pa.string()), "term": pa.array([names[1]] * len(found), pa.string()), "ratio": pa.array([r for _, _, r in found], pa.float64())})
+
+    return s.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInArrow(run, "s string, t string, kind string, term string, ratio double")
 
 
 def term_key() -> Column:
@@ -121,7 +87,7 @@ def match_fuzzy(source: DataFrame, target: DataFrame, least: float = 0.8, cut: i
 
     Texts shorter than 5 characters don't take part. Equal texts are scored once; what their atoms get is the first target of each.
     """
-    scored = fuzzy_candidates(source, target, least, cut).withColumn("ratio", ratio_from(least)("s", "t")).where("ratio is not null")
+    scored = fuzzy_best(source, target, least, cut)
     term = term_key().alias("term")
     t = target.select(F.col("atom_type").alias("kind"), term, F.substring("norm", 1, cut).alias("t"), F.struct("ord", "atom_id").alias("x")).groupBy("kind", "term", "t").agg(F.min("x").alias("x"))
     best = scored.join(t, ["kind", "term", "t"]).groupBy("kind", "term", "s").agg(F.min(F.struct((-F.col("ratio")).alias("r"), "x")).alias("y"))

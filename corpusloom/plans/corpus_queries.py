@@ -12,7 +12,7 @@ from ..operators import dedup, diff, reconcile, records, rollup, tallies
 from ..operators.expect import completeness
 from ..operators.scores import verdict_score
 from ..operators.similar import match_fuzzy, ratio
-from ..session import shared_dir
+from ..session import checkpointed, shared_dir
 from ..streaming import feeds
 from .queries import PAGE_RULES, query, read
 
@@ -252,8 +252,8 @@ def q_first_non_empty(spark, sf_dir):
 @query()
 def q_fuzzy_docs(spark, sf_dir):
     """Best match of every labelled document's first 200 characters among the unlabelled documents of its language."""
-    d = read(spark, sf_dir, "documents").select("doc_id", F.lit("text").alias("atom_type"), F.col("lang").alias("term"), F.substring(T.norm(F.col("text")), 1, 200).alias("norm"))
-    return fuzzy_sides(d, read(spark, sf_dir, "labels").select("doc_id"))
+    d = read(spark, sf_dir, "documents").select("doc_id", F.lit("text").alias("atom_type"), F.col("lang").alias("term"), T.norm_start(F.col("text"), 200).alias("norm"))
+    return fuzzy_sides(checkpointed(d), read(spark, sf_dir, "labels").select("doc_id"))
 
 
 def fuzzy_sides(d, labelled):

@@ -393,3 +393,36 @@ def test_votes_work_out_a_text_once(spark, sf):
     assert plan.count("lower(text#") == plan.count("split(coalesce(text#") == 1
     below = plan[plan.index("Join") :]
     assert "lower(text#" in below and "text#" not in plan[: plan.index("Join")]
+
+
+def test_best_targets_equal_difflib(spark, sf):
+    """Blocks of texts against difflib over all pairs, ties too; nearly all pairs are ruled out before they are scored."""
+    import random
+
+    from corpusloom.operators import block_match
+
+    rnd = random.Random(5)
+    parts = ["er", "tion", "the ", "a ", "in", "of ", "ñ", "ing ", "re", "and ", "x", "q", "é ", "zz", "w", "k "]
+    changed = lambda t, p: "".join(rnd.choice(["", c + "z", "q"]) if rnd.random() < p else c for c in t)[:200]
+    base = ["".join(rnd.choices(parts, k=140))[: rnd.choice([5, 60, 140, 199, 200, 200, 200])] for _ in range(50)] + ["ab" * 100, "q" * 200]
+    t = sorted({x for b in base for x in (b, changed(b, 0.08), b[50:] + b[:50]) if len(x) >= 5})
+    s = sorted({x for x in (changed(rnd.choice(base), p) for p in (0, 0.05, 0.1, 0.2) for _ in range(15)) if len(x) >= 5})
+    for least in (0.8, 0.4):
+        ratios = [[difflib.SequenceMatcher(None, a, b).ratio() for b in t] for a in s]
+        want = [(i, j, v) for i, row in enumerate(ratios) for j, v in enumerate(row) if v == max(row) >= least]
+        assert sorted(block_match.best_targets(s, t, least)) == want and len(want) > 20
+    d = [r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").where("lang = 'en' and text is not null").select(T.norm_start(F.col("text"), 200)).distinct().collect()]
+    assert len(block_match.may_match(d[::2], d[1::2], 0.8)[0]) < 0.1 * (len(d) / 2) ** 2
+
+
+def test_fuzzy_join_in_blocks(spark, sf, monkeypatch):
+    """Many small blocks find what one finds, and the beginning's normal form is that of the whole text."""
+    d = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("atom_id"), F.col("doc_id").alias("ord"), F.lit("text").alias("atom_type"), F.col("lang").alias("term"), T.norm_start(F.col("text"), 200).alias("norm"))
+    find = lambda: sorted(map(tuple, similar.match_fuzzy(d.where("atom_id % 2 = 0"), d.where("atom_id % 2 = 1")).collect()))
+    whole = find()
+    monkeypatch.setattr(similar, "S_BLOCK", 7)
+    monkeypatch.setattr(similar, "T_BLOCK", 11)
+    monkeypatch.setattr(similar, "UNITS", 9)
+    assert find() == whole and whole
+    odd = one(spark, [(x,) for x in (" \t a  B" * 300, "x" * 199 + "Σ" + "́" * 900 + "a", "İ" * 150, "a " * 100 + " " * 2000 + "b", "", None, "Σ")], "t string")
+    assert all(r.a == r.b for r in odd.select(T.norm_start(F.col("t"), 200).alias("a"), F.substring(T.norm(F.col("t")), 1, 200).alias("b")).collect())
