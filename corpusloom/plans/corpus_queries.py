@@ -11,7 +11,7 @@ from ..functions import text as T
 from ..operators import dedup, diff, reconcile, records, rollup, tallies
 from ..operators.expect import completeness
 from ..operators.scores import verdict_score
-from ..operators.similar import match_fuzzy, ratio
+from ..operators.similar import match_fuzzy
 from ..session import checkpointed, shared_dir
 from ..streaming import feeds
 from .queries import PAGE_RULES, query, read
@@ -261,7 +261,7 @@ def fuzzy_sides(d, labelled):
     lab = labelled.distinct()
     same = ["norm", "atom_type", "term"]
     source, target = (d.join(lab, "doc_id", how).groupBy(*same).agg(F.min("doc_id").alias("atom_id")).withColumn("ord", F.col("atom_id")) for how in ("left_semi", "left_anti"))
-    equal = source.join(target.select(*same, F.col("atom_id").alias("target_id")), same).where((F.length("norm") >= 5) & (ratio("norm", "norm") == 1.0))
+    equal = source.join(target.select(*same, F.col("atom_id").alias("target_id")), same).where(F.length("norm") >= 5)  # equal texts have ratio 1, by the block that begins both
     equal = equal.select("atom_id", "target_id", F.lit("fuzzy").alias("tier"), F.lit(1.0).alias("confidence"))
     found = equal.union(match_fuzzy(source.join(equal, "atom_id", "left_anti"), target).select(*equal.columns))
     of = source.select(*same, F.col("atom_id").alias("least"))

@@ -426,3 +426,55 @@ def test_fuzzy_join_in_blocks(spark, sf, monkeypatch):
     assert find() == whole and whole
     odd = one(spark, [(x,) for x in (" \t a  B" * 300, "x" * 199 + "Σ" + "́" * 900 + "a", "İ" * 150, "a " * 100 + " " * 2000 + "b", "", None, "Σ")], "t string")
     assert all(r.a == r.b for r in odd.select(T.norm_start(F.col("t"), 200).alias("a"), F.substring(T.norm(F.col("t")), 1, 200).alias("b")).collect())
+
+
+def test_word_hashes_do_not_depend_on_what_stands_around(spark):
+    """Equal words in a row have one hash wherever they stand, others differ; null, empty and odd blanks."""
+    import random
+
+    import pyarrow as pa
+
+    from corpusloom.operators import needles
+
+    rnd = random.Random(1)
+    texts = [None, "", "", " ", "a"] + [" ".join(rnd.choices(["a", "bb", "ñé", "c", "dd", ""], k=rnd.randrange(15))) for _ in range(300)] + ["", ""]
+    for rows in (pa.array(texts, pa.string()), pa.array(texts, pa.string()).slice(3, 200)):
+        gram, row, first = needles.word_grams(rows, 4)
+        split = [[w for w in (t or "").split(" ") if w] for t in rows.to_pylist()]
+        assert [len(x) for x in split] == (first[1:] - first[:-1]).tolist() and row.tolist() == [i for i, x in enumerate(split) for _ in x]
+        words, seen = [w for x in split for w in x], {}
+        for k, g in enumerate(gram.tolist()):
+            seen.setdefault(tuple(words[k : k + 4]), set()).add(g)
+        assert all(len(x) == 1 for x in seen.values()) and len(set.union(*seen.values())) == len(seen)
+
+
+def test_contained_in_slices_with_a_crowded_bitmap(spark, monkeypatch):
+    """Needles are found in one pass that only sends on what hits the bitmap, also where nearly every bit of it is set, and in texts of several slices."""
+    import random
+
+    from corpusloom.operators import needles as N
+
+    rnd = random.Random(2)
+    hay = [(i, " ".join(rnd.choices(["ab", "c", "def", "gh", "ñi"], k=rnd.randrange(60)))) for i in range(120)]
+    cut = lambda t: t[(a := rnd.randrange(len(t) + 1)) : a + rnd.randrange(60)]
+    some = [(i, cut(rnd.choice(hay)[1]) or "zz") for i in range(150)]
+    want = {(i, j) for i, n in some for j, t in hay if n in t}
+    frames = spark.createDataFrame(some, "needle_id long, norm string"), spark.createDataFrame(hay, "hay_id long, norm string")
+    got = lambda: {(r.needle_id, r.hay_id) for r in reconcile.contained(*frames).collect()}
+    assert got() == want and sum(len(n.split()) >= 6 for _, n in some) > 40
+    hits = lambda: N.anchor_hits(frames[1].withColumnRenamed("norm", "hay"), spark.createDataFrame([(5,)], "anchor long"), 4)
+    assert hits().count() == 0
+    for name, value in (("SLICE", 300), ("BITS", 64), ("PART", 16)):
+        monkeypatch.setattr(N, name, value)
+    assert got() == want and hits().count() > 20
+
+
+def test_no_text_is_copied_for_its_grams(spark):
+    """holding searches numbers, not texts: a line of 60,000 words takes as long as its words, not their square."""
+    import time
+
+    long = " ".join(f"w{i}" for i in range(60_000))
+    s = spark.createDataFrame([("w10 w11 w12 w13 w14 w15 w16",)], "s_norm string")
+    t = spark.createDataFrame([(long,), ("w1 w2",)], "t_norm string")
+    began = time.time()
+    assert [r.t_norm for r in reconcile.holding(s, t).collect()] == [long] and time.time() - began < 100
